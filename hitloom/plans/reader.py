@@ -230,21 +230,33 @@ def _file_table(p: _Plan, entries_needed: list[str]) -> DataFrame:
 
 
 def _hits_with_files(spark: SparkSession, files: DataFrame, options: FeedOptions) -> DataFrame:
-    rows = files.select("path_key").distinct().collect()
-    paths = sorted(r.path_key for r in rows)
+    """Hit records joined with their file-table row (broadcast, size-checked).
+
+    The file table has one row per (manifest, hit file).  When its estimated
+    size exceeds the broadcast limit, the hit files are split by a hash of the
+    path into scans whose slice of the table fits, and the scans are unioned:
+    never a shuffle of hits, never an unchecked broadcast.
+    """
     n_rows = files.count()
-    width = _ROW_OVERHEAD + max((len(x) for x in paths), default=0) + 8 * len(files.columns)
-    if not paths:
+    width = _ROW_OVERHEAD + 8 * len(files.columns) + 256
+    n_chunks = max(
+        1,
+        -(-n_rows * width // max(options.broadcast_limit, 1)),
+        -(-n_rows // max(options.max_files_per_scan, 1)),
+    )
+    chunk = F.pmod(F.xxhash64("path_key"), F.lit(n_chunks)).cast("int")
+    listed = files.select("path_key", chunk.alias("chunk")).distinct().collect()
+    by_chunk: dict[int, list[str]] = {}
+    for r in listed:
+        by_chunk.setdefault(r.chunk, []).append(r.path_key)
+    if not by_chunk:
         empty = spark.createDataFrame([], "value string, path_key string")
         return empty.join(files, "path_key")
-    per_scan = len(paths)
-    if n_rows * width > options.broadcast_limit or len(paths) > options.max_files_per_scan:
-        per_scan = max(1, min(options.max_files_per_scan, options.broadcast_limit // max(width, 1)))
     parts = []
-    for start in range(0, len(paths), per_scan):
-        chunk = paths[start : start + per_scan]
-        recs = hits.scan_records(spark, chunk, options.data_encoding, options.join_continuation_lines, options.comment)
-        side = files if len(chunk) == len(paths) else files.filter(F.col("path_key").isin(chunk))
+    for c in sorted(by_chunk):
+        paths = sorted(by_chunk[c])
+        recs = hits.scan_records(spark, paths, options.data_encoding, options.join_continuation_lines, options.comment)
+        side = files if n_chunks == 1 else files.filter(chunk == c)
         parts.append(recs.join(F.broadcast(side), "path_key"))
     out = parts[0]
     for p in parts[1:]:
@@ -275,7 +287,7 @@ def build_feed(
             | ({archive.EVENT} if "events" in kinds.values() else set())
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
-    files = _file_table(p, entries_needed)
+    files = _stable(spark, _file_table(p, entries_needed))
     df = _hits_with_files(spark, files, options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
