@@ -43,27 +43,66 @@ def _empty_strings() -> Column:
     return F.array().cast(T.ArrayType(T.StringType()))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable
+    (higher-order-function lambdas get no common-subexpression elimination)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+# Java's String.split needs no regex for a single plain character (or an
+# escaped one); only strings that contain the escape character go through the
+# look-behind regex.
+_PLAIN = {",": ",", ";": ";", "|": "\\|", "=": "="}
+_ESCAPE_AWARE = {",": ITEM_SEPARATOR, ";": FIELD_SEPARATOR, "|": PIPE_SEPARATOR, "=": ASSIGNMENT_SEPARATOR}
+
+
+def _split(c: Column, sep: str, limit: int = -1) -> Column:
+    return F.when(F.instr(c, "^") == 0, F.split(c, _PLAIN[sep], limit)).otherwise(
+        F.split(c, _ESCAPE_AWARE[sep], limit)
+    )
+
+
+def _drop_trailing_empty(parts: Column) -> Column:
+    def body(p: Column) -> Column:
+        from_end = F.array_position(F.reverse(F.transform(p, lambda x: x != "")), True)
+        keep = F.when(from_end == 0, F.lit(0)).otherwise(F.size(p) - from_end + 1)
+        return F.slice(p, F.lit(1), keep)
+
+    return _let(parts, body)
+
+
 def unescape(c: Column) -> Column:
     for src, dst in UNESCAPE_STEPS:
         c = F.replace(c, F.lit(src), F.lit(dst))
     return c
 
 
+def _unescape_if_needed(c: Column) -> Column:
+    return F.when(F.instr(c, "^") > 0, unescape(c)).otherwise(c)
+
+
 def none_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
 def split_list(c: Column, separator: str) -> Column:
-    """Split like ``java.util.regex.Pattern.split(s)``: trailing empty items
-    are dropped (Spark's ``split`` keeps them), ``""`` gives ``[""]`` and a
-    string of separators gives ``[]``."""
-    stripped = F.regexp_replace(c, f"(?:{separator})+$", "")
-    return (
-        F.when(c == "", F.array(F.lit("")))
-        .when(stripped == "", _empty_strings())
-        .otherwise(F.split(stripped, separator, -1))
+    """Split like ``java.util.regex.Pattern.split(s)`` on an unescaped
+    ``separator`` (one of ``, ; | =``): trailing empty items are dropped
+    (Spark's ``split`` keeps them), ``""`` gives ``[""]`` and a string of
+    separators gives ``[]``."""
+    sep = {ITEM_SEPARATOR: ",", FIELD_SEPARATOR: ";", PIPE_SEPARATOR: "|", ASSIGNMENT_SEPARATOR: "="}.get(
+        separator, separator
     )
 
+    def body(s: Column) -> Column:
+        return (
+            F.when(s == "", F.array(F.lit("")))
+            .when(s.endswith(sep), _drop_trailing_empty(_split(s, sep)))
+            .otherwise(_split(s, sep))
+        )
+
+    return _let(c, body)
+
 
 def _fail(message: str) -> Column:
     return F.raise_error(F.lit(message))
@@ -72,39 +111,45 @@ def _fail(message: str) -> Column:
 def parse_assignment(item: Column, failfast: bool = False) -> Column:
     """``key=value`` -> struct(key, value), both unescaped.  No ``=``: value
     is null (or an error in FAILFAST mode)."""
-    parts = F.split(item, ASSIGNMENT_SEPARATOR, 2)
-    value = unescape(F.get(parts, 1))
-    if failfast:
-        value = F.when(F.size(parts) < 2, _fail("assignment without '='")).otherwise(value)
-    return F.struct(unescape(F.get(parts, 0)).alias("key"), value.alias("value"))
+
+    def body(parts: Column) -> Column:
+        value = _unescape_if_needed(F.get(parts, 1))
+        if failfast:
+            value = F.when(F.size(parts) < 2, _fail("assignment without '='")).otherwise(value)
+        return F.struct(_unescape_if_needed(F.get(parts, 0)).alias("key"), value.alias("value"))
+
+    return _let(_split(item, "=", 2), body)
 
 
 def parse_pairs(c: Column, failfast: bool = False) -> Column:
     """``k=v|k=v`` -> array<struct<key,value>>; empty -> null."""
-    pairs = F.transform(split_list(c, PIPE_SEPARATOR), lambda x: parse_assignment(x, failfast))
+    pairs = F.transform(split_list(c, "|"), lambda x: parse_assignment(x, failfast))
     return F.when(c == "", F.lit(None)).otherwise(pairs)
 
 
 def parse_product(item: Column, failfast: bool = False) -> Column:
     """``category;name;quantity;price;events;evars`` -> product struct."""
-    parts = F.split(item, FIELD_SEPARATOR, PRODUCT_FIELD_LIMIT)
-    n = F.size(parts)
-    name = unescape(F.get(parts, 1))
-    if failfast:
-        name = F.when(n < 2, _fail("product without ';'")).otherwise(name)
-    return F.struct(
-        none_if_empty(unescape(F.get(parts, 0))).alias("category"),
-        name.alias("name"),
-        none_if_empty(unescape(F.get(parts, 2))).alias("quantity"),
-        none_if_empty(unescape(F.get(parts, 3))).alias("price"),
-        F.when(n >= 5, parse_pairs(F.get(parts, 4), failfast)).alias("events"),
-        F.when(n >= 6, parse_pairs(F.get(parts, 5), failfast)).alias("evars"),
-    )
+
+    def body(parts: Column) -> Column:
+        n = F.size(parts)
+        name = _unescape_if_needed(F.get(parts, 1))
+        if failfast:
+            name = F.when(n < 2, _fail("product without ';'")).otherwise(name)
+        return F.struct(
+            none_if_empty(_unescape_if_needed(F.get(parts, 0))).alias("category"),
+            name.alias("name"),
+            none_if_empty(_unescape_if_needed(F.get(parts, 2))).alias("quantity"),
+            none_if_empty(_unescape_if_needed(F.get(parts, 3))).alias("price"),
+            F.when(n >= 5, parse_pairs(F.get(parts, 4), failfast)).alias("events"),
+            F.when(n >= 6, parse_pairs(F.get(parts, 5), failfast)).alias("evars"),
+        )
+
+    return _let(_split(item, ";", PRODUCT_FIELD_LIMIT), body)
 
 
 def parse_products(c: Column, failfast: bool = False) -> Column:
     """Product list string -> array<product>; null stays null."""
-    return F.transform(split_list(c, ITEM_SEPARATOR), lambda x: parse_product(x, failfast))
+    return F.transform(split_list(c, ","), lambda x: parse_product(x, failfast))
 
 
 # An event id is looked up in the dense array only when it is a canonical
@@ -130,11 +175,10 @@ def parse_events(c: Column, dense: Column | None = None, sparse: Column | None =
     is null when there is no ``=``.
     """
 
-    def one(item: Column) -> Column:
-        parts = F.split(item, ASSIGNMENT_SEPARATOR, 2)
+    def one(parts: Column) -> Column:
         return F.struct(
             lookup_event_name(F.get(parts, 0), dense, sparse).alias("event"),
             F.get(parts, 1).alias("value"),
         )
 
-    return F.transform(split_list(c, ITEM_SEPARATOR), one)
+    return F.transform(split_list(c, ","), lambda item: _let(_split(item, "=", 2), one))

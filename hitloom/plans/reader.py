@@ -96,22 +96,23 @@ def datafeed(spark: SparkSession) -> FeedReader:
     return FeedReader(spark)
 
 
-def _stable(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Freeze a small driver-decided table: reliable checkpoint, so a lost
-    executor never changes which manifests or lookup versions a query sees."""
+def _stable(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Freeze a small driver-decided table with a reliable checkpoint in the
+    cluster's checkpoint folder: lineage is cut, and a lost executor never
+    changes which manifests, lookup versions or files a query sees."""
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
 
 
 def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_lookups: bool) -> _Plan | None:
-    manifests = _stable(spark, manifest.read_manifests(spark, paths, options))
+    manifests = _stable(spark, manifest.read_manifests(spark, paths, options), "manifests")
     head = manifests.orderBy("path_index", "manifest_path").select("manifest_id").first()
     if head is None:
         return None
     entries = manifest.manifest_entries(manifests)
     lookup_refs = entries.filter(F.col("kind") == "lookup")
     archive_paths = [r.path for r in lookup_refs.select("path").distinct().collect()]
-    index = _stable(spark, archive.index_archives(spark, archive_paths))
+    index = _stable(spark, archive.index_archives(spark, archive_paths), "archive_index")
 
     # Several archives in one manifest: a later archive wins the whole entry.
     versions = (
@@ -119,46 +120,47 @@ def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_look
         .groupBy("manifest_id", "entry")
         .agg(F.max_by("digest", "pos").alias("version"))
     )
-    head_entries = {
-        r.entry for r in versions.filter(F.col("manifest_id") == head.manifest_id).select("entry").collect()
+    head_versions = {
+        r.entry: r.version
+        for r in versions.filter(F.col("manifest_id") == head.manifest_id).select("entry", "version").collect()
     }
-    if archive.COLUMN_HEADERS not in head_entries:
+    if archive.COLUMN_HEADERS not in head_versions:
         raise ValueError("the first manifest's lookup archive has no column_headers.tsv")
 
     wanted_entries = None if need_lookups else [archive.COLUMN_HEADERS]
     lines = archive.archive_lines(spark, index, wanted_entries, options.file_encoding, options.data_encoding)
-    parsed = _stable(spark, archive.parsed_lines(lines, options.comment))
-
-    header_rows = (
-        parsed.filter(F.col("entry") == archive.COLUMN_HEADERS)
-        .groupBy("digest")
-        .agg(F.min_by("fields", "line_no").alias("fields"))
-        .collect()
-    )
+    parsed = _stable(spark, archive.parsed_lines(lines, options.comment), "lookup_lines")
+
+    # One pass over the (deduplicated) lookup lines: sizes for the broadcast
+    # decision and the first record of every column_headers.tsv version.
+    is_headers = F.col("entry") == archive.COLUMN_HEADERS
+    stats = parsed.groupBy("entry", "digest").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.aggregate("fields", F.lit(0), lambda acc, x: acc + F.coalesce(F.length(x), F.lit(0)))).alias("chars"),
+        F.min_by(F.when(is_headers, F.col("fields")), "line_no").alias("headers"),
+    ).collect()
     distinct_headers: list[list[str]] = []
     digest_sig: dict[int, int] = {}
-    for r in sorted(header_rows, key=lambda r: r.digest):
-        h = list(r.fields)
-        if h not in distinct_headers:
-            distinct_headers.append(h)
-        digest_sig[r.digest] = distinct_headers.index(h)
-    sig_map = spark.createDataFrame(list(digest_sig.items()) or [(0, 0)], "version bigint, sig int")
+    entry_bytes: dict[str, int] = {}
+    for r in sorted(stats, key=lambda r: (r.entry, r.digest)):
+        entry_bytes[r.entry] = entry_bytes.get(r.entry, 0) + int(r.n) * _ROW_OVERHEAD + 2 * int(r.chars or 0)
+        if r.entry == archive.COLUMN_HEADERS and r.headers is not None:
+            h = list(r.headers)
+            if h not in distinct_headers:
+                distinct_headers.append(h)
+            digest_sig[r.digest] = distinct_headers.index(h)
+    if head_versions[archive.COLUMN_HEADERS] not in digest_sig:
+        raise ValueError("the first manifest's column_headers.tsv is empty")
+    sig_map = spark.createDataFrame(list(digest_sig.items()), "version bigint, sig int")
     manifest_sig = (
         versions.filter(F.col("entry") == archive.COLUMN_HEADERS)
         .join(F.broadcast(sig_map), "version")
         .select("manifest_id", "sig")
     )
-    head_sig = manifest_sig.filter(F.col("manifest_id") == head.manifest_id).first()
-    head_headers = distinct_headers[head_sig.sig]
-
-    entry_bytes: dict[str, int] = {}
-    if need_lookups:
-        for r in parsed.groupBy("entry").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.aggregate("fields", F.lit(0), lambda acc, x: acc + F.coalesce(F.length(x), F.lit(0)))).alias("chars"),
-        ).collect():
-            entry_bytes[r.entry] = int(r.n) * _ROW_OVERHEAD + 2 * int(r.chars or 0)
-    return _Plan(manifests, head_entries, head_headers, distinct_headers, versions, manifest_sig, parsed, entry_bytes)
+    head_headers = distinct_headers[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
+    return _Plan(
+        manifests, set(head_versions), head_headers, distinct_headers, versions, manifest_sig, parsed, entry_bytes
+    )
 
 
 def _raw_column(name: str, signatures: list[list[str]]) -> Column:
@@ -237,26 +239,27 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, options: FeedOptions
     path into scans whose slice of the table fits, and the scans are unioned:
     never a shuffle of hits, never an unchecked broadcast.
     """
-    n_rows = files.count()
-    width = _ROW_OVERHEAD + 8 * len(files.columns) + 256
+    listed = files.groupBy("path_key").agg(
+        F.count(F.lit(1)).alias("n"), F.first(F.xxhash64("path_key")).alias("h")
+    ).collect()
+    if not listed:
+        empty = spark.createDataFrame([], "value string, path_key string")
+        return empty.join(files, "path_key")
+    n_rows = sum(r.n for r in listed)
+    width = _ROW_OVERHEAD + 8 * len(files.columns) + max(len(r.path_key) for r in listed)
     n_chunks = max(
         1,
         -(-n_rows * width // max(options.broadcast_limit, 1)),
-        -(-n_rows // max(options.max_files_per_scan, 1)),
+        -(-len(listed) // max(options.max_files_per_scan, 1)),
     )
-    chunk = F.pmod(F.xxhash64("path_key"), F.lit(n_chunks)).cast("int")
-    listed = files.select("path_key", chunk.alias("chunk")).distinct().collect()
     by_chunk: dict[int, list[str]] = {}
     for r in listed:
-        by_chunk.setdefault(r.chunk, []).append(r.path_key)
-    if not by_chunk:
-        empty = spark.createDataFrame([], "value string, path_key string")
-        return empty.join(files, "path_key")
+        by_chunk.setdefault(r.h % n_chunks, []).append(r.path_key)  # == pmod(xxhash64, n)
     parts = []
     for c in sorted(by_chunk):
         paths = sorted(by_chunk[c])
         recs = hits.scan_records(spark, paths, options.data_encoding, options.join_continuation_lines, options.comment)
-        side = files if n_chunks == 1 else files.filter(chunk == c)
+        side = files if n_chunks == 1 else files.filter(F.pmod(F.xxhash64("path_key"), F.lit(n_chunks)) == c)
         parts.append(recs.join(F.broadcast(side), "path_key"))
     out = parts[0]
     for p in parts[1:]:
@@ -287,7 +290,7 @@ def build_feed(
             | ({archive.EVENT} if "events" in kinds.values() else set())
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
-    files = _stable(spark, _file_table(p, entries_needed))
+    files = _stable(spark, _file_table(p, entries_needed), "files")
     df = _hits_with_files(spark, files, options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
@@ -303,7 +306,13 @@ def build_feed(
             F.when(F.size("__f") > limit, F.raise_error(F.lit("record has more fields than the header"))).otherwise(F.lit(True))
         )
 
-    raw = lambda name: _raw_column(name, p.signatures)
+    raw_cache: dict[str, Column] = {}
+
+    def raw(name: str) -> Column:
+        if name not in raw_cache:
+            raw_cache[name] = _raw_column(name, p.signatures)
+        return raw_cache[name]
+
     limit = options.broadcast_limit
     exprs: dict[str, Column] = {}
 
