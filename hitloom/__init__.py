@@ -1,6 +1,8 @@
 """hitloom: raw web-analytics hit feeds (manifests, lookup archives, escaped-TSV
 hit files) read as Spark DataFrames."""
 
+import sys
+
 from hitloom.options import FeedOptions
 from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, datafeed
 
@@ -15,3 +17,17 @@ def install() -> None:
         return FeedReader(self._spark).load(*paths)
 
     DataFrameReader.datafeed = _datafeed
+
+
+def _ship_by_value() -> None:
+    """Executors need not have this package installed: the few functions that
+    run inside tasks (mapInArrow bodies) are pickled by value."""
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()
