@@ -9,14 +9,69 @@ from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, datafe
 __all__ = ["FeedOptions", "FeedReader", "NoManifestError", "build_feed", "datafeed", "install"]
 
 
+FORMAT_NAMES = ("datafeed", "hitloom")
+
+
 def install() -> None:
-    """Add ``spark.read.datafeed(*paths)`` (default options) to PySpark."""
+    """Make the feed reader reachable from ``spark.read``.
+
+    Adds ``spark.read.datafeed(*paths)`` and routes
+    ``spark.read.format("datafeed")...load(*paths)`` (options and a user schema
+    included) to :class:`FeedReader`.  Other formats are untouched.
+    """
     from pyspark.sql.readwriter import DataFrameReader
 
-    def _datafeed(self, *paths):
-        return FeedReader(self._spark).load(*paths)
+    if getattr(DataFrameReader, "_hitloom_installed", False):
+        return
+    orig_format, orig_option, orig_options = DataFrameReader.format, DataFrameReader.option, DataFrameReader.options
+    orig_schema, orig_load = DataFrameReader.schema, DataFrameReader.load
+
+    def state(self):
+        if "_hitloom" not in self.__dict__:
+            self.__dict__["_hitloom"] = {"on": False, "options": {}, "schema": None}
+        return self.__dict__["_hitloom"]
+
+    def fmt(self, source):
+        state(self)["on"] = str(source).lower() in FORMAT_NAMES
+        return self if state(self)["on"] else orig_format(self, source)
+
+    def option(self, key, value):
+        state(self)["options"][key] = value
+        return orig_option(self, key, value)
+
+    def options(self, **opts):
+        state(self)["options"].update(opts)
+        return orig_options(self, **opts)
+
+    def schema(self, schema):
+        state(self)["schema"] = schema
+        return orig_schema(self, schema)
+
+    def load(self, path=None, format=None, schema=None, **opts):
+        st = state(self)
+        if format is not None:
+            fmt(self, format)
+        if not st["on"]:
+            return orig_load(self, path, format, schema, **opts)
+        reader = FeedReader(self._spark).options(**st["options"]).options(**opts)
+        if schema is not None or st["schema"] is not None:
+            reader = reader.schema(schema if schema is not None else st["schema"])
+        return reader.load(*([path] if isinstance(path, str) else list(path or [])))
+
+    def datafeed(self, *paths):
+        st = state(self)
+        reader = FeedReader(self._spark).options(**st["options"])
+        if st["schema"] is not None:
+            reader = reader.schema(st["schema"])
+        return reader.load(*paths)
 
-    DataFrameReader.datafeed = _datafeed
+    DataFrameReader.format = fmt
+    DataFrameReader.option = option
+    DataFrameReader.options = options
+    DataFrameReader.schema = schema
+    DataFrameReader.load = load
+    DataFrameReader.datafeed = datafeed
+    DataFrameReader._hitloom_installed = True
 
 
 def _ship_by_value() -> None:

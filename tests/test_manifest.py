@@ -12,11 +12,11 @@ from tests.conftest import make_feed, write_archive, write_gz
 
 def test_fileset_names(spark):
     row = spark.range(1).select(
-        names.hit_fileset(F.lit("/x/01-zwitchdev_2015-07-13.tsv.gz")).alias("d"),
-        names.lookup_fileset(F.lit("/x/zwitchdev_2015-07-13-lookup_data.tar.gz")).alias("l"),
+        names.hit_fileset(F.lit("/x/01-blogfeed_2015-07-13.tsv.gz")).alias("d"),
+        names.lookup_fileset(F.lit("/x/blogfeed_2015-07-13-lookup_data.tar.gz")).alias("l"),
         names.reconstruct_key(F.lit("/x/02-site_2015-01-13.tsv.gz")).alias("r"),
     ).first()
-    assert (row.d, row.l, row.r) == ("zwitchdev_2015-07-13", "zwitchdev_2015-07-13", "site_2015-01-13")
+    assert (row.d, row.l, row.r) == ("blogfeed_2015-07-13", "blogfeed_2015-07-13", "site_2015-01-13")
 
 
 def test_parse_ignores_other_lines_and_crlf(spark, tmp_path):
@@ -51,14 +51,14 @@ def test_listing_is_not_recursive_and_needs_txt(spark, tmp_path):
 
 def test_write_then_parse_roundtrip(spark, tmp_path):
     src = str(tmp_path / "src")
-    make_feed(src, "zwitchdev_2015-07-13", ["hit_id", "os"], "1\t2\n3\t4\n")
+    make_feed(src, "blogfeed_2015-07-13", ["hit_id", "os"], "1\t2\n3\t4\n")
     out = str(tmp_path / "out")
     written = manifest_writer.write_manifests(manifest.read_manifests(spark, [src]), "file:" + out).collect()
-    assert [os.path.basename(r.manifest_path) for r in written] == ["zwitchdev_2015-07-13.txt"]
+    assert [os.path.basename(r.manifest_path) for r in written] == ["blogfeed_2015-07-13.txt"]
     m = manifest.read_manifests(spark, [out]).first()
-    assert m.lookup_files[0].path.endswith("zwitchdev_2015-07-13-lookup_data.tar.gz")
-    assert m.data_files[0].path.endswith("01-zwitchdev_2015-07-13.tsv.gz")
-    with open(f"{out}/zwitchdev_2015-07-13.txt") as f:
+    assert m.lookup_files[0].path.endswith("blogfeed_2015-07-13-lookup_data.tar.gz")
+    assert m.data_files[0].path.endswith("01-blogfeed_2015-07-13.tsv.gz")
+    with open(f"{out}/blogfeed_2015-07-13.txt") as f:
         text = f.read()
     assert text.startswith("Datafeed-Manifest-Version: 1.0\nLookup-Files: 1\nData-Files: 1\nTotal-Records: 1")
     assert datafeed(spark).load(out).count() == 2

@@ -182,3 +182,13 @@ def test_file_named_twice_yields_rows_twice(spark, tmp_path):
     make_feed(root, "d_2024-01-01", ["hit_id"], "1\n2\n")
     write_manifest(f"{root}/e_2024-01-02.txt", ["d_2024-01-01-lookup_data.tar.gz"], ["01-d_2024-01-01.tsv.gz"])
     assert datafeed(spark).load(root).count() == 4
+
+
+def test_spark_read_format_datafeed(spark, feed):
+    hitloom.install()
+    df = spark.read.format("datafeed").option("enableLookups", "false").load(feed)
+    assert df.columns == HEADERS
+    df2 = spark.read.format("datafeed").schema("hit_id long").load(feed)
+    assert sorted(r.hit_id for r in df2.collect()) == [1, 2, 3, 4]
+    # other formats are untouched
+    assert spark.read.format("text").load(os.path.join(feed, "suite_2024-01-01.txt")).count() > 0
