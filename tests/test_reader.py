@@ -192,3 +192,32 @@ def test_spark_read_format_datafeed(spark, feed):
     assert sorted(r.hit_id for r in df2.collect()) == [1, 2, 3, 4]
     # other formats are untouched
     assert spark.read.format("text").load(os.path.join(feed, "suite_2024-01-01.txt")).count() > 0
+
+
+def test_over_broadcast_limit_same_result(spark, tmp_path):
+    """Tiny broadcast limit: lookups are joined without a broadcast hint and the
+    hit files are scanned in several path-hash chunks; rows are unchanged."""
+    root = str(tmp_path)
+    more = [HITS.replace("\t", "\t", 1)] + ["".join(f"{i}{j}\t{j % 3}\t1{j % 2}\tm1\t1\t;P{j}\t{j}\tx\n" for j in range(50)) for i in range(5, 10)]
+    make_feed(root, "big_2024-01-01", HEADERS, more[0], LOOKUPS, n_files=6, extra_text=more[1:])
+    base = datafeed(spark).load(root)
+    small = datafeed(spark).option("broadcastLimitBytes", 1).option("maxFilesPerScan", 2).load(root)
+    cols = ["hit_id", "browser", "os", "browser_type"]
+    assert sorted(base.select(*cols).collect()) == sorted(small.select(*cols).collect())
+    plan = small.select(*cols)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") >= 1
+
+
+def test_data_encoding_latin1(spark, tmp_path):
+    root = str(tmp_path)
+    os.makedirs(root, exist_ok=True)
+    write_archive(f"{root}/l_2024-01-01-lookup_data.tar.gz", {
+        "column_headers.tsv": "hit_id\tcountry\tcity\n".encode("latin-1"),
+        "country.tsv": "1\tEspaña\n".encode("latin-1"),
+    })
+    import gzip
+    with gzip.open(f"{root}/01-l_2024-01-01.tsv.gz", "wb") as f:
+        f.write("a\t1\tMálaga\n".encode("latin-1"))
+    write_manifest(f"{root}/l_2024-01-01.txt", ["l_2024-01-01-lookup_data.tar.gz"], ["01-l_2024-01-01.tsv.gz"])
+    r = datafeed(spark).option("dataEncoding", "ISO-8859-1").load(root).first()
+    assert (r.city, r.country) == ("Málaga", "España")
