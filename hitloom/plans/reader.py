@@ -240,8 +240,13 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, options: FeedOptions
     never a shuffle of hits, never an unchecked broadcast.
     """
     listed = files.groupBy("path_key").agg(
-        F.count(F.lit(1)).alias("n"), F.first(F.xxhash64("path_key")).alias("h")
+        F.count(F.lit(1)).alias("n"),
+        F.first(F.xxhash64("path_key")).alias("h"),
+        F.max(F.col("__sig").isNull().cast("int")).alias("no_header"),
     ).collect()
+    missing = [r.path_key for r in listed if r.no_header]
+    if missing:
+        raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing[:5]}")
     if not listed:
         empty = spark.createDataFrame([], "value string, path_key string")
         return empty.join(files, "path_key")

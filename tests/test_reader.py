@@ -221,3 +221,13 @@ def test_data_encoding_latin1(spark, tmp_path):
     write_manifest(f"{root}/l_2024-01-01.txt", ["l_2024-01-01-lookup_data.tar.gz"], ["01-l_2024-01-01.tsv.gz"])
     r = datafeed(spark).option("dataEncoding", "ISO-8859-1").load(root).first()
     assert (r.city, r.country) == ("Málaga", "España")
+
+
+def test_manifest_without_headers_is_an_error(spark, tmp_path):
+    root = str(tmp_path)
+    make_feed(root, "a_2024-01-01", ["hit_id"], "1\n")
+    write_archive(f"{root}/b_2024-01-02-lookup_data.tar.gz", {"browser.tsv": "1\tx\n"})
+    write_gz(f"{root}/01-b_2024-01-02.tsv.gz", "2\n")
+    write_manifest(f"{root}/b_2024-01-02.txt", ["b_2024-01-02-lookup_data.tar.gz"], ["01-b_2024-01-02.tsv.gz"])
+    with pytest.raises(ValueError):
+        datafeed(spark).load(root)
