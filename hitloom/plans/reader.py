@@ -19,6 +19,7 @@ hits are never shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections import OrderedDict
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from hitloom.functions import nested, tsv
 from hitloom.operators import lookups as L
 from hitloom.options import FeedOptions
 from hitloom.sources import archive, hits, manifest
-from hitloom.session import ensure_checkpoint_dir
+from hitloom.session import ensure_checkpoint_dir, work_dir
 
 # Estimated bytes per row of a broadcast table, on top of its string payload.
 _ROW_OVERHEAD = 64
@@ -104,6 +105,15 @@ def _stable(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _stable_by_entry(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Parsed lookup lines as parquet partitioned by lookup file, in the shared
+    work folder: every lookup build side then reads only its own partition
+    (partition pruning), instead of scanning all lookup content."""
+    path = work_dir(spark, "lookup-lines", uuid.uuid4().hex)
+    df.write.partitionBy("entry").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_lookups: bool) -> _Plan | None:
     manifests = _stable(spark, manifest.read_manifests(spark, paths, options), "manifests")
     head = manifests.orderBy("path_index", "manifest_path").select("manifest_id").first()
@@ -129,7 +139,7 @@ def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_look
 
     wanted_entries = None if need_lookups else [archive.COLUMN_HEADERS]
     lines = archive.archive_lines(spark, index, wanted_entries, options.file_encoding, options.data_encoding)
-    parsed = _stable(spark, archive.parsed_lines(lines, options.comment), "lookup_lines")
+    parsed = _stable_by_entry(spark, archive.parsed_lines(lines, options.comment))
 
     # One pass over the (deduplicated) lookup lines: sizes for the broadcast
     # decision and the first record of every column_headers.tsv version.
