@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+import threading
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -288,11 +289,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCK = threading.Lock()
+
+
 def ensure_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per work folder) the test feeds for the tables in ``sf_dir``."""
     root = feed_root(spark, sf_dir)
     if fs.exists(spark, f"{root}/_READY"):
         return root
+    with _LOCK:
+        if fs.exists(spark, f"{root}/_READY"):
+            return root
+        return _write_feeds(spark, sf_dir, root)
+
+
+def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
     t = lambda n: _table(spark, sf_dir, n)
     nation = t("nation")
 
