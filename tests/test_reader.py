@@ -231,3 +231,60 @@ def test_manifest_without_headers_is_an_error(spark, tmp_path):
     write_manifest(f"{root}/b_2024-01-02.txt", ["b_2024-01-02-lookup_data.tar.gz"], ["01-b_2024-01-02.tsv.gz"])
     with pytest.raises(ValueError):
         datafeed(spark).load(root)
+
+
+def _ancestors_of(plan: str, needle: str) -> list[str]:
+    lines = plan.splitlines()
+    idx = next(i for i, l in enumerate(lines) if needle in l)
+    depth = len(lines[idx]) - len(lines[idx].lstrip(" :+-"))
+    out = []
+    for l in reversed(lines[:idx]):
+        d = len(l) - len(l.lstrip(" :+-"))
+        if d < depth:
+            out.append(l.strip(" :+-"))
+            depth = d
+    return out
+
+
+def test_hits_are_never_shuffled(spark, feed):
+    df = datafeed(spark).load(feed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    ancestors = _ancestors_of(plan, "FileScan text")
+    assert ancestors, plan
+    assert not any("Exchange" in a and "BroadcastExchange" not in a for a in ancestors), ancestors
+
+
+def test_awkward_file_names_match_their_manifest(spark, tmp_path):
+    root = str(tmp_path / "dir with space+plus")
+    os.makedirs(root)
+    fileset = "odd_2024-01-01"
+    write_archive(f"{root}/{fileset}-lookup_data.tar.gz", {"column_headers.tsv": "hit_id\n"})
+    names = ["01-a b+c%20d[1]é.tsv.gz", "02-{x},y?.tsv.gz"]
+    for i, n in enumerate(names):
+        write_gz(f"{root}/{n}", f"{i}a\n{i}b\n")
+    write_manifest(f"{root}/{fileset}.txt", [f"{fileset}-lookup_data.tar.gz"], names)
+    assert sorted(r.hit_id for r in datafeed(spark).load(root).collect()) == ["0a", "0b", "1a", "1b"]
+
+
+def test_full_width_show(spark, feed, capsys):
+    datafeed(spark).load(feed).show(10, False)
+    assert "suite_2024-01-01" in capsys.readouterr().out
+
+
+def test_conform_and_stream_ingest(spark, tmp_path):
+    from hitloom.streaming import ingest
+
+    root = str(tmp_path / "feed")
+    make_feed(root, "c_2024-01-01", ["hit_id", "os"], "1\t10\n2\t11\n", {"operating_systems.tsv": "10\tLinux\n"})
+    make_feed(root, "c_2024-01-02", ["hit_id", "os"], "3\t10\n", {"operating_systems.tsv": "10\tLinux\n"})
+    target = str(tmp_path / "table")
+    ingest.conform(spark, [root], target)
+    ingest.conform(spark, [root], target)  # a reload replaces, never duplicates
+    got = ingest.read_conformed(spark, target).groupBy("_tech_fileset").count().collect()
+    assert sorted((r[0], r[1]) for r in got) == [("c_2024-01-01", 2), ("c_2024-01-02", 1)]
+
+    streamed = str(tmp_path / "streamed")
+    q = ingest.stream_ingest(spark, root, streamed, str(tmp_path / "ckpt"), max_manifests_per_batch=1)
+    q.awaitTermination()
+    rows = ingest.read_conformed(spark, streamed).select("hit_id", "os").collect()
+    assert sorted((r.hit_id, r.os) for r in rows) == [("1", "Linux"), ("2", None), ("3", "Linux")]
