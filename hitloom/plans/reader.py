@@ -72,7 +72,8 @@ class FeedReader:
         self._schema: T.StructType | None = None
 
     def option(self, key: str, value) -> "FeedReader":
-        self._options[key] = value if isinstance(value, str) else str(value).lower() if isinstance(value, bool) else str(value)
+        # Spark passes option values as strings; booleans as "true"/"false".
+        self._options[key] = str(value).lower() if isinstance(value, bool) else str(value)
         return self
 
     def options(self, **opts) -> "FeedReader":
@@ -97,7 +98,7 @@ def datafeed(spark: SparkSession) -> FeedReader:
     return FeedReader(spark)
 
 
-def _stable(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _stable(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Freeze a small driver-decided table with a reliable checkpoint in the
     cluster's checkpoint folder: lineage is cut, and a lost executor never
     changes which manifests, lookup versions or files a query sees."""
@@ -115,14 +116,14 @@ def _stable_by_entry(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_lookups: bool) -> _Plan | None:
-    manifests = _stable(spark, manifest.read_manifests(spark, paths, options), "manifests")
+    manifests = _stable(spark, manifest.read_manifests(spark, paths, options))
     head = manifests.orderBy("path_index", "manifest_path").select("manifest_id").first()
     if head is None:
         return None
     entries = manifest.manifest_entries(manifests)
     lookup_refs = entries.filter(F.col("kind") == "lookup")
     archive_paths = [r.path for r in lookup_refs.select("path").distinct().collect()]
-    index = _stable(spark, archive.index_archives(spark, archive_paths), "archive_index")
+    index = _stable(spark, archive.index_archives(spark, archive_paths))
 
     # Several archives in one manifest: a later archive wins the whole entry.
     versions = (
@@ -153,7 +154,10 @@ def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_look
     digest_sig: dict[int, int] = {}
     entry_bytes: dict[str, int] = {}
     for r in sorted(stats, key=lambda r: (r.entry, r.digest)):
-        entry_bytes[r.entry] = entry_bytes.get(r.entry, 0) + int(r.n) * _ROW_OVERHEAD + 2 * int(r.chars or 0)
+        size = int(r.n) * _ROW_OVERHEAD + 2 * int(r.chars or 0)
+        if r.entry == archive.EVENT:  # plus the worst case of its dense id array
+            size += 8 * L.DENSE_EVENT_ID_LIMIT
+        entry_bytes[r.entry] = entry_bytes.get(r.entry, 0) + size
         if r.entry == archive.COLUMN_HEADERS and r.headers is not None:
             h = list(r.headers)
             if h not in distinct_headers:
@@ -305,7 +309,7 @@ def build_feed(
             | ({archive.EVENT} if "events" in kinds.values() else set())
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
-    files = _stable(spark, _file_table(p, entries_needed), "files")
+    files = _stable(spark, _file_table(p, entries_needed))
     df = _hits_with_files(spark, files, options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
@@ -313,12 +317,13 @@ def build_feed(
         too_long = F.exists("__f", lambda x: F.length(x) > options.max_chars_per_column)
         df = df.filter(F.when(too_long, F.raise_error(F.lit("field longer than maxCharsPerColumn"))).otherwise(F.lit(True)))
     if options.failfast:
-        limit = None
+        max_fields = None
         for sig, headers in enumerate(p.signatures):
-            cond = F.col("__sig") == sig
-            limit = F.when(cond, F.lit(len(headers) + 1)) if limit is None else limit.when(cond, F.lit(len(headers) + 1))
+            cond, n = F.col("__sig") == sig, F.lit(len(headers) + 1)
+            max_fields = F.when(cond, n) if max_fields is None else max_fields.when(cond, n)
         df = df.filter(
-            F.when(F.size("__f") > limit, F.raise_error(F.lit("record has more fields than the header"))).otherwise(F.lit(True))
+            F.when(F.size("__f") > max_fields, F.raise_error(F.lit("record has more fields than the header")))
+            .otherwise(F.lit(True))
         )
 
     raw_cache: dict[str, Column] = {}
@@ -377,12 +382,14 @@ def build_feed(
 
     if user_schema is None:
         return df.select(*[exprs[n].alias(n) for n in wanted])
-    out = []
-    for f in user_schema.fields:
-        if f.name in exprs:
-            c = exprs[f.name]
-            c = c.cast(f.dataType) if options.failfast else c.try_cast(f.dataType) if isinstance(f.dataType, T.AtomicType) else c.cast(f.dataType)
-        else:
-            c = F.lit(None).cast(f.dataType)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    return df.select(*[_as_type(exprs.get(f.name), f.dataType, options.failfast).alias(f.name) for f in user_schema.fields])
+
+
+def _as_type(c: Column | None, data_type: T.DataType, failfast: bool) -> Column:
+    """A user-schema column: missing -> typed null; atomic types are cast with
+    ``try_cast`` (null on bad text) unless FAILFAST asks for errors."""
+    if c is None:
+        return F.lit(None).cast(data_type)
+    if failfast or not isinstance(data_type, T.AtomicType):
+        return c.cast(data_type)
+    return c.try_cast(data_type)
