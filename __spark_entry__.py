@@ -309,7 +309,7 @@ ORACLES: dict[str, str] = {
         f"{_DOC_TEXT}, '^[\\x01-\\x08\\x0b\\x0c\\x0e-\\x20]+', ''), '[\\x01-\\x20]+$', ''), '') AS text FROM documents"
     ),
     "feed_metadata_fileset": (
-        f"SELECT {_FILESET} AS fileset, CASE WHEN event_id % 2 = 0 THEN 1704153600 ELSE 1704240000 END AS modified_epoch, "
+        f"SELECT {_FILESET} AS fileset, CAST(CASE WHEN event_id % 2 = 0 THEN 1704153600 ELSE 1704240000 END AS BIGINT) AS modified_epoch, "
         "COUNT(*) AS n_hits FROM events GROUP BY 1, 2"
     ),
     "feed_schema_drift": (
