@@ -221,14 +221,19 @@ def _output_columns(p: _Plan, options: FeedOptions) -> OrderedDict[str, str]:
     return cols
 
 
-def _file_table(p: _Plan, entries_needed: list[str]) -> DataFrame:
-    data = manifest.manifest_entries(p.manifests).filter(F.col("kind") == "data").select(
+def _file_tables(p: _Plan, entries_needed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Two small broadcast sides, kept apart so neither repeats the other:
+
+    * files: ``(path_key, manifest_id)``, one row per hit file a manifest names;
+    * attrs: one row per manifest: header signature, modification time,
+      fileset and the version of every lookup file in use.
+    """
+    files = manifest.manifest_entries(p.manifests).filter(F.col("kind") == "data").select(
         F.col("path").alias("path_key"), "manifest_id"
     )
     attrs = p.manifests.select(
         "manifest_id", F.col("modification_time").alias("__mtime"), F.col("fileset").alias("__fileset")
-    )
-    out = data.join(attrs, "manifest_id").join(p.manifest_sig.withColumnRenamed("sig", "__sig"), "manifest_id", "left")
+    ).join(p.manifest_sig.withColumnRenamed("sig", "__sig"), "manifest_id", "left")
     if entries_needed:
         pivot = (
             p.versions.filter(F.col("entry").isin(entries_needed))
@@ -238,48 +243,66 @@ def _file_table(p: _Plan, entries_needed: list[str]) -> DataFrame:
         )
         for e in entries_needed:
             pivot = pivot.withColumnRenamed(e, _version_col(e))
-        out = out.join(pivot, "manifest_id", "left")
+        attrs = attrs.join(pivot, "manifest_id", "left")
         for e in entries_needed:
-            if _version_col(e) not in out.columns:
-                out = out.withColumn(_version_col(e), F.lit(None).cast("bigint"))
-    return out
-
-
-def _hits_with_files(spark: SparkSession, files: DataFrame, options: FeedOptions) -> DataFrame:
-    """Hit records joined with their file-table row (broadcast, size-checked).
-
-    The file table has one row per (manifest, hit file).  When its estimated
-    size exceeds the broadcast limit, the hit files are split by a hash of the
-    path into scans whose slice of the table fits, and the scans are unioned:
-    never a shuffle of hits, never an unchecked broadcast.
+            if _version_col(e) not in attrs.columns:
+                attrs = attrs.withColumn(_version_col(e), F.lit(None).cast("bigint"))
+    return files, attrs
+
+
+def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, options: FeedOptions) -> DataFrame:
+    """Hit records with their manifest's attributes: two broadcast joins,
+    sizes checked, hits never shuffled.
+
+    Hits find their manifest through a 64-bit hash of the file path (8-byte
+    keys instead of path strings on the broadcast side); a collision among
+    the listed paths is detected here and switches to exact string keys.
+    When either side would exceed the broadcast limit, the work is split into
+    chunks (manifests by id x files by path hash): each chunk scans its files
+    with only its slice of both tables broadcast.  A file named by manifests
+    in two chunks is scanned by both, which keeps one row per (manifest, hit).
     """
-    listed = files.groupBy("path_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.first(F.xxhash64("path_key")).alias("h"),
-        F.max(F.col("__sig").isNull().cast("int")).alias("no_header"),
-    ).collect()
-    missing = [r.path_key for r in listed if r.no_header]
-    if missing:
-        raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing[:5]}")
+    listed = (
+        files.join(attrs.select("manifest_id", "__sig"), "manifest_id", "left")
+        .select("path_key", "manifest_id", F.xxhash64("path_key").alias("h"), F.col("__sig").isNull().alias("no_header"))
+        .collect()
+    )
     if not listed:
         empty = spark.createDataFrame([], "value string, path_key string")
-        return empty.join(files, "path_key")
-    n_rows = sum(r.n for r in listed)
-    width = _ROW_OVERHEAD + 8 * len(files.columns) + max(len(r.path_key) for r in listed)
-    n_chunks = max(
-        1,
-        -(-n_rows * width // max(options.broadcast_limit, 1)),
-        -(-len(listed) // max(options.max_files_per_scan, 1)),
-    )
-    by_chunk: dict[int, list[str]] = {}
-    for r in listed:
-        by_chunk.setdefault(r.h % n_chunks, []).append(r.path_key)  # == pmod(xxhash64, n)
+        return empty.join(files, "path_key").join(attrs, "manifest_id")
+    missing = sorted({r.path_key for r in listed if r.no_header})
+    if missing:
+        raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing[:5]}")
+    manifest_ids = {r.manifest_id for r in listed}
+    paths = {r.path_key for r in listed}
+    exact = len({r.h for r in listed}) != len(paths)  # a hash collision: join on the path itself
+    file_bytes = len(listed) * (_ROW_OVERHEAD + 16 + (max(map(len, paths)) if exact else 0))
+    attr_bytes = len(manifest_ids) * (_ROW_OVERHEAD + 8 * len(attrs.columns) + 64)
+    limit = max(options.broadcast_limit, 1)
+    # Chunks: manifests by id (bounds the attribute slice) x files by path hash
+    # (bounds the file slice and the files per scan).
+    n_m = max(1, -(-attr_bytes // limit))
+    n_f = max(1, -(-file_bytes // limit), -(-len(paths) // max(options.max_files_per_scan, 1)))
+    by_chunk: dict[tuple[int, int], set[str]] = {}
+    for r in listed:  # Python's % on a positive modulus == Spark's pmod
+        by_chunk.setdefault((r.manifest_id % n_m, r.h % n_f), set()).add(r.path_key)
+    key = "path_key" if exact else "__h"
     parts = []
-    for c in sorted(by_chunk):
-        paths = sorted(by_chunk[c])
-        recs = hits.scan_records(spark, paths, options.data_encoding, options.join_continuation_lines, options.comment)
-        side = files if n_chunks == 1 else files.filter(F.pmod(F.xxhash64("path_key"), F.lit(n_chunks)) == c)
-        parts.append(recs.join(F.broadcast(side), "path_key"))
+    for i, j in sorted(by_chunk):
+        recs = hits.scan_records(
+            spark, sorted(by_chunk[(i, j)]), options.data_encoding, options.join_continuation_lines, options.comment
+        )
+        f_side, a_side = files, attrs
+        if n_m > 1:
+            f_side = f_side.filter(F.pmod(F.col("manifest_id"), F.lit(n_m)) == i)
+            a_side = a_side.filter(F.pmod(F.col("manifest_id"), F.lit(n_m)) == i)
+        if n_f > 1:
+            f_side = f_side.filter(F.pmod(F.xxhash64("path_key"), F.lit(n_f)) == j)
+        if not exact:
+            recs = recs.withColumn("__h", F.xxhash64("path_key"))
+            f_side = f_side.select(F.xxhash64("path_key").alias("__h"), "manifest_id")
+        joined = recs.join(F.broadcast(f_side), key).join(F.broadcast(a_side), "manifest_id")
+        parts.append(joined.drop("__h"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -309,8 +332,8 @@ def build_feed(
             | ({archive.EVENT} if "events" in kinds.values() else set())
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
-    files = _stable(spark, _file_table(p, entries_needed))
-    df = _hits_with_files(spark, files, options)
+    files, attrs = _file_tables(p, entries_needed)
+    df = _hits_with_files(spark, _stable(spark, files), _stable(spark, attrs), options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:

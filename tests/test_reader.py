@@ -101,10 +101,15 @@ def test_metadata_prefix(spark, feed):
 
 def test_unused_lookups_are_pruned(spark, feed):
     df = datafeed(spark).load(feed)
-    plan = df.select("os")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 2  # file table + operating_systems only
-    plan = df.select("hit_id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 1
+
+    def lookup_joins(d):  # joins of hits with a lookup table (keyed by a lookup version)
+        return d._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin [__v_")
+
+    assert lookup_joins(df.select("hit_id")) == 0
+    assert lookup_joins(df.select("os")) == 1
+    assert lookup_joins(df.select("hit_id", "browser", "browser_type")) == 2
+    assert lookup_joins(df) == 5  # 3 simple lookups, mobile attributes, event names
+    assert df.select("hit_id")._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
 
 
 def test_user_schema(spark, feed):
@@ -288,3 +293,15 @@ def test_conform_and_stream_ingest(spark, tmp_path):
     q.awaitTermination()
     rows = ingest.read_conformed(spark, streamed).select("hit_id", "os").collect()
     assert sorted((r.hit_id, r.os) for r in rows) == [("1", "Linux"), ("2", None), ("3", "Linux")]
+
+
+def test_chunked_by_manifest_keeps_duplicates(spark, tmp_path):
+    root = str(tmp_path)
+    for k in range(3):
+        make_feed(root, f"m{k}_2024-01-0{k + 1}", ["hit_id", "os"], f"{k}a\t10\n{k}b\t11\n", {"operating_systems.tsv": "10\tLinux\n"})
+    write_manifest(f"{root}/m9_2024-01-09.txt", ["m0_2024-01-01-lookup_data.tar.gz"], ["01-m0_2024-01-01.tsv.gz"])
+    base = datafeed(spark).load(root).select("_tech_fileset", "hit_id", "os")
+    tiny = datafeed(spark).option("broadcastLimitBytes", 1).load(root).select("_tech_fileset", "hit_id", "os")
+    a, b = sorted(base.collect()), sorted(tiny.collect())
+    assert a == b and len(a) == 8
+    assert sum(1 for r in a if r.hit_id == "0a") == 2  # named by two manifests
