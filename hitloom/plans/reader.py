@@ -333,7 +333,9 @@ def build_feed(
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
     files, attrs = _file_tables(p, entries_needed)
-    df = _hits_with_files(spark, _stable(spark, files), _stable(spark, attrs), options)
+    # files is an explode of the (checkpointed) manifest table; attrs joins
+    # several small tables, so it is frozen once per load.
+    df = _hits_with_files(spark, files, _stable(spark, attrs), options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:

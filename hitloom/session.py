@@ -8,16 +8,17 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).  Only when it is
-    unset (local tests) a temporary folder is created and registered."""
+    """The cluster's shared folder (``spark.checkpoint.dir``).  Only when the
+    session has none (local tests) a temporary folder is created and
+    registered as the checkpoint directory."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if root:
+        return root.rstrip("/")
+    current = spark.sparkContext.getCheckpointDir()
+    if not current:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hitloom-"))
         current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current.rstrip("/")
-        root = tempfile.mkdtemp(prefix="hitloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    return current.rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
