@@ -305,3 +305,16 @@ def test_chunked_by_manifest_keeps_duplicates(spark, tmp_path):
     a, b = sorted(base.collect()), sorted(tiny.collect())
     assert a == b and len(a) == 8
     assert sum(1 for r in a if r.hit_id == "0a") == 2  # named by two manifests
+
+
+def test_failfast_and_comment_options(spark, tmp_path):
+    root = str(tmp_path)
+    make_feed(root, "f_2024-01-01", ["hit_id", "os"], "1\t10\n#2\t11\n3\t12\textra\textra2\n")
+    permissive = datafeed(spark).load(root)
+    assert sorted(r.hit_id for r in permissive.collect()) == ["1", "3"]  # '#' record skipped, extra fields ignored
+    kept = datafeed(spark).option("comment", "").load(root)
+    assert sorted(r.hit_id for r in kept.collect()) == ["#2", "1", "3"]
+    with pytest.raises(Exception):
+        datafeed(spark).option("mode", "FAILFAST").load(root).collect()
+    with pytest.raises(ValueError):
+        datafeed(spark).option("mode", "SOMETIMES").load(root)
