@@ -66,3 +66,27 @@ def is_data_record(record: Column, comment: str | None = COMMENT_CHAR) -> Column
     if comment:
         keep = keep & ~record.startswith(comment)
     return keep
+
+
+# The same decoder as Spark SQL text.  Building a Column costs one py4j call
+# per function; a feed has hundreds of columns, so the reader builds each
+# column's decoder with one ``F.expr`` instead (same expression tree).
+def _sql_str(s: str) -> str:
+    """SQL string literal; control characters stay raw (the literal grammar
+    allows any character but quote and backslash)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def unescape_sql(x: str) -> str:
+    p = "p"
+    for src, dst in _ESCAPES:
+        p = f"replace({p}, {_sql_str(src)}, {_sql_str(dst)})"
+    return f"array_join(transform(split({x}, {_sql_str(ESCAPE_PAIR_REGEX)}, -1), p -> {p}), {_sql_str(chr(92))})"
+
+
+def decode_field_sql(field: str) -> str:
+    """SQL text of :func:`decode_field` applied to the SQL expression ``field``."""
+    ws = _sql_str(WHITESPACE)
+    lead = f"trim(LEADING {ws} FROM {field})"
+    decoded = f"CASE WHEN instr({lead}, {_sql_str(chr(92))}) > 0 THEN {unescape_sql(lead)} ELSE {lead} END"
+    return f"nullif(trim(TRAILING {ws} FROM {decoded}), '')"

@@ -21,13 +21,13 @@ from __future__ import annotations
 
 import uuid
 from collections import OrderedDict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitloom.functions import nested, tsv
+from hitloom.functions import names, nested, tsv
 from hitloom.operators import lookups as L
 from hitloom.options import FeedOptions
 from hitloom.sources import archive, hits, manifest
@@ -45,6 +45,7 @@ class NoManifestError(ValueError):
 class _Plan:
     """Driver-side facts about a feed that decide schema and join strategy."""
 
+    archive_paths: list[str]
     manifests: DataFrame
     head_entries: set[str]
     head_headers: list[str]
@@ -53,6 +54,7 @@ class _Plan:
     manifest_sig: DataFrame  # (manifest_id, sig)
     parsed: DataFrame | None  # parsed lookup lines (checkpointed)
     entry_bytes: dict[str, int]
+    attrs: dict[tuple[str, ...], DataFrame] = field(default_factory=dict)  # frozen per lookup set
 
 
 def _safe(entry: str) -> str:
@@ -115,8 +117,43 @@ def _stable_by_entry(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_lookups: bool) -> _Plan | None:
-    manifests = _stable(spark, manifest.read_manifests(spark, paths, options))
+# Planning results per application, keyed by the load arguments and a
+# fingerprint of the manifest listing, and checked against a fingerprint of
+# the lookup archives: repeated loads of an unchanged feed skip the metadata
+# jobs; a new, re-delivered or touched manifest or archive plans afresh.
+_PLAN_CACHE: "OrderedDict[tuple, tuple[tuple[int, int], _Plan]]" = OrderedDict()
+_PLAN_CACHE_SIZE = 16
+
+
+def _archive_fingerprint(spark: SparkSession, archive_paths: list[str]) -> tuple[int, int]:
+    if not archive_paths:
+        return (0, 0)
+    listing = spark.read.format("binaryFile").load([names.escape_glob(x) for x in archive_paths])
+    return manifest.listing_fingerprint(listing, "path", "modificationTime", "length")
+
+
+def _cached_plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_lookups: bool) -> _Plan | None:
+    listing = manifest.list_manifests(spark, paths, options)
+    fp = manifest.listing_fingerprint(listing, "path_index", "path", "modification_time", "length")
+    key = (spark.sparkContext.applicationId, tuple(paths), tuple(sorted(options.raw.items())), need_lookups, fp)
+    hit = _PLAN_CACHE.get(key)
+    if hit is not None and _archive_fingerprint(spark, hit[1].archive_paths) == hit[0]:
+        _PLAN_CACHE.move_to_end(key)
+        return hit[1]
+    plan = _plan(spark, listing, options, need_lookups)
+    if plan is not None:
+        _PLAN_CACHE[key] = (_archive_fingerprint(spark, plan.archive_paths), plan)
+        while len(_PLAN_CACHE) > _PLAN_CACHE_SIZE:
+            _PLAN_CACHE.popitem(last=False)
+    return plan
+
+
+def clear_plan_cache() -> None:
+    _PLAN_CACHE.clear()
+
+
+def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lookups: bool) -> _Plan | None:
+    manifests = _stable(spark, manifest.parse_manifests(listing))
     head = manifests.orderBy("path_index", "manifest_path").select("manifest_id").first()
     if head is None:
         return None
@@ -173,7 +210,8 @@ def _plan(spark: SparkSession, paths: list[str], options: FeedOptions, need_look
     )
     head_headers = distinct_headers[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
     return _Plan(
-        manifests, set(head_versions), head_headers, distinct_headers, versions, manifest_sig, parsed, entry_bytes
+        sorted(archive_paths), manifests, set(head_versions), head_headers, distinct_headers, versions,
+        manifest_sig, parsed, entry_bytes,
     )
 
 
@@ -187,13 +225,13 @@ def _raw_column(name: str, signatures: list[list[str]]) -> Column:
     if not by_index:
         return F.lit(None).cast("string")
     if len(by_index) == 1 and len(next(iter(by_index.values()))) == len(signatures):
-        raw = F.get("__f", next(iter(by_index)))
+        raw = f"get(__f, {next(iter(by_index))})"
     else:
-        raw = None
-        for idx, sigs in by_index.items():
-            cond = F.col("__sig").isin(sigs)
-            raw = F.when(cond, F.get("__f", idx)) if raw is None else raw.when(cond, F.get("__f", idx))
-    return tsv.decode_field(raw)
+        whens = " ".join(
+            f"WHEN __sig IN ({', '.join(map(str, sigs))}) THEN get(__f, {idx})" for idx, sigs in by_index.items()
+        )
+        raw = f"CASE {whens} END"
+    return F.expr(tsv.decode_field_sql(raw))
 
 
 def _output_columns(p: _Plan, options: FeedOptions) -> OrderedDict[str, str]:
@@ -312,7 +350,7 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, op
 def build_feed(
     spark: SparkSession, paths: list[str], options: FeedOptions, user_schema: T.StructType | None = None
 ) -> DataFrame:
-    p = _plan(spark, paths, options, need_lookups=options.enable_lookups)
+    p = _cached_plan(spark, paths, options, need_lookups=options.enable_lookups)
     if p is None:
         if user_schema is None:
             raise NoManifestError(f"no manifest found in {paths}")
@@ -334,8 +372,10 @@ def build_feed(
         )
     files, attrs = _file_tables(p, entries_needed)
     # files is an explode of the (checkpointed) manifest table; attrs joins
-    # several small tables, so it is frozen once per load.
-    df = _hits_with_files(spark, files, _stable(spark, attrs), options)
+    # several small tables, so it is frozen (once per set of lookups in use).
+    if tuple(entries_needed) not in p.attrs:
+        p.attrs[tuple(entries_needed)] = _stable(spark, attrs)
+    df = _hits_with_files(spark, files, p.attrs[tuple(entries_needed)], options)
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:

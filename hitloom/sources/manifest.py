@@ -52,7 +52,8 @@ def _read_binary(spark: SparkSession, pattern: str, filters: dict[str, str]) ->
 
 
 def list_manifests(spark: SparkSession, paths: list[str], options: FeedOptions) -> DataFrame:
-    """``(path_index, path, modification_time, content)`` of every manifest."""
+    """``(path_index, path, modification_time, length, content)`` of every
+    manifest; ``content`` is only read when selected."""
     parts = []
     for index, p in enumerate(paths):
         if fs.is_dir(spark, p):
@@ -68,12 +69,13 @@ def list_manifests(spark: SparkSession, paths: list[str], options: FeedOptions)
                     F.lit(index).alias("path_index"),
                     F.col("path"),
                     F.col("modificationTime").alias("modification_time"),
+                    F.col("length"),
                     F.col("content"),
                 )
             )
     if not parts:
         return spark.createDataFrame(
-            [], "path_index int, path string, modification_time timestamp, content binary"
+            [], "path_index int, path string, modification_time timestamp, length bigint, content binary"
         )
     out = parts[0]
     for p in parts[1:]:
@@ -139,3 +141,10 @@ def manifest_entries(manifests: DataFrame) -> DataFrame:
         F.col("col.path").alias("path"), F.col("col.md5").alias("md5"), F.col("col.size").alias("size"),
         F.col("col.record_count").alias("record_count"),
     )
+
+
+def listing_fingerprint(df: DataFrame, *cols: str) -> tuple[int, int]:
+    """(count, xor of row hashes) of a file listing: changes when a file is
+    added, removed, rewritten or touched.  Contents are not read."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*cols)).alias("h")).first()
+    return int(r.n), int(r.h or 0)

@@ -318,3 +318,19 @@ def test_failfast_and_comment_options(spark, tmp_path):
         datafeed(spark).option("mode", "FAILFAST").load(root).collect()
     with pytest.raises(ValueError):
         datafeed(spark).option("mode", "SOMETIMES").load(root)
+
+
+def test_plan_cache_sees_new_manifests_and_changed_archives(spark, tmp_path):
+    import time as _time
+
+    root = str(tmp_path)
+    make_feed(root, "k_2024-01-01", ["hit_id", "os"], "1\t10\n", {"operating_systems.tsv": "10\tLinux\n"})
+    assert [r.os for r in datafeed(spark).load(root).collect()] == ["Linux"]
+    assert [r.os for r in datafeed(spark).load(root).collect()] == ["Linux"]  # cached plan
+    # a changed archive (same manifest) is noticed
+    _time.sleep(1.1)
+    write_archive(f"{root}/k_2024-01-01-lookup_data.tar.gz", {"column_headers.tsv": "hit_id\tos\n", "operating_systems.tsv": "10\tBSD\n"})
+    assert [r.os for r in datafeed(spark).load(root).collect()] == ["BSD"]
+    # a new delivery is noticed
+    make_feed(root, "k_2024-01-02", ["hit_id", "os"], "2\t10\n", {"operating_systems.tsv": "10\tLinux\n"})
+    assert sorted((r.hit_id, r.os) for r in datafeed(spark).load(root).collect()) == [("1", "BSD"), ("2", "Linux")]

@@ -86,3 +86,13 @@ def test_join_off_keeps_physical_lines(spark, tmp_path):
     path = os.path.join(str(tmp_path), "01-x.tsv.gz")
     write_gz(path, "a\\\nb\tc\n")
     assert _records(spark, "file:" + path, join_lines=False) == [["a\\"], ["b", "c"]]
+
+
+def test_sql_decoder_equals_column_decoder(spark):
+    fields = [f for text, _ in CASES for line in text.split("\n") for f in line.split("\t")]
+    fields += ["'quoted'", "a\\\\\\nb", "  \\t  ", " x ", "\x01a\x1f", "\\", "\\\\", "\\\n"]
+    df = spark.createDataFrame([(f,) for f in fields], "f string")
+    rows = df.select(
+        tsv.decode_field(F.col("f")).alias("a"), F.expr(tsv.decode_field_sql("f")).alias("b")
+    ).collect()
+    assert all(r.a == r.b for r in rows), [(r.a, r.b) for r in rows if r.a != r.b]
