@@ -92,7 +92,12 @@ def join_continuation_lines(batches):
         values = rb.column("value")
         fps = rb.column("file_path")
         bss = rb.column("block_start")
-        opens = pc.fill_null(pc.match_substring_regex(values, OPEN_LINE_REGEX), False)
+        # Only a line ending in a backslash can continue; the odd-count regex
+        # runs on batches that have such a line.
+        if pc.any(pc.ends_with(values, pattern="\\")).as_py():
+            opens = pc.fill_null(pc.match_substring_regex(values, OPEN_LINE_REGEX), False)
+        else:
+            opens = pa.nulls(n, pa.bool_()).fill_null(False)
         if carry is None and not pc.any(opens).as_py() and pc.max(bss).as_py() == 0:
             last = n - 1
             chunk = (fps[last].as_py(), 0, rb.column("block_length")[last].as_py(), rb.column("file_size")[last].as_py())
