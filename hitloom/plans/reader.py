@@ -162,11 +162,12 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
     archive_paths = [r.path for r in lookup_refs.select("path").distinct().collect()]
     index = _stable(spark, archive.index_archives(spark, archive_paths))
 
-    # Several archives in one manifest: a later archive wins the whole entry.
+    # Several archives in one manifest: a later archive wins the whole entry
+    # (and within one archive a later member of the same name).
     versions = (
         lookup_refs.join(index.withColumnRenamed("archive", "path"), "path")
         .groupBy("manifest_id", "entry")
-        .agg(F.max_by("digest", "pos").alias("version"))
+        .agg(F.max_by("digest", F.struct("pos", "member_no")).alias("version"))
     )
     head_versions = {
         r.entry: r.version

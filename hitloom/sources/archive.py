@@ -33,7 +33,7 @@ COLUMN_HEADERS = "column_headers.tsv"
 EVENT = "event.tsv"
 MOBILE_ATTRIBUTES = "mobile_attributes.tsv"
 
-INDEX_SCHEMA = "archive string, entry string, digest bigint, size bigint"
+INDEX_SCHEMA = "archive string, member_no int, entry string, digest bigint, size bigint"
 LINES_SCHEMA = "digest bigint, entry string, line_no bigint, line string"
 
 
@@ -50,14 +50,17 @@ def _members(content: bytes):
 
 
 def _index_batches(batches):
-    schema = pa.schema([("archive", pa.string()), ("entry", pa.string()), ("digest", pa.int64()), ("size", pa.int64())])
+    schema = pa.schema(
+        [("archive", pa.string()), ("member_no", pa.int32()), ("entry", pa.string()), ("digest", pa.int64()), ("size", pa.int64())]
+    )
     for rb in batches:
-        out = {"archive": [], "entry": [], "digest": [], "size": []}
+        out = {"archive": [], "member_no": [], "entry": [], "digest": [], "size": []}
         paths = rb.column("path").to_pylist()
         contents = rb.column("content")
         for i, path in enumerate(paths):
-            for name, data in _members(contents[i].as_py()):
+            for member_no, (name, data) in enumerate(_members(contents[i].as_py())):
                 out["archive"].append(path)
+                out["member_no"].append(member_no)
                 out["entry"].append(name)
                 out["digest"].append(content_digest(data))
                 out["size"].append(len(data))
@@ -73,15 +76,16 @@ def _lines_batches(header_encoding: str, data_encoding: str):
             wanted = rb.column("wanted").to_pylist()
             contents = rb.column("content")
             for i, _ in enumerate(paths):
-                want = set(wanted[i] or [])
+                want = {(w["entry"], w["digest"]) for w in (wanted[i] or [])}
                 for name, data in _members(contents[i].as_py()):
-                    if name not in want:
+                    d = content_digest(data)
+                    if (name, d) not in want:
                         continue
+                    want.discard((name, d))  # one copy per version
                     enc = header_encoding if name == COLUMN_HEADERS else data_encoding
                     lines = data.decode(enc, errors="replace").split("\n")
                     if lines and lines[-1] == "":
                         lines.pop()
-                    d = content_digest(data)
                     n = len(lines)
                     yield pa.RecordBatch.from_pydict(
                         {"digest": [d] * n, "entry": [name] * n, "line_no": list(range(n)), "line": lines},
@@ -111,11 +115,14 @@ def archive_lines(
     """Lines of each distinct entry version (``entries`` limits which)."""
     idx = index if entries is None else index.filter(F.col("entry").isin(entries))
     reps = idx.groupBy("entry", "digest").agg(F.min("archive").alias("archive"))
-    wanted = reps.groupBy("archive").agg(F.collect_set("entry").alias("wanted"))
+    wanted = reps.groupBy("archive").agg(F.collect_set(F.struct("entry", "digest")).alias("wanted"))
     wanted_rows = wanted.collect()  # one row per archive holding a new version
     if not wanted_rows:
         return spark.createDataFrame([], LINES_SCHEMA)
-    wanted_df = spark.createDataFrame([(r.archive, r.wanted) for r in wanted_rows], "path string, wanted array<string>")
+    wanted_df = spark.createDataFrame(
+        [(r.archive, [(w.entry, w.digest) for w in r.wanted]) for r in wanted_rows],
+        "path string, wanted array<struct<entry:string,digest:bigint>>",
+    )
     content = _binary(spark, [r.archive for r in wanted_rows]).select("path", "content")
     joined = content.join(F.broadcast(wanted_df), "path")
     return joined.mapInArrow(_lines_batches(header_encoding, data_encoding), LINES_SCHEMA)

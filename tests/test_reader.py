@@ -334,3 +334,19 @@ def test_plan_cache_sees_new_manifests_and_changed_archives(spark, tmp_path):
     # a new delivery is noticed
     make_feed(root, "k_2024-01-02", ["hit_id", "os"], "2\t10\n", {"operating_systems.tsv": "10\tLinux\n"})
     assert sorted((r.hit_id, r.os) for r in datafeed(spark).load(root).collect()) == [("1", "BSD"), ("2", "Linux")]
+
+
+def test_duplicate_member_in_archive_later_wins(spark, tmp_path):
+    import io
+    import tarfile
+
+    root = str(tmp_path)
+    with tarfile.open(f"{root}/d_2024-01-01-lookup_data.tar.gz", "w:gz") as tf:
+        for name, data in [("column_headers.tsv", b"hit_id\tos\n"), ("operating_systems.tsv", b"1\tFirst\n"),
+                           ("operating_systems.tsv", b"1\tSecond\n")]:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tf.addfile(info, io.BytesIO(data))
+    write_gz(f"{root}/01-d_2024-01-01.tsv.gz", "a\t1\n")
+    write_manifest(f"{root}/d_2024-01-01.txt", ["d_2024-01-01-lookup_data.tar.gz"], ["01-d_2024-01-01.tsv.gz"])
+    assert datafeed(spark).load(root).first().os == "Second"
