@@ -83,32 +83,28 @@ PRODUCT_COLUMNS = ["product_list", "post_product_list"]
 DENSE_EVENT_ID_LIMIT = 1 << 16
 
 
-def key_value_table(parsed: DataFrame, entry: str) -> DataFrame:
-    """``(version, key, value)`` of one lookup file, last row per key wins."""
-    rows = parsed.filter(F.col("entry") == entry).select(
-        F.col("digest").alias("version"),
-        F.get("fields", 0).alias("key"),
-        F.get("fields", 1).alias("value"),
-        "line_no",
-    )
+def _entry_rows(parsed: DataFrame, entry: str, value_sql: str) -> DataFrame:
+    """``(version, key, value)`` rows of one lookup file, last row per key
+    wins.  Written as SQL text: one expression per column instead of one
+    py4j call per function (a load builds up to 16 of these)."""
+    quoted = entry.replace("\\", "\\\\").replace("'", "\\'")
     return (
-        rows.filter(F.col("key").isNotNull())
+        parsed.where(f"entry = '{quoted}' AND get(fields, 0) IS NOT NULL")
+        .selectExpr("digest AS version", "get(fields, 0) AS key", f"{value_sql} AS value", "line_no")
         .groupBy("version", "key")
-        .agg(F.max_by("value", "line_no").alias("value"))
+        .agg(F.expr("max_by(value, line_no)").alias("value"))
     )
 
 
+def key_value_table(parsed: DataFrame, entry: str) -> DataFrame:
+    """``(version, key, value)`` of one lookup file, last row per key wins."""
+    return _entry_rows(parsed, entry, "get(fields, 1)")
+
+
 def mobile_table(parsed: DataFrame) -> DataFrame:
     """``(version, key, attrs struct<49 strings>)``; short rows get trailing nulls."""
-    attrs = F.struct(*[F.get("fields", i + 1).alias(n) for i, n in enumerate(MOBILE_FIELDS)])
-    rows = parsed.filter(F.col("entry") == MOBILE_ATTRIBUTES).select(
-        F.col("digest").alias("version"), F.get("fields", 0).alias("key"), attrs.alias("attrs"), "line_no"
-    )
-    return (
-        rows.filter(F.col("key").isNotNull())
-        .groupBy("version", "key")
-        .agg(F.max_by("attrs", "line_no").alias("attrs"))
-    )
+    attrs = "named_struct(" + ", ".join(f"'{n}', get(fields, {i + 1})" for i, n in enumerate(MOBILE_FIELDS)) + ")"
+    return _entry_rows(parsed, MOBILE_ATTRIBUTES, attrs).withColumnRenamed("value", "attrs")
 
 
 def event_names_table(parsed: DataFrame) -> DataFrame:
