@@ -301,30 +301,35 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, op
     with only its slice of both tables broadcast.  A file named by manifests
     in two chunks is scanned by both, which keeps one row per (manifest, hit).
     """
-    listed = (
-        files.join(attrs.select("manifest_id", "__sig"), "manifest_id", "left")
-        .select("path_key", "manifest_id", F.xxhash64("path_key").alias("h"), F.col("__sig").isNull().alias("no_header"))
-        .collect()
-    )
-    if not listed:
+    pairs = files.join(attrs.select("manifest_id", "__sig"), "manifest_id", "left")
+    st = pairs.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.count_distinct("path_key").alias("n_paths"),
+        F.count_distinct(F.xxhash64("path_key")).alias("n_hashes"),
+        F.count_distinct("manifest_id").alias("n_manifests"),
+        F.max(F.length("path_key")).alias("max_len"),
+        F.sum(F.col("__sig").isNull().cast("int")).alias("no_header"),
+    ).first()
+    if not st.n_pairs:
         empty = spark.createDataFrame([], "value string, path_key string")
         return empty.join(files, "path_key").join(attrs, "manifest_id")
-    missing = sorted({r.path_key for r in listed if r.no_header})
-    if missing:
-        raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing[:5]}")
-    manifest_ids = {r.manifest_id for r in listed}
-    paths = {r.path_key for r in listed}
-    exact = len({r.h for r in listed}) != len(paths)  # a hash collision: join on the path itself
-    file_bytes = len(listed) * (_ROW_OVERHEAD + 16 + (max(map(len, paths)) if exact else 0))
-    attr_bytes = len(manifest_ids) * (_ROW_OVERHEAD + 8 * len(attrs.columns) + 64)
+    if st.no_header:
+        missing = [r.path_key for r in pairs.filter(F.col("__sig").isNull()).select("path_key").limit(5).collect()]
+        raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing}")
+    exact = st.n_hashes != st.n_paths  # a hash collision: join on the path itself
+    file_bytes = st.n_pairs * (_ROW_OVERHEAD + 16 + (st.max_len if exact else 0))
+    attr_bytes = st.n_manifests * (_ROW_OVERHEAD + 8 * len(attrs.columns) + 64)
     limit = max(options.broadcast_limit, 1)
     # Chunks: manifests by id (bounds the attribute slice) x files by path hash
     # (bounds the file slice and the files per scan).
     n_m = max(1, -(-attr_bytes // limit))
-    n_f = max(1, -(-file_bytes // limit), -(-len(paths) // max(options.max_files_per_scan, 1)))
-    by_chunk: dict[tuple[int, int], set[str]] = {}
-    for r in listed:  # Python's % on a positive modulus == Spark's pmod
-        by_chunk.setdefault((r.manifest_id % n_m, r.h % n_f), set()).add(r.path_key)
+    n_f = max(1, -(-file_bytes // limit), -(-st.n_paths // max(options.max_files_per_scan, 1)))
+    m_part = F.pmod(F.col("manifest_id"), F.lit(n_m))
+    f_part = F.pmod(F.xxhash64("path_key"), F.lit(n_f))
+    by_chunk: dict[tuple[int, int], list[str]] = {}
+    # The file list the text source needs anyway: distinct (path, chunk) pairs.
+    for r in files.select("path_key", m_part.alias("i"), f_part.alias("j")).distinct().collect():
+        by_chunk.setdefault((r.i, r.j), []).append(r.path_key)
     key = "path_key" if exact else "__h"
     parts = []
     for i, j in sorted(by_chunk):
@@ -333,10 +338,9 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, op
         )
         f_side, a_side = files, attrs
         if n_m > 1:
-            f_side = f_side.filter(F.pmod(F.col("manifest_id"), F.lit(n_m)) == i)
-            a_side = a_side.filter(F.pmod(F.col("manifest_id"), F.lit(n_m)) == i)
+            f_side, a_side = f_side.filter(m_part == i), a_side.filter(m_part == i)
         if n_f > 1:
-            f_side = f_side.filter(F.pmod(F.xxhash64("path_key"), F.lit(n_f)) == j)
+            f_side = f_side.filter(f_part == j)
         if not exact:
             recs = recs.withColumn("__h", F.xxhash64("path_key"))
             f_side = f_side.select(F.xxhash64("path_key").alias("__h"), "manifest_id")
