@@ -77,10 +77,6 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def _unescape_if_needed(c: Column) -> Column:
-    return F.when(F.instr(c, "^") > 0, unescape(c)).otherwise(c)
-
-
 def none_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -111,12 +107,17 @@ def _fail(message: str) -> Column:
 def parse_assignment(item: Column, failfast: bool = False) -> Column:
     """``key=value`` -> struct(key, value), both unescaped.  No ``=``: value
     is null (or an error in FAILFAST mode)."""
+    escaped = F.instr(item, "^") > 0
 
     def body(parts: Column) -> Column:
-        value = _unescape_if_needed(F.get(parts, 1))
+        def field(i: int) -> Column:
+            v = F.get(parts, i)
+            return F.when(escaped, unescape(v)).otherwise(v)
+
+        value = field(1)
         if failfast:
             value = F.when(F.size(parts) < 2, _fail("assignment without '='")).otherwise(value)
-        return F.struct(_unescape_if_needed(F.get(parts, 0)).alias("key"), value.alias("value"))
+        return F.struct(field(0).alias("key"), value.alias("value"))
 
     return _let(_split(item, "=", 2), body)
 
