@@ -4,17 +4,19 @@
 
     text scan of every hit file (one task per gzip file)
       -> continuation-line join (sources.hits)
-      -> broadcast join with the file table  (hit file -> its manifest: header
-         signature, lookup versions, modification time, fileset)
+      -> broadcast joins: hash(file path) -> manifest id -> manifest
+         attributes (header signature, lookup versions, mtime, fileset)
       -> split into fields; every output column picks its field by the
          manifest's header signature (schema drift is a CASE, not a union)
       -> left joins with the lookup tables (operators.lookups)
 
 Small driver-side work happens at ``load()`` time: the manifest table, the
-archive index and the distinct header rows are computed (they decide the
-schema), and the list of hit files is handed to the text source, as any file
-read does.  Nothing proportional to the number of hits reaches the driver and
-hits are never shuffled.
+archive index, the decoded lookup lines (parquet, partitioned by entry) and
+the distinct header rows are computed (they decide the schema and the join
+strategy), and the list of hit files is handed to the text source, as any
+file read does.  These results are reused for a repeated load of an
+unchanged feed.  Nothing proportional to the number of hits reaches the
+driver and hits are never shuffled.
 """
 
 from __future__ import annotations
