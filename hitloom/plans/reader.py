@@ -56,7 +56,7 @@ class _Plan:
     manifest_sig: DataFrame  # (manifest_id, sig)
     parsed: DataFrame | None  # parsed lookup lines (checkpointed)
     entry_bytes: dict[str, int]
-    attrs: dict[tuple[str, ...], DataFrame] = field(default_factory=dict)  # frozen per lookup set
+    attrs: dict[tuple[str, ...], DataFrame] = field(default_factory=dict)  # frozen tables per lookup set
 
 
 def _safe(entry: str) -> str:
@@ -443,7 +443,14 @@ def build_feed(
             exprs[name] = F.col("__mobile")
 
     if "events" in kinds.values():
-        table = L.maybe_broadcast(L.event_names_table(p.parsed), p.entry_bytes.get(archive.EVENT, -1), limit)
+        # Built once per plan; the groupBy on top keeps it provably unique per
+        # version, so the join is still dropped when no event column is used.
+        if ("__event_names__",) not in p.attrs:
+            p.attrs[("__event_names__",)] = _stable(spark, L.event_names_table(p.parsed))
+        names_table = p.attrs[("__event_names__",)].groupBy("version").agg(
+            F.first("dense").alias("dense"), F.first("sparse").alias("sparse")
+        )
+        table = L.maybe_broadcast(names_table, p.entry_bytes.get(archive.EVENT, -1), limit)
         df = L.left_lookup(
             df, table, {"version": _version_col(archive.EVENT)},
             {"__ev_dense": F.col("dense"), "__ev_sparse": F.col("sparse")},
