@@ -96,3 +96,15 @@ def test_sql_decoder_equals_column_decoder(spark):
         tsv.decode_field(F.col("f")).alias("a"), F.expr(tsv.decode_field_sql("f")).alias("b")
     ).collect()
     assert all(r.a == r.b for r in rows), [(r.a, r.b) for r in rows if r.a != r.b]
+
+
+def test_bzip2_hits_with_continuations(spark, tmp_path):
+    import bz2
+
+    p = os.path.join(str(tmp_path), "01-b.tsv.bz2")
+    text = "".join(f"id{j}\\\nmore {j}\t{j}\n" for j in range(2000))
+    with open(p, "wb") as f:
+        f.write(bz2.compress(text.encode()))
+    recs = hits.scan_records(spark, ["file:" + p])
+    rows = recs.select(F.transform(tsv.split_fields(F.col("value")), tsv.decode_field).alias("f")).collect()
+    assert sorted((r.f[0], r.f[1]) for r in rows) == sorted((f"id{j}\nmore {j}", str(j)) for j in range(2000))
