@@ -4,9 +4,15 @@ hit files) read as Spark DataFrames."""
 import sys
 
 from hitloom.options import FeedOptions
-from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, datafeed
-
-__all__ = ["FeedOptions", "FeedReader", "NoManifestError", "build_feed", "datafeed", "install"]
+from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, clear_plan_cache, datafeed
+from hitloom.sources.manifest import read_manifests
+from hitloom.sources.manifest_writer import reconstruct_manifests, write_manifests
+from hitloom.streaming.ingest import conform, read_conformed, stream_ingest
+
+__all__ = [
+    "FeedOptions", "FeedReader", "NoManifestError", "build_feed", "clear_plan_cache", "conform", "datafeed",
+    "install", "read_conformed", "read_manifests", "reconstruct_manifests", "stream_ingest", "write_manifests",
+]
 
 
 FORMAT_NAMES = ("datafeed", "hitloom")
