@@ -167,6 +167,11 @@ def parse_products(c: Column, failfast: bool = False) -> Column:
 CANONICAL_ID = r"^(0|[1-9][0-9]{0,8})$"
 
 
+def is_canonical_id(key: str) -> bool:
+    """Python twin of CANONICAL_ID (used when dictionaries are built)."""
+    return key == "0" or (key[:1] in "123456789" and key.isdigit() and key.isascii() and len(key) <= 9)
+
+
 def lookup_event_name(key: Column, dense: Column | None, sparse: Column | None) -> Column:
     """Event id -> name from a per-version dense array (index = id) plus a map
     for ids that are not small canonical integers."""

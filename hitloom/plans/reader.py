@@ -21,6 +21,7 @@ driver and hits are never shuffled.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import OrderedDict
 from dataclasses import dataclass, field
@@ -56,7 +57,9 @@ class _Plan:
     manifest_sig: DataFrame  # (manifest_id, sig)
     parsed: DataFrame | None  # parsed lookup lines (checkpointed)
     entry_bytes: dict[str, int]
+    entry_versions: dict[str, int] = field(default_factory=dict)  # distinct versions per lookup file
     attrs: dict[tuple[str, ...], DataFrame] = field(default_factory=dict)  # frozen tables per lookup set
+    extras: dict[str, object] = field(default_factory=dict)  # other per-plan constants
 
 
 def _safe(entry: str) -> str:
@@ -193,11 +196,13 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
     distinct_headers: list[list[str]] = []
     digest_sig: dict[int, int] = {}
     entry_bytes: dict[str, int] = {}
+    entry_versions: dict[str, int] = {}
     for r in sorted(stats, key=lambda r: (r.entry, r.digest)):
         size = int(r.n) * _ROW_OVERHEAD + 2 * int(r.chars or 0)
         if r.entry == archive.EVENT:  # plus the worst case of its dense id array
             size += 8 * L.DENSE_EVENT_ID_LIMIT
         entry_bytes[r.entry] = entry_bytes.get(r.entry, 0) + size
+        entry_versions[r.entry] = entry_versions.get(r.entry, 0) + 1
         if r.entry == archive.COLUMN_HEADERS and r.headers is not None:
             h = list(r.headers)
             if h not in distinct_headers:
@@ -214,7 +219,7 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
     head_headers = distinct_headers[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
     return _Plan(
         sorted(archive_paths), manifests, set(head_versions), head_headers, distinct_headers, versions,
-        manifest_sig, parsed, entry_bytes,
+        manifest_sig, parsed, entry_bytes, entry_versions,
     )
 
 
@@ -442,7 +447,16 @@ def build_feed(
             )
             exprs[name] = F.col("__mobile")
 
-    if "events" in kinds.values():
+    event_consts = _event_name_constants(p) if "events" in kinds.values() else None
+    if event_consts is not None:
+        # Small dictionaries travel with the plan as constants (sent once per
+        # stage), so no hit row ever carries a copy of a name array.
+        versions, dense_all, sparse_all = event_consts
+        ordinal = F.array_position(versions, F.col(_version_col(archive.EVENT))) - 1
+        for name, kind in kinds.items():
+            if kind == "events":
+                exprs[name] = nested.parse_events(raw(name), F.get(dense_all, ordinal), F.get(sparse_all, ordinal))
+    elif "events" in kinds.values():
         # Built once per plan; the groupBy on top keeps it provably unique per
         # version, so the join is still dropped when no event column is used.
         if ("__event_names__",) not in p.attrs:
@@ -464,6 +478,46 @@ def build_feed(
     return df.select(*[_as_type(exprs.get(f.name), f.dataType, options.failfast).alias(f.name) for f in user_schema.fields])
 
 
+# Event dictionaries up to this size (characters of names, over all versions)
+# are embedded in the plan as constants; larger ones are joined per row.
+EVENT_CONSTANT_LIMIT = 8 * 1024 * 1024
+EVENT_CONSTANT_MAX_VERSIONS = 1024
+
+
+def _event_name_constants(p: _Plan):
+    """``(versions, dense, sparse)`` constant columns for the event lookup, or
+    None when the dictionaries are too large to ship with the plan."""
+    if "event_constants" in p.extras:
+        return p.extras["event_constants"]
+    out = None
+    n_versions = p.entry_versions.get(archive.EVENT, 0)
+    if 0 < p.entry_bytes.get(archive.EVENT, 0) <= EVENT_CONSTANT_LIMIT and n_versions <= EVENT_CONSTANT_MAX_VERSIONS:
+        by_version: dict[int, dict[str, str | None]] = {}
+        for r in L.key_value_table(p.parsed, archive.EVENT).collect():  # size checked above
+            by_version.setdefault(r.version, {})[r.key] = r.value
+        versions = sorted(by_version)
+        dense_all, sparse_all = [], []
+        for v in versions:
+            dense: list[str | None] = []
+            sparse: dict[str, str | None] = {}
+            for k, name in by_version[v].items():
+                if nested.is_canonical_id(k) and int(k) < L.DENSE_EVENT_ID_LIMIT:
+                    i = int(k)
+                    dense.extend([None] * (i + 1 - len(dense)))
+                    dense[i] = name
+                else:
+                    sparse[k] = name
+            dense_all.append(dense)
+            sparse_all.append(sparse)
+        out = (
+            F.array(*[F.lit(v) for v in versions]) if versions else F.array().cast("array<bigint>"),
+            F.from_json(F.lit(json.dumps(dense_all)), "array<array<string>>"),
+            F.from_json(F.lit(json.dumps(sparse_all)), "array<map<string,string>>"),
+        )
+    p.extras["event_constants"] = out
+    return out
+
+
 def _as_type(c: Column | None, data_type: T.DataType, failfast: bool) -> Column:
     """A user-schema column: missing -> typed null; atomic types are cast with
     ``try_cast`` (null on bad text) unless FAILFAST asks for errors."""

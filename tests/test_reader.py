@@ -108,7 +108,7 @@ def test_unused_lookups_are_pruned(spark, feed):
     assert lookup_joins(df.select("hit_id")) == 0
     assert lookup_joins(df.select("os")) == 1
     assert lookup_joins(df.select("hit_id", "browser", "browser_type")) == 2
-    assert lookup_joins(df) == 5  # 3 simple lookups, mobile attributes, event names
+    assert lookup_joins(df) == 4  # 3 simple lookups, mobile attributes (event names are plan constants)
     assert df.select("hit_id")._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
 
 
@@ -353,3 +353,17 @@ def test_duplicate_member_in_archive_later_wins(spark, tmp_path):
     write_gz(f"{root}/01-d_2024-01-01.tsv.gz", "a\t1\n")
     write_manifest(f"{root}/d_2024-01-01.txt", ["d_2024-01-01-lookup_data.tar.gz"], ["01-d_2024-01-01.tsv.gz"])
     assert datafeed(spark).load(root).first().os == "Second"
+
+
+def test_event_names_join_fallback_matches_constants(spark, feed, monkeypatch):
+    import hitloom.plans.reader as reader
+
+    const = {r.hit_id: r.event_list for r in datafeed(spark).load(feed).select("hit_id", "event_list").collect()}
+    monkeypatch.setattr(reader, "EVENT_CONSTANT_LIMIT", 0)
+    reader.clear_plan_cache()
+    df = datafeed(spark).load(feed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin [__v_event") == 1  # dictionaries joined per version instead
+    joined = {r.hit_id: r.event_list for r in df.select("hit_id", "event_list").collect()}
+    reader.clear_plan_cache()
+    assert const == joined and const["1"][0].event == "Purchase"
