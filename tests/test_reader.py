@@ -367,3 +367,12 @@ def test_event_names_join_fallback_matches_constants(spark, feed, monkeypatch):
     joined = {r.hit_id: r.event_list for r in df.select("hit_id", "event_list").collect()}
     reader.clear_plan_cache()
     assert const == joined and const["1"][0].event == "Purchase"
+
+
+def test_event_names_follow_each_deliverys_own_version(spark, tmp_path):
+    root = str(tmp_path)
+    make_feed(root, "v_2024-01-01", ["hit_id", "event_list"], "a\t1,2\n", {"event.tsv": "1\tOld one\n2\tOld two\n"})
+    make_feed(root, "v_2024-01-02", ["hit_id", "event_list"], "b\t1,2,70000,x\n",
+              {"event.tsv": "1\tNew one\n70000\tBig id\nx\tLetter\n"})
+    got = {r.hit_id: [e.event for e in r.event_list] for r in datafeed(spark).load(root).collect()}
+    assert got == {"a": ["Old one", "Old two"], "b": ["New one", None, "Big id", "Letter"]}
