@@ -376,3 +376,17 @@ def test_event_names_follow_each_deliverys_own_version(spark, tmp_path):
               {"event.tsv": "1\tNew one\n70000\tBig id\nx\tLetter\n"})
     got = {r.hit_id: [e.event for e in r.event_list] for r in datafeed(spark).load(root).collect()}
     assert got == {"a": ["Old one", "Old two"], "b": ["New one", None, "Big id", "Letter"]}
+
+
+def test_stream_ingest_is_incremental(spark, tmp_path):
+    from hitloom.streaming import ingest
+
+    root, target, ckpt = str(tmp_path / "feed"), str(tmp_path / "table"), str(tmp_path / "ckpt")
+    make_feed(root, "s_2024-01-01", ["hit_id"], "1\n2\n")
+    ingest.stream_ingest(spark, root, target, ckpt).awaitTermination()
+    # the first delivery's hit file changes after it was ingested; a new delivery arrives
+    write_gz(f"{root}/01-s_2024-01-01.tsv.gz", "changed\n")
+    make_feed(root, "s_2024-01-02", ["hit_id"], "3\n")
+    ingest.stream_ingest(spark, root, target, ckpt).awaitTermination()
+    got = sorted((r._tech_fileset, r.hit_id) for r in ingest.read_conformed(spark, target).collect())
+    assert got == [("s_2024-01-01", "1"), ("s_2024-01-01", "2"), ("s_2024-01-02", "3")]
