@@ -478,9 +478,11 @@ def build_feed(
     return df.select(*[_as_type(exprs.get(f.name), f.dataType, options.failfast).alias(f.name) for f in user_schema.fields])
 
 
-# Event dictionaries up to this size (characters of names, over all versions)
-# are embedded in the plan as constants; larger ones are joined per row.
-EVENT_CONSTANT_LIMIT = 8 * 1024 * 1024
+# Event dictionaries whose constants serialize to at most this many characters
+# (over all versions) are embedded in the plan; larger ones are joined per row.
+# The driver collects them only below the (estimated) collect limit.
+EVENT_CONSTANT_LIMIT = 2 * 1024 * 1024
+EVENT_COLLECT_LIMIT = 8 * 1024 * 1024
 EVENT_CONSTANT_MAX_VERSIONS = 1024
 
 
@@ -491,7 +493,8 @@ def _event_name_constants(p: _Plan):
         return p.extras["event_constants"]
     out = None
     n_versions = p.entry_versions.get(archive.EVENT, 0)
-    if 0 < p.entry_bytes.get(archive.EVENT, 0) <= EVENT_CONSTANT_LIMIT and n_versions <= EVENT_CONSTANT_MAX_VERSIONS:
+    estimated = p.entry_bytes.get(archive.EVENT, 0)
+    if 0 < estimated <= EVENT_COLLECT_LIMIT and n_versions <= EVENT_CONSTANT_MAX_VERSIONS:
         by_version: dict[int, dict[str, str | None]] = {}
         for r in L.key_value_table(p.parsed, archive.EVENT).collect():  # size checked above
             by_version.setdefault(r.version, {})[r.key] = r.value
@@ -509,11 +512,13 @@ def _event_name_constants(p: _Plan):
                     sparse[k] = name
             dense_all.append(dense)
             sparse_all.append(sparse)
-        out = (
-            F.array(*[F.lit(v) for v in versions]) if versions else F.array().cast("array<bigint>"),
-            F.from_json(F.lit(json.dumps(dense_all)), "array<array<string>>"),
-            F.from_json(F.lit(json.dumps(sparse_all)), "array<map<string,string>>"),
-        )
+        dense_json, sparse_json = json.dumps(dense_all), json.dumps(sparse_all)
+        if len(dense_json) + len(sparse_json) <= EVENT_CONSTANT_LIMIT:
+            out = (
+                F.array(*[F.lit(v) for v in versions]) if versions else F.array().cast("array<bigint>"),
+                F.from_json(F.lit(dense_json), "array<array<string>>"),
+                F.from_json(F.lit(sparse_json), "array<map<string,string>>"),
+            )
     p.extras["event_constants"] = out
     return out
 
