@@ -390,3 +390,13 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     ingest.stream_ingest(spark, root, target, ckpt).awaitTermination()
     got = sorted((r._tech_fileset, r.hit_id) for r in ingest.read_conformed(spark, target).collect())
     assert got == [("s_2024-01-01", "1"), ("s_2024-01-01", "2"), ("s_2024-01-02", "3")]
+
+
+def test_scan_pruning_and_lookup_partition_filters(spark, feed):
+    plan = datafeed(spark).load(feed).select("hit_id", "os")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    text = [line for line in scans if "FileScan text" in line]
+    assert len(text) == 1 and "ReadSchema: struct<value:string>" in text[0]  # only the record text is read
+    # the operating_systems build side reads only its own partition of the lookup lines
+    lookup = [line for line in scans if "FileScan parquet" in line]
+    assert lookup and all("PartitionFilters: [" in line and "operating_systems.tsv" in line for line in lookup)
