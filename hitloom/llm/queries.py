@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import bpe, exactdup, simhash, urls
+from hitloom.llm import bpe, exactdup, licences, mixing, simhash, urls
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -21,6 +21,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.plan_mix(docs)
+    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    taken = (F.col("size") * F.size("copies")).alias("taken")
+    return mixing.allot(rows, plan).select("doc_id", "size", "source_size", "target", taken)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to, as digests."""
     vocabulary = public_tokenizers.path(VOCABULARY)
@@ -42,6 +51,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, rules=URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    found = licences.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents, with the digest of every text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,7 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.group_copies(docs, carry=("text_sha256",))
 
 
-QUERIES = {f.__name__: f for f in [op1_simhash, op6_bpe, op7_url_filter, op10_exact_dedup]}
+QUERIES = {f.__name__: f for f in [op1_simhash, op4_mixing, op6_bpe, op7_url_filter, op9_licences, op10_exact_dedup]}
 
 
 def _term(term: str) -> str:
