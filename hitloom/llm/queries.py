@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import bpe, exactdup, licences, mixing, simhash, urls
+from hitloom.llm import bpe, exactdup, licences, mixing, simhash, toxicity, urls, vectors
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -21,6 +21,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, field)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -51,6 +59,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, rules=URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of vectors: cosine 0.95 or more."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.95)
+
+
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
     found = licences.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -64,7 +77,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.group_copies(docs, carry=("text_sha256",))
 
 
-QUERIES = {f.__name__: f for f in [op1_simhash, op4_mixing, op6_bpe, op7_url_filter, op9_licences, op10_exact_dedup]}
+QUERIES = {f.__name__: f for f in [
+    op1_simhash, op2_toxicity, op4_mixing, op6_bpe, op7_url_filter, op8_embeddings, op9_licences, op10_exact_dedup,
+]}
 
 
 def _term(term: str) -> str:
