@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import bpe, exactdup, licences, mixing, simhash, toxicity, urls, vectors
+from hitloom.llm import bpe, exactdup, htmltext, idcodec, licences, mixing, simhash, toxicity, urls, vectors
+from hitloom.session import work_dir
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -29,6 +32,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+END_ID = 2
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written as coded blocks and read back."""
+    folder = work_dir(spark, "llm", f"ids-{uuid.uuid4().hex}")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    idcodec.write_ids(docs, folder, public_tokenizers.path(VOCABULARY), END_ID)
+    return idcodec.read_index(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -38,6 +52,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allot(rows, plan).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = htmltext.extract(pages, htmltext.fit(pages))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to, as digests."""
     vocabulary = public_tokenizers.path(VOCABULARY)
@@ -78,7 +99,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    op1_simhash, op2_toxicity, op4_mixing, op6_bpe, op7_url_filter, op8_embeddings, op9_licences, op10_exact_dedup,
+    op1_simhash, op2_toxicity, op3_token_ids, op4_mixing, op5_main_text, op6_bpe, op7_url_filter, op8_embeddings, op9_licences, op10_exact_dedup,
 ]}
 
 
