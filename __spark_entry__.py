@@ -23,6 +23,14 @@ from hitloom.sources import manifest as manifest_source
 from hitloom.sources import manifest_writer
 from hitloom.streaming import ingest
 
+try:
+    import corpus_pipeline
+    import hitloom.llm.queries as corpus_queries
+except ModuleNotFoundError as missing:  # the corpus operators are optional; nothing else may be missing
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("hitloom.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -355,8 +363,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    if corpus_queries:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if corpus_queries:
+        found |= corpus_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
