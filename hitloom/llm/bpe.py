@@ -19,6 +19,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -71,11 +72,10 @@ class WordBpe:
         if any(max(made.get(a, -1), made.get(b, -1)) > rank for (a, b), (rank, _) in self.merges.items()):
             raise ValueError("a merge uses a token that a later merge makes; ascending ranks would not be exact")
         self.of_rank = {rank: (pair, token) for pair, (rank, token) in self.merges.items()}
-        self.ids = {i: i for i in range(len(self.tokens))}  # one int object per id
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids of 4 bytes
 
-    def merge_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each word: all words merged together through one pair occurrence index."""
+    def merge_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, 4 bytes each: all words merged together through one pair occurrence index."""
         symbols: list[int] = []
         starts: list[int] = []
         for word in words:
@@ -122,16 +122,13 @@ class WordBpe:
                             at_rank[rule[0]] = []
                             heapq.heappush(active, rule[0])
                         at_rank[rule[0]].append(h)
-        ids, out = self.ids, []
-        for start, end in zip(starts, [*starts[1:], n]):
-            out.append(tuple([ids[s] for s in symbols[start:end] if s >= 0]))
-        return out
+        return [array("i", [s for s in symbols[start:end] if s >= 0]).tobytes() for start, end in zip(starts, [*starts[1:], n])]
 
     def split(self, text: str) -> list[str]:
         """Tokens between white space; the vocabulary's own split never reaches over white space."""
         return regex.split(r"\s+", text) if _ODD_SPACE.search(text) else text.split()
 
-    def learn(self, tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    def learn(self, tokens: Iterable[str]) -> dict[str, bytes]:
         """Encode tokens not yet known; returns the memory."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -152,18 +149,18 @@ class WordBpe:
         known = self.known
         known.update(zip(words, self.merge_words(words)))  # a piece alone is a token with the same ids
         for token, mine in zip(missing, parts):
-            known[token] = tuple(chain.from_iterable([known[w] if isinstance(w, str) else (w,) for w in mine]))
+            known[token] = b"".join([known[w] if isinstance(w, str) else array("i", [w]).tobytes() for w in mine])
         return known
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, words of up to CHARS_AT_ONCE characters at a time."""
-        out: list[list[int]] = []
+        out: list[np.ndarray] = []
         held: list[list[str]] = []
         size = 0
 
         def flush() -> None:
             known = self.learn(chain.from_iterable(held))
-            out.extend([list(chain.from_iterable(map(known.__getitem__, tokens))) for tokens in held])
+            out.extend([np.frombuffer(b"".join(map(known.__getitem__, tokens)), np.int32) for tokens in held])
             held.clear()
 
         for text in texts:
@@ -214,7 +211,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
             for batch in slices(whole, pc.utf8_length(whole.column(text)).to_numpy(zero_copy_only=False), CHARS_AT_ONCE):
                 ids = bpe.encode(batch.column(text).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+                flat = np.concatenate(ids)
                 found = pa.ListArray.from_arrays(offsets, flat)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], found], names=[*columns, name])
 

@@ -30,8 +30,10 @@ Defined results
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -49,75 +51,70 @@ from hitloom.llm.common import ship, store, text_or_empty, worker_state
 ship(__name__)
 
 #: Ids in a block and, about, in a segment; segments and characters handled at a time; tokens a task remembers.
-BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 8192, 1 << 19, 8, 2_000_000, 600_000
+BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 8192, 1 << 19, 16, 2_000_000, 800_000
 
 # Fixed values of the coder; files depend on them.
 SLOT_BITS, PAIR_SLOTS, REFRESH, GAIN, CONFIDENT = 12, 4096, 128, 24, 3
+_ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the library
+_WORD = re.compile("([A-Za-z]+)([,.;:!?]+)")  # two pieces to the library, whatever stands around them
 _FULL, _LOW = np.uint64(2**64 - 1), np.uint64(2**32 - 1)
 _32, _SLOT = np.uint64(32), np.uint64(SLOT_BITS)
 _HEAD = "<IIIII"
 
 
 class _Model:
-    """The adaptive state of many blocks; row i belongs to block i."""
+    """The adaptive state of many blocks: flat tables, in which block i has the i-th stretch.
+
+    A prediction is kept as (id + 1) * 4 + confidence, 0 where there is none; how
+    often a confidence pair was right, as a probability of 16 bits.
+    """
 
     def __init__(self, sizes: np.ndarray):
-        blocks, widest = len(sizes), int(sizes.max())
-        self.widest = widest
-        live = np.arange(widest)[None, :] < sizes[:, None]
-        self.counts = live.astype(np.int64)
-        self.first = np.full((blocks, widest + 1), -1, np.int32)  # what followed an id (the last place: the block's start)
-        self.first_sure = np.zeros((blocks, widest + 1), np.int8)
-        self.second = np.full((blocks, PAIR_SLOTS), -1, np.int32)  # what followed a pair of ids, hashed
-        self.second_sure = np.zeros((blocks, PAIR_SLOTS), np.int8)
-        contexts = (CONFIDENT + 1) ** 2
-        self.seen = np.full((blocks, contexts), 4, np.int64)
-        self.right2 = np.ones((blocks, contexts), np.int64)
-        self.right1 = np.ones((blocks, contexts), np.int64)
-        self.last = np.full(blocks, widest, np.int64)
-        self.before = np.full(blocks, widest, np.int64)
-        self.rows = np.arange(blocks)
+        blocks, self.widest = len(sizes), int(sizes.max())
+        live = np.arange(self.widest)[None, :] < sizes[:, None]
+        self.counts = live.astype(np.int32)
+        self.step = self.widest + 1
+        self.first = np.zeros(blocks * self.step, np.int32)  # what followed an id (the last place: the block's start)
+        self.second = np.zeros(blocks * PAIR_SLOTS, np.int32)  # what followed a pair of ids, hashed
+        self.right2 = np.full(blocks * 16, 1 << 13, np.int32)
+        self.right1 = np.full(blocks * 16, 1 << 13, np.int32)
+        self.last = np.full(blocks, self.widest, np.int64)
+        self.before = np.full(blocks, self.widest, np.int64)
+        rows = np.arange(blocks)
+        self.at_first, self.at_second, self.at_context, self.at_counts = (rows * n for n in (self.step, PAIR_SLOTS, 16, self.widest))
+        self.below = np.zeros((blocks, self.step), np.int32)
         self.refresh()
 
     def refresh(self) -> None:
-        self.below = np.zeros((len(self.counts), self.widest + 1), np.int64)
         np.cumsum(self.counts, axis=1, out=self.below[:, 1:])
+        self.flat_below, self.flat_counts = self.below.ravel(), self.counts.ravel()
         self.total = self.below[:, -1].astype(np.uint64)
 
     def predict(self, k: int):
-        """For the first k blocks: predicted ids of both orders, the contexts, and the widths of both intervals."""
-        rows = self.rows[:k]
+        """For the first k blocks: places in the tables, what they hold, predicted ids, widths of both intervals."""
         last = self.last[:k]
-        pair = (self.before[:k] * 2654435761 + last * 40503) % PAIR_SLOTS
-        two, one = self.second[rows, pair], self.first[rows, last]
-        sure2, sure1 = self.second_sure[rows, pair], self.first_sure[rows, last]
-        context = sure2.astype(np.int64) * (CONFIDENT + 1) + sure1
+        second = (self.before[:k] * 40503 + last * 2531) % PAIR_SLOTS + self.at_second[:k]
+        first = last + self.at_first[:k]
+        held2, held1 = self.second.take(second), self.first.take(first)
+        context = ((held2 & 3) << 2 | (held1 & 3)) + self.at_context[:k]
+        right2, right1 = self.right2.take(context), self.right1.take(context)
+        two, one = (held2 >> 2) - 1, (held1 >> 2) - 1
         scale = (1 << SLOT_BITS) - 96
-        seen = self.seen[rows, context]
-        width2 = np.where(two >= 0, 32 + self.right2[rows, context] * scale // seen, 0)
-        width1 = np.where((one >= 0) & (one != two), 32 + self.right1[rows, context] * scale // seen, 0)
-        return pair, two, one, context, width2, width1
+        width2 = (32 + (right2 * scale >> 16)) * (held2 > 0)
+        width1 = (32 + (right1 * scale >> 16)) * ((held1 > 0) & (one != two))
+        return second, first, held2, held1, context, right2, right1, two, one, width2, width1
 
     def learn(self, k: int, ids: np.ndarray, told) -> None:
-        pair, two, one, context, _, _ = told
-        rows = self.rows[:k]
+        second, first, held2, held1, context, right2, right1, two, one, _, _ = told
         hit2, hit1 = two == ids, one == ids
-        self.seen[rows, context] += 1
-        self.right2[rows, context] += hit2
-        self.right1[rows, context] += hit1 & ~hit2
-        large = self.seen[rows, context] > 250
-        if large.any():
-            r, c = rows[large], context[large]
-            for table, least in ((self.seen, 4), (self.right2, 1), (self.right1, 1)):
-                table[r, c] = np.maximum(table[r, c] >> 1, least)
-            self.seen[r, c] = np.maximum(self.seen[r, c], self.right2[r, c] + self.right1[r, c] + 2)
-        for table, sure, at, hit in ((self.second, self.second_sure, pair, hit2), (self.first, self.first_sure, self.last[:k], hit1)):
-            level = np.where(hit, np.minimum(sure[rows, at] + 1, CONFIDENT), sure[rows, at] - 1)
-            lost = level <= 0
-            table[rows[lost], at[lost]] = ids[lost]
-            sure[rows, at] = np.where(lost, 1, level)
-        missed = ~(hit2 | hit1)
-        self.counts[rows[missed], ids[missed]] += GAIN
+        new = ((ids + 1) << 2 | 1).astype(np.int32)
+        for table, at, held, hit in ((self.second, second, held2, hit2), (self.first, first, held1, hit1)):
+            sure = held & 3
+            table[at] = np.where(hit, held + (sure < CONFIDENT), np.where(sure <= 1, new, held - 1))
+        hit1 &= ~hit2
+        self.right2[context] = right2 + (((hit2.astype(np.int32) << 16) - right2) >> 5)
+        self.right1[context] = right1 + (((hit1.astype(np.int32) << 16) - right1) >> 5)
+        self.flat_counts[ids + self.at_counts[:k]] += GAIN * ~(hit2 | hit1)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
 
@@ -179,17 +176,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             model.refresh()
         now = ids[t, :k].astype(np.int64)
         told = model.predict(k)
-        _, two, one, _, width2, width1 = told
+        two, one, width2, width1 = told[-4:]
         is2 = two == now
         is1 = ~is2 & (one == now)
         other = ~(is2 | is1)
-        rows = model.rows[:k]
         unit = width[:k] >> _SLOT
         at = np.where(is2, 0, np.where(is1, width2, width2 + width1)).astype(np.uint64)
         span = np.where(is2, width2, np.where(is1, width1, (1 << SLOT_BITS) - width2 - width1)).astype(np.uint64)
         lo, wi = low[:k] + unit * at, unit * span
-        below = model.below[rows, now]
-        count = model.below[rows, now + 1] - below
+        place = now + model.at_first[:k]
+        below = model.flat_below.take(place)
+        count = model.flat_below.take(place + 1) - below
         unit = wi // np.where(other, model.total[:k], np.uint64(1))
         lo = lo + unit * np.where(other, below, 0).astype(np.uint64)
         wi = unit * np.where(other, count, 1).astype(np.uint64)
@@ -238,16 +235,14 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     low, width = np.zeros(blocks, np.uint64), np.full(blocks, _FULL)
     ids = np.zeros((int(lengths[0]), blocks), np.int32)
     active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
-    step = model.widest + 1
     for t, k in enumerate(active.tolist()):
         if t % REFRESH == 0:
             if t:
                 model.refresh()
             reach = int(model.below[:, -1].max()) + 1
-            line = (model.below + model.rows[:, None] * reach).ravel()  # ascending over all blocks
+            line = (model.below + np.arange(blocks)[:, None] * reach).ravel()  # ascending over all blocks
         told = model.predict(k)
-        _, two, one, _, width2, width1 = told
-        rows = model.rows[:k]
+        two, one, width2, width1 = told[-4:]
         unit = width[:k] >> _SLOT
         value = ((code[:k] - low[:k]) // unit).astype(np.int64)
         is2 = value < width2
@@ -261,9 +256,10 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         r = np.flatnonzero(other)
         if len(r):
             want = np.minimum((code[r] - lo[r]) // unit[r], model.total[r] - np.uint64(1)).astype(np.int64)
-            now[r] = np.searchsorted(line, want + r * reach, "right") - 1 - r * step
-            below = model.below[r, now[r]]
-            count = model.below[r, now[r] + 1] - below
+            found = np.searchsorted(line, want + r * reach, "right") - 1
+            now[r] = found - model.at_first[r]
+            below = model.flat_below.take(found)
+            count = model.flat_below.take(found + 1) - below
             lo[r] += unit[r] * below.astype(np.uint64)
             wi[r] = unit[r] * count.astype(np.uint64)
         ids[t, :k] = now
@@ -278,7 +274,6 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
             place[r] += 1
         low[:k], width[:k] = lo, wi
         model.learn(k, now, told)
-        del rows
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * blocks
     for r, i in enumerate(order.tolist()):
         found = alphabets[r][ids[: heads[i][0], r]].astype(np.uint32)
@@ -321,17 +316,21 @@ class _Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [regex.split(r"\s+", t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        missing = list(set(chain.from_iterable(split)) - self.known.keys())
-        found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-        self.known.update((m, tuple(f.ids)) for m, f in zip(missing, found))
+        split = [regex.split(r"\s+", t) if _ODD_SPACE.search(t) else t.split() for t in texts]
         known = self.known
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, tokens)), np.uint32) for tokens in split]
+        if len(known) > REMEMBERED:
+            known.clear()
+        missing = list(set(chain.from_iterable(split)) - known.keys())
+        words = [_WORD.fullmatch(m) for m in missing]
+        pieces = [(m[1].lower(), m[2]) if m else (t,) for t, m in zip(missing, words)]
+        asked = list(set(chain.from_iterable(pieces)) - known.keys())
+        found = self.library.encode_batch_fast(asked, add_special_tokens=False)
+        known.update((m, array("I", f.ids).tobytes()) for m, f in zip(asked, found))
+        known.update((t, b"".join([known[p] for p in ps])) for t, ps in zip(missing, pieces))
+        return [np.frombuffer(b"".join(map(known.__getitem__, tokens)), np.uint32) for tokens in split]
 
 
 def _encoder(spec: str) -> _Encoder:
