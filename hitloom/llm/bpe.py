@@ -30,12 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import fresh, ship, text_or_empty, with_fields, worker_state
+from hitloom.llm.common import fresh, ship, text_or_empty, with_fields, worker_keeps
 
 ship(__name__)
 
 #: Tokens of text that a task remembers, and characters of text it splits at a time: bounds of its memory.
-REMEMBERED, CHARS_AT_ONCE = 800_000, 2_000_000
+REMEMBERED, CHARS_AT_ONCE = 400_000, 500_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -55,9 +55,6 @@ class WordBpe:
         self.suffix = model["end_of_word_suffix"] or ""
         vocab = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.tokens: list[str | None] = [None] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, i in chain(vocab.items(), self.special.items()):
-            self.tokens[i] = token
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
@@ -175,10 +172,17 @@ class WordBpe:
 
 def loaded(spec: str) -> WordBpe:
     """The tokenizer of this Python worker, kept between its tasks."""
-    state = worker_state()
-    if state.get("bpe_spec") != spec:
-        state["bpe"], state["bpe_spec"] = WordBpe(spec), spec
-    return state["bpe"]
+    return worker_keeps("bpe", spec, lambda: WordBpe(spec))
+
+
+def token_list(spec: str) -> list[str | None]:
+    """The token of each id of a tokenizer file, its special tokens included."""
+    data = json.loads(spec)
+    ids = [*data["model"]["vocab"].items(), *((t["content"], t["id"]) for t in data["added_tokens"])]
+    tokens: list[str | None] = [None] * (max(i for _, i in ids) + 1)
+    for token, i in ids:
+        tokens[i] = token
+    return tokens
 
 
 def read_spec(path: str) -> str:
@@ -222,10 +226,10 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
     """``rows`` with the text of their ids: without a decoder in the vocabulary, tokens joined by one space."""
     (name,) = fresh(rows, text_col)
     columns = rows.columns
-    shared = rows.sparkSession.sparkContext.broadcast(read_spec(vocabulary))
+    shared = rows.sparkSession.sparkContext.broadcast(token_list(read_spec(vocabulary)))  # one string per id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = pa.array(loaded(shared.value).tokens, pa.large_string())
+        tokens = pa.array(shared.value, pa.large_string())
         for whole in batches:
             sizes = pc.fill_null(pc.list_value_length(whole.column(ids_col)), 0).to_numpy(zero_copy_only=False)
             for batch in slices(whole, sizes, CHARS_AT_ONCE):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -21,9 +21,16 @@ def ship(module: str) -> None:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
-def worker_state() -> dict:
-    """A dictionary that lives as long as the Python worker, whatever its tasks unpickle."""
-    return sys.modules.setdefault("hitloom_worker_state", types.ModuleType("hitloom_worker_state")).__dict__
+def worker_keeps(kind: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` returned for (kind, key), kept while the Python worker lives, whatever its tasks unpickle.
+
+    A worker keeps one such thing: another operator's is let go first.
+    """
+    state = sys.modules.setdefault("hitloom_worker_state", types.ModuleType("hitloom_worker_state")).__dict__
+    if state.get("kept", (None, None, None))[:2] != (kind, key):
+        state["kept"] = (None, None, None)
+        state["kept"] = (kind, key, make())
+    return state["kept"][2]
 
 
 def store(df: DataFrame, kind: str) -> DataFrame:

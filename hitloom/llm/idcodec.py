@@ -46,12 +46,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm.bpe import read_spec, slices
-from hitloom.llm.common import ship, store, text_or_empty, worker_state
+from hitloom.llm.common import ship, store, text_or_empty, worker_keeps
 
 ship(__name__)
 
 #: Ids in a block and, about, in a segment; segments and characters handled at a time; tokens a task remembers.
-BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 8192, 1 << 19, 16, 2_000_000, 800_000
+BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 8192, 1 << 19, 16, 500_000, 600_000
 
 # Fixed values of the coder; files depend on them.
 SLOT_BITS, PAIR_SLOTS, REFRESH, GAIN, CONFIDENT = 12, 4096, 128, 24, 3
@@ -74,12 +74,12 @@ class _Model:
         live = np.arange(self.widest)[None, :] < sizes[:, None]
         self.counts = live.astype(np.int32)
         self.step = self.widest + 1
-        self.first = np.zeros(blocks * self.step, np.int32)  # what followed an id (the last place: the block's start)
+        self.first = np.zeros(blocks * self.step, np.int32)  # what followed an id, counted from 1 (0: the block's start)
         self.second = np.zeros(blocks * PAIR_SLOTS, np.int32)  # what followed a pair of ids, hashed
         self.right2 = np.full(blocks * 16, 1 << 13, np.int32)
         self.right1 = np.full(blocks * 16, 1 << 13, np.int32)
-        self.last = np.full(blocks, self.widest, np.int64)
-        self.before = np.full(blocks, self.widest, np.int64)
+        self.last = np.zeros(blocks, np.int64)  # ids count from 1 here: a block's start is the same in any company
+        self.before = np.zeros(blocks, np.int64)
         rows = np.arange(blocks)
         self.at_first, self.at_second, self.at_context, self.at_counts = (rows * n for n in (self.step, PAIR_SLOTS, 16, self.widest))
         self.below = np.zeros((blocks, self.step), np.int32)
@@ -116,7 +116,7 @@ class _Model:
         self.right1[context] = right1 + (((hit1.astype(np.int32) << 16) - right1) >> 5)
         self.flat_counts[ids + self.at_counts[:k]] += GAIN * ~(hit2 | hit1)
         self.before[:k] = self.last[:k]
-        self.last[:k] = ids
+        self.last[:k] = ids + 1
 
 
 def _carry(low: np.ndarray, width: np.ndarray):
@@ -334,10 +334,7 @@ class _Encoder:
 
 
 def _encoder(spec: str) -> _Encoder:
-    state = worker_state()
-    if state.get("id_spec") != spec:
-        state["ids"], state["id_spec"] = _Encoder(spec), spec
-    return state["ids"]
+    return worker_keeps("ids", spec, lambda: _Encoder(spec))
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.bpe import slices
-from hitloom.llm.common import fresh, ship, text_or_empty, with_fields, worker_state
+from hitloom.llm.common import fresh, ship, text_or_empty, with_fields, worker_keeps
 
 ship(__name__)
 
 #: Labelled rows of each class that the field is trained on, at most.
 SAMPLE = 2000
 #: Slots of hashed features; tokens in a training window; words a task remembers; characters handled at a time.
-SLOTS, WINDOW, REMEMBERED, CHARS_AT_ONCE = 1 << 18, 32, 500_000, 4_000_000
+SLOTS, WINDOW, REMEMBERED, CHARS_AT_ONCE = 1 << 18, 32, 400_000, 4_000_000
 #: A marking feature: toxic sample documents that have it, and how many times the clean share.
 LEAST_DOCS, TIMES_CLEAN = 8, 20.0
 WORD = re.compile(r"[^\W_]+")
@@ -271,11 +271,8 @@ def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field, state = shared.value, worker_state()
-        mark = hash(field.weights.tobytes())
-        if state.get("field") != mark:
-            state["field"], state["emissions"] = mark, {}
-        known = state["emissions"]
+        field = shared.value
+        known = worker_keeps("emissions", hash(field.weights.tobytes()), dict)
         for whole in batches:
             for batch in slices(whole, pc.utf8_length(whole.column(text)).to_numpy(zero_copy_only=False), CHARS_AT_ONCE):
                 texts = batch.column(text).to_pylist()
