@@ -68,6 +68,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, in a session that hands Python at most ``rows`` rows at a time: whole texts are large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key, "0"))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def with_fields(df: DataFrame, **kinds: str) -> StructType:
     """The schema of ``df`` and further columns, kinds as in DDL."""
     added = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.bpe import slices
-from hitloom.llm.common import fresh, ship, text_or_empty, with_fields
+from hitloom.llm.common import fresh, ship, small_batches, text_or_empty, with_fields
 
 ship(__name__)
 
@@ -434,4 +434,4 @@ def extract(pages: DataFrame, trees: Trees, html_col: str = "html", text_col: st
                 texts = [main_text(p, decode(p, o)) for p, o in zip(parsed, np.split(odds, ends[:-1]))]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(texts, pa.string())], names=[*columns, name])
 
-    return pages.withColumn(given, text_or_empty(html_col)).mapInArrow(run, with_fields(pages, **{name: "string"}))
+    return small_batches(pages.withColumn(given, text_or_empty(html_col))).mapInArrow(run, with_fields(pages, **{name: "string"}))

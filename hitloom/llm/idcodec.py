@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitloom.llm.bpe import read_spec, slices
-from hitloom.llm.common import ship, store, text_or_empty, worker_keeps
+from hitloom.llm.common import ship, small_batches, store, text_or_empty, worker_keeps
 
 ship(__name__)
 
@@ -389,7 +389,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     tie = F.xxhash64("text")
     ordered = given.repartitionByRange(F.col("id"), tie).sortWithinPartitions(F.col("id"), tie)
-    ordered.mapInArrow(run, "part int, seq int, doc_ids array<long>, lengths array<long>, payload binary").write.parquet(path)
+    small_batches(ordered).mapInArrow(run, "part int, seq int, doc_ids array<long>, lengths array<long>, payload binary").write.parquet(path)
 
 
 def _read(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:

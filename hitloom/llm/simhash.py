@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import fresh, join_stored, ship, sorted_groups, store, text_or_empty
+from hitloom.llm.common import fresh, join_stored, ship, small_batches, sorted_groups, store, text_or_empty
 from hitloom.llm.components import components
 
 ship(__name__)
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.int64())], names=["id", "fp"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    return small_batches(rows).mapInArrow(run, "id long, fp long")
 
 
 def _ranges(budget: int) -> list[tuple[int, int]]:

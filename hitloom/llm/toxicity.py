@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.bpe import slices
-from hitloom.llm.common import fresh, ship, text_or_empty, with_fields, worker_keeps
+from hitloom.llm.common import fresh, ship, small_batches, text_or_empty, with_fields, worker_keeps
 
 ship(__name__)
 
@@ -284,4 +284,4 @@ def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], *arrays], names=[*columns, *out])
 
     schema = with_fields(docs, **dict(zip(out, ("double", "int", "array<struct<start: int, end: int, p: double>>"))))
-    return docs.withColumn(text, text_or_empty(text_col)).mapInArrow(run, schema)
+    return small_batches(docs.withColumn(text, text_or_empty(text_col))).mapInArrow(run, schema)
