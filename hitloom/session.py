@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).  Only when the
-    session has none (local tests) a temporary folder is created and
-    registered as the checkpoint directory."""
+    """The cluster's shared folder (``spark.checkpoint.dir``).  Only when a local
+    session has none (tests) a temporary folder is created and registered as the
+    checkpoint directory; a cluster's executors would not see it, so there an
+    unset folder is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hitloom-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
