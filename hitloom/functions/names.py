@@ -12,6 +12,10 @@ HIT_SUFFIX = ".tsv.gz"
 MANIFEST_SUFFIX = ".txt"
 
 
+# Scheme and authority of a path.
+_ROOT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*:)(//[^/]*)?)?"
+
+
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/*$", 1)
 
@@ -43,15 +47,28 @@ def manifest_fileset(lookup_paths: Column, data_paths: Column) -> Column:
 
 
 def resolve(directory: Column, name: Column) -> Column:
-    """Resolve a manifest entry against the manifest's directory; absolute
-    names (``/x`` or ``scheme:...``) are kept."""
+    """Resolve a manifest entry against the manifest's directory, in the form
+    in which file listings give paths: absolute names (``/x`` or ``scheme:...``)
+    stay absolute, an empty authority (``file:///x``) is the directory's, and
+    repeated slashes, ``.`` and ``..`` are resolved."""
     has_scheme = name.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
-    scheme_authority = F.regexp_extract(directory, r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)", 1)
-    return (
-        F.when(has_scheme, name)
-        .when(name.startswith("/"), F.concat(scheme_authority, name))
-        .otherwise(F.concat(directory, F.lit("/"), name))
+    full = F.when(has_scheme | name.startswith("/"), name).otherwise(F.concat(directory, F.lit("/"), name))
+    scheme = F.regexp_extract(full, _ROOT, 1)
+    authority = F.regexp_extract(full, _ROOT, 2)
+    home_scheme, home_authority = F.regexp_extract(directory, _ROOT, 1), F.regexp_extract(directory, _ROOT, 2)
+    at_home = (scheme == "") | ((scheme == home_scheme) & authority.isin("", "//"))
+    root = F.when(at_home, F.concat(home_scheme, home_authority)).otherwise(
+        F.concat(scheme, F.when(authority == "//", F.lit("")).otherwise(authority))
+    )
+    steps = F.filter(F.split(F.regexp_replace(full, _ROOT, ""), "/"), lambda x: ~x.isin("", "."))
+    walked = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(
+            F.concat(acc, F.array(x))
+        ),
     )
+    return F.concat(root, F.lit("/"), F.array_join(walked, "/"))
 
 
 def scan_path_key(file_path: Column) -> Column:

@@ -20,6 +20,7 @@ COMMENT = "comment"
 JOIN_CONTINUATION_LINES = "joinContinuationLines"
 BROADCAST_LIMIT_BYTES = "broadcastLimitBytes"
 MAX_FILES_PER_SCAN = "maxFilesPerScan"
+FILESETS = "filesets"
 
 DEFAULT_FILE_ENCODING = "ISO-8859-1"
 DEFAULT_DATA_ENCODING = "UTF-8"
@@ -72,6 +73,9 @@ class FeedOptions:
             MAX_FILES_PER_SCAN, self.get(MAX_FILES_PER_SCAN, str(DEFAULT_MAX_FILES_PER_SCAN))
         )
 
+        filesets = self.get(FILESETS)
+        self.filesets = None if filesets is None else [x.strip() for x in filesets.split(",")]
+
     def get(self, key: str, default: str | None = None) -> str | None:
         return self.raw.get(key.lower(), default)
 

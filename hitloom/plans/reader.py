@@ -21,6 +21,7 @@ driver and hits are never shuffled.
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 from collections import OrderedDict
@@ -40,6 +41,9 @@ from hitloom.session import ensure_checkpoint_dir, work_dir
 _ROW_OVERHEAD = 64
 
 
+_EPOCH = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+
+
 class NoManifestError(ValueError):
     pass
 
@@ -51,6 +55,7 @@ class _Plan:
     archive_paths: list[str]
     manifests: DataFrame
     head_entries: set[str]
+    all_entries: set[str]
     head_headers: list[str]
     signatures: list[list[str]]
     versions: DataFrame  # (manifest_id, entry, version)
@@ -174,10 +179,10 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
         .groupBy("manifest_id", "entry")
         .agg(F.max_by("digest", F.struct("pos", "member_no")).alias("version"))
     )
-    head_versions = {
-        r.entry: r.version
-        for r in versions.filter(F.col("manifest_id") == head.manifest_id).select("entry", "version").collect()
-    }
+    # One row per lookup file name that any manifest has.
+    of_head = F.max(F.when(F.col("manifest_id") == head.manifest_id, F.col("version"))).alias("version")
+    entry_heads = {r.entry: r.version for r in versions.groupBy("entry").agg(of_head).collect()}
+    head_versions = {e: v for e, v in entry_heads.items() if v is not None}
     if archive.COLUMN_HEADERS not in head_versions:
         raise ValueError("the first manifest's lookup archive has no column_headers.tsv")
 
@@ -218,14 +223,21 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
     )
     head_headers = distinct_headers[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
     return _Plan(
-        sorted(archive_paths), manifests, set(head_versions), head_headers, distinct_headers, versions,
+        sorted(archive_paths), manifests, set(head_versions), set(entry_heads), head_headers, distinct_headers, versions,
         manifest_sig, parsed, entry_bytes, entry_versions,
     )
 
 
-def _raw_column(name: str, signatures: list[list[str]]) -> Column:
+def _raw_column(name: str, signatures: list[list[str]], failfast: bool = False) -> Column:
     """Decoded value of physical column ``name`` for whatever header signature
-    a hit's manifest has; null where that manifest lacks the column."""
+    a hit's manifest has; null where that manifest lacks the column, and where
+    the record ends before it (an error with ``failfast``)."""
+
+    def pick(i: int) -> str:
+        if not failfast:
+            return f"get(__f, {i})"
+        return f"CASE WHEN size(__f) > {i} THEN get(__f, {i}) ELSE raise_error('record is shorter than its header') END"
+
     by_index: dict[int, list[int]] = {}
     for sig, headers in enumerate(signatures):
         if name in headers:
@@ -233,25 +245,25 @@ def _raw_column(name: str, signatures: list[list[str]]) -> Column:
     if not by_index:
         return F.lit(None).cast("string")
     if len(by_index) == 1 and len(next(iter(by_index.values()))) == len(signatures):
-        raw = f"get(__f, {next(iter(by_index))})"
+        raw = pick(next(iter(by_index)))
     else:
         whens = " ".join(
-            f"WHEN __sig IN ({', '.join(map(str, sigs))}) THEN get(__f, {idx})" for idx, sigs in by_index.items()
+            f"WHEN __sig IN ({', '.join(map(str, sigs))}) THEN {pick(idx)}" for idx, sigs in by_index.items()
         )
         raw = f"CASE {whens} END"
     return F.expr(tsv.decode_field_sql(raw))
 
 
-def _output_columns(p: _Plan, options: FeedOptions) -> OrderedDict[str, str]:
-    """Output column name -> kind, in output order (first name wins)."""
+def _output_columns(headers: list[str], entries: set[str], options: FeedOptions) -> OrderedDict[str, str]:
+    """Output column name -> kind, in output order (first name wins), for these
+    hit columns and lookup files."""
     cols: OrderedDict[str, str] = OrderedDict()
-    headers = p.head_headers
     if options.enable_lookups:
         cols[options.metadata_prefix + "last_modified"] = "meta_mtime"
         cols[options.metadata_prefix + "fileset"] = "meta_fileset"
-        if archive.MOBILE_ATTRIBUTES in p.head_entries and L.MOBILE_KEY in headers:
+        if archive.MOBILE_ATTRIBUTES in entries and L.MOBILE_KEY in headers:
             cols.setdefault("mobile_attributes", "mobile")
-        if archive.EVENT in p.head_entries:
+        if archive.EVENT in entries:
             for c in L.EVENT_COLUMNS:
                 if c in headers:
                     cols.setdefault(c, "events")
@@ -259,7 +271,7 @@ def _output_columns(p: _Plan, options: FeedOptions) -> OrderedDict[str, str]:
             if c in headers:
                 cols.setdefault(c, "products")
         for rule in L.SIMPLE_LOOKUPS:
-            if rule.entry in p.head_entries and rule.key in headers:
+            if rule.entry in entries and rule.key in headers:
                 cols.setdefault(rule.output, "simple")
     for h in headers:
         if h is not None:
@@ -267,18 +279,23 @@ def _output_columns(p: _Plan, options: FeedOptions) -> OrderedDict[str, str]:
     return cols
 
 
-def _file_tables(p: _Plan, entries_needed: list[str]) -> tuple[DataFrame, DataFrame]:
+def _file_tables(p: _Plan, entries_needed: list[str], filesets: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Two small broadcast sides, kept apart so neither repeats the other:
 
-    * files: ``(path_key, manifest_id)``, one row per hit file a manifest names;
+    * files: ``(path_key, manifest_id)``, one row per hit file a manifest (of
+      these filesets) names, so that other filesets are never scanned;
     * attrs: one row per manifest: header signature, modification time,
       fileset and the version of every lookup file in use.
     """
-    files = manifest.manifest_entries(p.manifests).filter(F.col("kind") == "data").select(
+    delivered = p.manifests if filesets is None else p.manifests.filter(F.col("fileset").isin(filesets))
+    files = manifest.manifest_entries(delivered).filter(F.col("kind") == "data").select(
         F.col("path").alias("path_key"), "manifest_id"
     )
     attrs = p.manifests.select(
-        "manifest_id", F.col("modification_time").alias("__mtime"), F.col("fileset").alias("__fileset")
+        "manifest_id",
+        F.coalesce("modification_time", F.lit(_EPOCH)).alias("__mtime"),  # never null, and known to be
+        F.coalesce("fileset", F.lit("")).alias("__fileset"),
+        F.xxhash64("manifest_path").alias("__manifest"),
     ).join(p.manifest_sig.withColumnRenamed("sig", "__sig"), "manifest_id", "left")
     if entries_needed:
         pivot = (
@@ -360,19 +377,35 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, op
 
 
 def build_feed(
-    spark: SparkSession, paths: list[str], options: FeedOptions, user_schema: T.StructType | None = None
+    spark: SparkSession,
+    paths: list[str],
+    options: FeedOptions,
+    user_schema: T.StructType | None = None,
+    every_column: bool = False,
 ) -> DataFrame:
+    """The feed as one DataFrame.  The first manifest decides the column set; a
+    user schema, and ``every_column``, see the columns and lookup files of all
+    manifests.  ``every_column`` also gives event lists their parsed form
+    whether or not there is a dictionary, and adds the column ``<prefix>manifest``
+    (a hash of the manifest's path): a table that does not depend on which
+    manifests are read together."""
     p = _cached_plan(spark, paths, options, need_lookups=options.enable_lookups)
     if p is None:
         if user_schema is None:
             raise NoManifestError(f"no manifest found in {paths}")
         return spark.createDataFrame([], user_schema)
 
-    out_cols = _output_columns(p, options)
+    all_headers = list(OrderedDict.fromkeys([*p.head_headers, *(h for s in p.signatures for h in s)]))
+    out_cols = _output_columns(all_headers, p.all_entries | ({archive.EVENT} if every_column else set()), options)
     if user_schema is not None:
         wanted = [f.name for f in user_schema.fields]
+    elif every_column:
+        wanted = list(out_cols)
     else:
-        wanted = list(out_cols.keys())
+        head_cols = _output_columns(p.head_headers, p.head_entries, options)
+        wanted = list(head_cols)
+        # A column that only later manifests look up is still looked up there (both kinds are strings).
+        out_cols = {n: "simple" if kind == "raw" and out_cols[n] == "simple" else kind for n, kind in head_cols.items()}
     kinds = {n: out_cols[n] for n in wanted if n in out_cols}
 
     entries_needed: list[str] = []
@@ -382,7 +415,7 @@ def build_feed(
             | ({archive.EVENT} if "events" in kinds.values() else set())
             | ({archive.MOBILE_ATTRIBUTES} if "mobile" in kinds.values() else set())
         )
-    files, attrs = _file_tables(p, entries_needed)
+    files, attrs = _file_tables(p, entries_needed, options.filesets)
     # files is an explode of the (checkpointed) manifest table; attrs joins
     # several small tables, so it is frozen (once per set of lookups in use).
     if tuple(entries_needed) not in p.attrs:
@@ -391,7 +424,7 @@ def build_feed(
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:
-        too_long = F.exists("__f", lambda x: F.length(x) > options.max_chars_per_column)
+        too_long = F.exists("__f", lambda x: F.length(tsv.decode_field(x)) > options.max_chars_per_column)
         df = df.filter(F.when(too_long, F.raise_error(F.lit("field longer than maxCharsPerColumn"))).otherwise(F.lit(True)))
     if options.failfast:
         max_fields = None
@@ -407,7 +440,7 @@ def build_feed(
 
     def raw(name: str) -> Column:
         if name not in raw_cache:
-            raw_cache[name] = _raw_column(name, p.signatures)
+            raw_cache[name] = _raw_column(name, p.signatures, options.failfast)
         return raw_cache[name]
 
     limit = options.broadcast_limit
@@ -435,8 +468,12 @@ def build_feed(
             )
             vcol = _version_col(rule.entry)
             df = L.left_lookup(df, table, {"version": vcol, "key": "__k_" + rule.key}, {"__lv_" + name: F.col("value")})
-            # A manifest without this lookup file keeps the raw column of that name.
-            exprs[name] = F.when(F.col(vcol).isNotNull(), F.col("__lv_" + name)).otherwise(raw(name))
+            # A manifest without this lookup file, or without its key, keeps the raw column of that name.
+            looked_up = F.col(vcol).isNotNull()
+            keyed = [sig for sig, headers in enumerate(p.signatures) if rule.key in headers]
+            if len(keyed) < len(p.signatures):
+                looked_up = looked_up & F.col("__sig").isin(keyed)
+            exprs[name] = F.when(looked_up, F.col("__lv_" + name)).otherwise(raw(name))
         elif kind == "mobile":
             table = L.maybe_broadcast(
                 L.mobile_table(p.parsed), p.entry_bytes.get(archive.MOBILE_ATTRIBUTES, -1), limit
@@ -473,6 +510,9 @@ def build_feed(
             if kind == "events":
                 exprs[name] = nested.parse_events(raw(name), F.col("__ev_dense"), F.col("__ev_sparse"))
 
+    if every_column:
+        wanted.append(options.metadata_prefix + "manifest")
+        exprs[wanted[-1]] = F.col("__manifest")
     if user_schema is None:
         return df.select(*[exprs[n].alias(n) for n in wanted])
     return df.select(*[_as_type(exprs.get(f.name), f.dataType, options.failfast).alias(f.name) for f in user_schema.fields])

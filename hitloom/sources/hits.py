@@ -164,10 +164,20 @@ def may_split(paths: list[str]) -> bool:
     return any(not p.lower().endswith(UNSPLITTABLE_SUFFIXES) for p in paths)
 
 
+def _plain_file(uri: str) -> str:
+    return "file:" + uri[len("file://") :] if uri.startswith("file:///") else uri
+
+
 def scan_lines(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
     df = spark.read.option("lineSep", "\n").text([names.escape_glob(p) for p in paths])
+    # A listed file under another path (a folder, a hidden name) would lose its hits in the join on paths.
+    unread = sorted(set(paths) - {unquote(p) for p in map(_plain_file, df.inputFiles())})
+    if unread:
+        raise ValueError(f"hit files that the scan does not read under their listed path: {unread[:5]}")
     value = F.col("value")
-    if encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
+        value = F.make_valid_utf8(value)  # a bad byte becomes U+FFFD, as in the lookup files
+    else:
         value = F.decode(value.cast("binary"), encoding)
     return df.select(
         value.alias("value"),
@@ -186,14 +196,20 @@ def scan_records(
     comment: str | None = tsv.COMMENT_CHAR,
 ) -> DataFrame:
     """``(value, path_key)``: one row per hit record, in file order."""
-    lines = scan_lines(spark, paths, encoding)
     if not join_lines:
+        lines = scan_lines(spark, paths, encoding)
         recs = lines.select("value", names.scan_path_key(F.col("file_path")).alias("path_key"))
     else:
-        joined = lines.mapInArrow(join_continuation_lines, RECORD_SCHEMA)
-        if may_split(paths):
-            complete = joined.filter(F.col("frag") == FRAG_COMPLETE)
-            stitched = _stitch(joined.filter(F.col("frag") != FRAG_COMPLETE))
-            joined = complete.unionByName(stitched)
-        recs = joined.select("value", "path_key")
+        # Only files that may be cut into splits pay for the stitching pass.
+        recs = None
+        for splits in (False, True):
+            some = [p for p in paths if may_split([p]) == splits]
+            if not some:
+                continue
+            joined = scan_lines(spark, some, encoding).mapInArrow(join_continuation_lines, RECORD_SCHEMA)
+            if splits:
+                complete = joined.filter(F.col("frag") == FRAG_COMPLETE)
+                joined = complete.unionByName(_stitch(joined.filter(F.col("frag") != FRAG_COMPLETE)))
+            joined = joined.select("value", "path_key")
+            recs = joined if recs is None else recs.unionByName(joined)
     return recs.filter(tsv.is_data_record(F.col("value"), comment))

@@ -83,7 +83,8 @@ def _write_files(batches):
 
 def write_manifests(manifests: DataFrame, folder: str) -> DataFrame:
     """Write one manifest per row (needs >= 1 lookup archive per row) into
-    ``folder``; returns ``(manifest_path, bytes)`` of the files written."""
+    ``folder``; returns ``(manifest_path, bytes)`` of the files written.
+    Two rows with the same target file are an error, as one would hide the other."""
     lookup_files = F.col("lookup_files").cast(LOOKUP_FILE_TYPE)
     data_files = F.col("data_files").cast(DATA_FILE_TYPE)
     rows = manifests.select(
@@ -92,7 +93,13 @@ def write_manifests(manifests: DataFrame, folder: str) -> DataFrame:
         .alias("target"),
         manifest_text(lookup_files, data_files).alias("text"),
     )
-    return rows.mapInArrow(_write_files, "manifest_path string, bytes bigint")
+    once = rows.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("text")).select(
+        F.when(F.col("n") == 1, F.col("target"))
+        .otherwise(F.raise_error(F.concat(F.lit("several manifests would be written to "), F.col("target"))))
+        .alias("target"),
+        "text",
+    )
+    return once.mapInArrow(_write_files, "manifest_path string, bytes bigint")
 
 
 def reconstruct_manifests(spark: SparkSession, hit_dir: str, lookup_dir: str) -> DataFrame:
@@ -100,9 +107,9 @@ def reconstruct_manifests(spark: SparkSession, hit_dir: str, lookup_dir: str) ->
 
     Both folders are listed recursively (``*.tsv.gz`` hit files,
     ``*-lookup_data.tar.gz`` archives, contents not read), paired by fileset
-    with an inner join; one manifest per hit file, md5 and size left empty,
-    modification time = now.  Only a leading ``NN-`` part number is stripped
-    from a hit-file name to get its fileset.
+    with an inner join; one manifest per fileset with all its hit files in path
+    order, md5 and size left empty, modification time = now.  Only a leading
+    ``NN-`` part number is stripped from a hit-file name to get its fileset.
     """
 
     def listing(path: str, glob: str) -> DataFrame:
@@ -124,14 +131,15 @@ def reconstruct_manifests(spark: SparkSession, hit_dir: str, lookup_dir: str) ->
         .agg(F.max("lookup_path").alias("lookup_path"))
     )
     empty = F.lit("")
-    return hit_files.join(archives, "fileset").select(
+    parts = hit_files.groupBy("fileset").agg(F.sort_array(F.collect_list("data_path")).alias("data_paths"))
+    return parts.join(archives, "fileset").select(
         "fileset",
         F.array(F.struct(F.col("lookup_path").alias("path"), empty.alias("md5"), empty.alias("size"))).alias("lookup_files"),
-        F.array(
-            F.struct(
-                F.col("data_path").alias("path"), empty.alias("md5"), empty.alias("size"),
-                F.lit(None).cast("bigint").alias("record_count"),
-            )
+        F.transform(
+            "data_paths",
+            lambda p: F.struct(
+                p.alias("path"), empty.alias("md5"), empty.alias("size"), F.lit(None).cast("bigint").alias("record_count")
+            ),
         ).alias("data_files"),
         F.current_timestamp().alias("modification_time"),
     )

@@ -1,12 +1,14 @@
 """Loading feeds into a columnar table, in batches or as a stream.
 
-``conform``: one read of a feed written to parquet partitioned by fileset with
-dynamic partition overwrite, so reloading a delivery replaces exactly its
-partition (idempotent; a retried or repeated batch never duplicates rows).
+``conform``: one read of a feed written to parquet partitioned by fileset and
+manifest with dynamic partition overwrite, so reloading a manifest replaces
+exactly its partition (idempotent; a retried or repeated batch never duplicates
+rows, and manifests that share a fileset never replace each other).  The table
+has the columns of all manifests, so it does not depend on how they were batched.
 
 ``stream_ingest``: Structured Streaming over the manifest folder (a
 ``binaryFile`` file stream of ``*.txt``); each micro-batch reads exactly the
-manifests that arrived and conforms them.  The stream's checkpoint replaces a
+manifests that arrived and pass the file filters, and conforms them.  The stream's checkpoint replaces a
 hand-kept "modified after" timestamp.
 """
 
@@ -18,24 +20,29 @@ from pyspark.sql.streaming import StreamingQuery
 from hitloom import fs
 from hitloom.functions import names
 from hitloom.options import FeedOptions
-from hitloom.plans.reader import FeedReader
+from hitloom.plans.reader import build_feed
 from hitloom.sources.manifest import LISTING_SCHEMA
 
 
-def write_conformed(df: DataFrame, target: str, partition_column: str) -> None:
+def write_conformed(df: DataFrame, target: str, *partition_columns: str) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_column)
+        .partitionBy(*partition_columns)
         .parquet(target)
     )
 
 
+def _conform(spark: SparkSession, paths: list[str], target: str, options: FeedOptions) -> None:
+    prefix = options.metadata_prefix
+    df = build_feed(spark, paths, options, every_column=True)
+    keys = [c for c in (prefix + "fileset", prefix + "manifest") if c in df.columns]
+    write_conformed(df, target, *keys)
+
+
 def conform(spark: SparkSession, paths: list[str], target: str, **options) -> None:
     """Read a feed (any reader options, e.g. ``modifiedAfter``) into ``target``."""
-    opts = FeedOptions({k: str(v) for k, v in options.items()})
-    df = FeedReader(spark).options(**options).load(*paths)
-    write_conformed(df, target, opts.metadata_prefix + "fileset")
+    _conform(spark, paths, target, FeedOptions(options))
 
 
 def stream_ingest(
@@ -47,8 +54,10 @@ def stream_ingest(
     max_manifests_per_batch: int = 1000,
     **options,
 ) -> StreamingQuery:
-    """Start a stream that conforms every new manifest of ``feed_dir``."""
-    opts = FeedOptions({k: str(v) for k, v in options.items()})
+    """Start a stream that conforms every new manifest of ``feed_dir`` (any reader
+    options; the file filters choose manifests as they do in ``conform``)."""
+    opts = FeedOptions(options)
+    filters = opts.file_filters()
     root = fs.qualify(spark, feed_dir).rstrip("/")
     manifests = (
         spark.readStream.format("binaryFile")
@@ -61,10 +70,11 @@ def stream_ingest(
     def handle(batch: DataFrame, batch_id: int) -> None:
         # At most max_manifests_per_batch paths: the file list of this batch.
         paths = sorted(r.path for r in batch.select("path").distinct().collect())
-        if not paths:
-            return
-        df = FeedReader(spark).options(**options).load(*paths)
-        write_conformed(df, target, opts.metadata_prefix + "fileset")
+        if paths and filters:
+            listing = spark.read.format("binaryFile").options(**filters).load([names.escape_glob(p) for p in paths])
+            paths = sorted(r.path for r in listing.select("path").collect())
+        if paths:
+            _conform(spark, paths, target, opts)
 
     writer = manifests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hitloom import datafeed
@@ -82,3 +83,19 @@ def test_reconstruct_pairs_by_fileset(spark, tmp_path):
     manifest_writer.write_manifests(rebuilt, "file:" + out).collect()
     got = datafeed(spark).load(out).groupBy("_tech_fileset").count().collect()
     assert sorted((r[0], r[1]) for r in got) == [("site_2015-01-13", 2), ("site_2015-07-13", 1)]
+
+
+def test_reconstruct_keeps_all_parts_and_duplicate_targets_fail(spark, tmp_path):
+    (tmp_path / "hits").mkdir()
+    for part in ("01", "02"):
+        write_gz(str(tmp_path / "hits" / f"{part}-s.tsv.gz"), part + "\n")
+    (tmp_path / "lk").mkdir()
+    write_archive(str(tmp_path / "lk" / "s-lookup_data.tar.gz"), {"column_headers.tsv": "hit_id\n"})
+    rebuilt = manifest_writer.reconstruct_manifests(spark, str(tmp_path / "hits"), str(tmp_path / "lk"))
+    rows = rebuilt.collect()
+    assert [[d.path.rsplit("/", 1)[1] for d in r.data_files] for r in rows] == [["01-s.tsv.gz", "02-s.tsv.gz"]]
+    out = "file:" + str(tmp_path / "out")
+    assert len(manifest_writer.write_manifests(rebuilt, out).collect()) == 1
+    assert sorted(r.hit_id for r in datafeed(spark).load(out).collect()) == ["01", "02"]
+    with pytest.raises(Exception, match="several manifests"):
+        manifest_writer.write_manifests(rebuilt.unionByName(rebuilt), out).collect()

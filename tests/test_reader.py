@@ -400,3 +400,95 @@ def test_scan_pruning_and_lookup_partition_filters(spark, feed):
     # the operating_systems build side reads only its own partition of the lookup lines
     lookup = [line for line in scans if "FileScan parquet" in line]
     assert lookup and all("PartitionFilters: [" in line and "operating_systems.tsv" in line for line in lookup)
+
+
+def test_manifest_paths_in_any_form(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    make_feed(root, "p_2024-01-01", ["hit_id"], "0\n")
+    for i in range(1, 5):
+        write_gz(f"{root}/0{i}-a.tsv.gz", f"{i}\n")
+    forms = ["01-a.tsv.gz", "./02-a.tsv.gz", f"file://{root}/03-a.tsv.gz", f"{root}//x/..//04-a.tsv.gz"]
+    write_manifest(f"{root}/p_2024-01-01.txt", ["./p_2024-01-01-lookup_data.tar.gz"], forms)
+    assert sorted(r.hit_id for r in datafeed(spark).load(root).collect()) == ["1", "2", "3", "4"]
+
+
+def test_listed_file_that_the_scan_skips_is_an_error(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    make_feed(root, "p_2024-01-01", ["hit_id"], "0\n")
+    os.makedirs(f"{root}/folder.tsv.gz")
+    write_gz(f"{root}/folder.tsv.gz/01-a.tsv.gz", "1\n")
+    write_manifest(f"{root}/p_2024-01-01.txt", ["p_2024-01-01-lookup_data.tar.gz"], ["folder.tsv.gz"])
+    with pytest.raises(ValueError, match="listed path"):
+        datafeed(spark).load(root)
+
+
+def test_filesets_option_limits_the_scan(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    for day in (1, 2, 3):
+        make_feed(root, f"f_2024-01-0{day}", ["hit_id"], f"{day}\n")
+    df = datafeed(spark).option("filesets", "f_2024-01-01,f_2024-01-03").load(root)
+    assert sorted(r.hit_id for r in df.collect()) == ["1", "3"] and len(df.inputFiles()) == 2
+
+
+def test_user_schema_sees_columns_of_later_manifests(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    make_feed(root, "a_2024-01-01", ["hit_id", "os"], "1\t10\n")
+    make_feed(root, "b_2024-01-02", ["hit_id", "os", "only_b"], "2\t10\ty\n", {"operating_systems.tsv": "10\tLinux\n"})
+    got = datafeed(spark).schema("hit_id string, only_b string, os string").load(root).collect()
+    assert sorted(tuple(r) for r in got) == [("1", None, "10"), ("2", "y", "Linux")]
+    plain = datafeed(spark).load(root)  # the first manifest decides the columns, each manifest its own lookups
+    assert "only_b" not in plain.columns and sorted((r.hit_id, r.os) for r in plain.collect()) == [("1", "10"), ("2", "Linux")]
+
+
+def test_bad_bytes_beside_a_continued_line(spark, tmp_path):
+    import gzip
+
+    root = str(tmp_path / "feed")
+    make_feed(root, "u_2024-01-01", ["hit_id", "page"], "")
+    with gzip.open(f"{root}/01-u_2024-01-01.tsv.gz", "wb") as f:
+        f.write(b"1\ta\xffb\n2\tc\\\nd\n")
+    assert sorted((r.hit_id, r.page) for r in datafeed(spark).load(root).collect()) == [("1", "a\ufffdb"), ("2", "c\nd")]
+
+
+def test_failfast_short_record_only_where_the_column_is_used(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    make_feed(root, "s_2024-01-01", ["hit_id", "a", "b"], "1\tx\n")
+    assert datafeed(spark).load(root).collect()[0].b is None
+    df = datafeed(spark).option("mode", "FAILFAST").load(root)
+    assert df.select("hit_id", "a").collect()[0].a == "x"
+    with pytest.raises(Exception, match="shorter"):
+        df.collect()
+
+
+def test_max_chars_counts_decoded_text(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    make_feed(root, "m_2024-01-01", ["hit_id", "a"], "1\ta\\tb\n")
+    assert datafeed(spark).option("maxCharsPerColumn", 3).load(root).collect()[0].a == "a\tb"
+    with pytest.raises(Exception, match="maxCharsPerColumn"):
+        datafeed(spark).option("maxCharsPerColumn", 2).load(root).collect()
+
+
+def test_metadata_columns_are_never_null(spark, feed):
+    schema = datafeed(spark).load(feed).schema
+    assert not schema["_tech_last_modified"].nullable and not schema["_tech_fileset"].nullable
+
+
+@pytest.mark.parametrize("per_batch", [1, 1000])
+def test_stream_result_does_not_depend_on_the_batches(spark, tmp_path, per_batch):
+    from hitloom.streaming import ingest
+
+    root, target = str(tmp_path / "feed"), str(tmp_path / "table")
+    make_feed(root, "s_2024-01-01", ["hit_id", "event_list"], "1\t1=2\n")
+    write_gz(f"{root}/02-s_2024-01-01.tsv.gz", "2\t1\n")
+    write_manifest(f"{root}/s_more.txt", ["s_2024-01-01-lookup_data.tar.gz"], ["02-s_2024-01-01.tsv.gz"])  # same fileset
+    make_feed(root, "t_2024-01-02", ["hit_id", "event_list", "only_t"], "3\t1\ty\n", {"event.tsv": "1\tBuy\n"})
+    make_feed(root, "x_2024-01-02", ["hit_id", "event_list"], "4\t1\n")
+    q = ingest.stream_ingest(
+        spark, root, target, str(tmp_path / "ckpt"), max_manifests_per_batch=per_batch, pathGlobFilter="[st]_*"
+    )
+    q.awaitTermination()
+    ingest.conform(spark, [root], target, pathGlobFilter="s_more*")  # a reload replaces its own rows only
+    rows = ingest.read_conformed(spark, target).collect()
+    assert sorted((r.hit_id, r.only_t, r.event_list[0].event, r._tech_fileset) for r in rows) == [
+        ("1", None, None, "s_2024-01-01"), ("2", None, None, "s_2024-01-01"), ("3", "y", "Buy", "t_2024-01-02")
+    ]
