@@ -85,16 +85,38 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each text, the one with the largest id; columns unchanged."""
-    names = fresh(docs, "len", "prefix", "sha", "shared")
-    keep, size, ties = fresh(docs, "keep", "size", "ties")
+    """``docs`` with one row of each text, the one with the largest id; columns unchanged.
+
+    What goes is decided on ids, lengths and hashes; whole rows meet only the ids
+    that go.  Rows of an id that repeats with another outcome, and repeated rows
+    of one document, are looked at text by text.
+    """
+    names = ["len", "prefix", "sha", "shared"]
     prefixes = shared_prefixes(docs, text_col)
-    hashed = _hashed(docs, text_or_empty(text_col), names, prefixes)
-    slim = _hashed(docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text")), F.col("text"), names, prefixes)
-    groups = store(_groups(slim, "id", names).toDF(names[0], names[2], keep, size, ties), "groups")
-    rows = join_stored(hashed, groups, [names[0], names[2]])
-    stays = rows.where(F.col(size).isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col(keep)))
-    if not groups.where(F.col(ties) > 1).isEmpty():  # repeated rows: any one of them
-        once = F.coalesce(F.col(ties), F.lit(1)) == 1
-        stays = stays.where(once).unionByName(stays.where(~once).dropDuplicates([names[0], names[2]]))
-    return stays.select(*[F.col(f"`{c}`") for c in docs.columns])
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
+    hashed = store(_hashed(slim, F.col("text"), names, prefixes).drop("text", "prefix"), "hashed")
+    groups = store(_groups(hashed, "id", names), "groups")
+    alone = F.col("size").isNull()
+    stays = alone | F.col("id").eqNullSafe(F.col("keep"))
+    decided = join_stored(hashed, groups, ["len", "sha"]).select(
+        "id", stays.alias("stays"), (~alone & stays & (F.col("ties") > 1)).alias("tied"),
+    )
+    per_id = decided.groupBy("id").agg(
+        F.min("stays").alias("all_stay"), F.max("stays").alias("any_stays"), F.max("tied").alias("tied"),
+    )
+    per_id = store(per_id.where("NOT all_stay OR tied"), "outcomes")
+    (other,) = fresh(docs, "other")
+    gone = store(per_id.where("NOT any_stays").select(F.col("id").alias(other)), "gone")
+    unclear = store(per_id.where("any_stays").select(F.col("id").alias(other)), "unclear")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(other))
+    rows = docs.join(gone, same, "left_anti")
+    if unclear.isEmpty():
+        return rows
+    length, sha, keep, size, ties = fresh(docs, "len", "sha", "keep", "size", "ties")
+    text = text_or_empty(text_col)
+    looked_at = docs.join(unclear, same, "left_semi").withColumns({length: _length(text), sha: F.sha2(text, 256)})
+    looked_at = join_stored(looked_at, groups.toDF(length, sha, keep, size, ties), [length, sha])
+    left = looked_at.where(F.col(size).isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col(keep)))
+    once = F.coalesce(F.col(ties), F.lit(1)) == 1
+    left = left.where(once).unionByName(left.where(~once).dropDuplicates([length, sha]))
+    return rows.join(unclear, same, "left_anti").unionByName(left.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -68,6 +68,8 @@ def test_exact_repeats_nulls_and_empty(spark):
     docs = spark.createDataFrame([(5, "a"), (5, "a"), (None, "a"), (None, "b"), (None, "b"), (7, None)], "doc_id long, text string")
     kept = [(r.doc_id, r.text) for r in exactdup.drop_copies(docs).collect()]
     assert sorted(kept, key=str) == [(5, "a"), (7, None), (None, "b")]
+    mixed = spark.createDataFrame([(5, "a"), (5, "b"), (7, "a"), (7, "c"), (8, "d"), (3, "d"), (3, "e")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in exactdup.drop_copies(mixed).collect()) == [(3, "e"), (5, "b"), (7, "a"), (7, "c"), (8, "d")]
     assert exactdup.drop_copies(docs.limit(0)).count() == 0 and exactdup.group_copies(docs.limit(0)).count() == 0
 
 
