@@ -35,7 +35,9 @@ from hitloom.llm.common import fresh, ship, small_batches, text_or_empty, with_f
 ship(__name__)
 
 #: Tokens of text that a task remembers, and characters of text it splits at a time: bounds of its memory.
-REMEMBERED, CHARS_AT_ONCE = 300_000, 500_000
+REMEMBERED, CHARS_AT_ONCE = 200_000, 250_000
+#: Rows handed to Python at a time.
+BATCH_ROWS = 250
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -219,7 +221,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
                 found = pa.ListArray.from_arrays(offsets, flat)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], found], names=[*columns, name])
 
-    return small_batches(docs.withColumn(text, text_or_empty(text_col))).mapInArrow(run, with_fields(docs, **{name: "array<int>"}))
+    return small_batches(docs.withColumn(text, text_or_empty(text_col)), BATCH_ROWS).mapInArrow(run, with_fields(docs, **{name: "array<int>"}))
 
 
 def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -243,7 +245,7 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
                 text = pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), pa.scalar(" ", pa.large_string()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], text.cast(pa.string())], names=[*columns, name])
 
-    return small_batches(rows).mapInArrow(run, with_fields(rows, **{name: "string"}))
+    return small_batches(rows, BATCH_ROWS).mapInArrow(run, with_fields(rows, **{name: "string"}))
 
 
 def digests(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
