@@ -20,13 +20,14 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,14 +206,14 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.
         yield batch.slice(start)
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of the whole text of each row (array<int>)."""
-    name, text = fresh(docs, ids_col, "text_in")
-    columns = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(read_spec(vocabulary))
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoding(columns: list[str], text: str, name: str, spec: Broadcast) -> Callable[[Batches], Batches]:
+    """The task that adds ids ``name`` of ``text`` to ``columns``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(shared.value)
+    def run(batches: Batches) -> Batches:
+        bpe = loaded(spec.value)
         for whole in batches:
             for batch in slices(whole, pc.utf8_length(whole.column(text)).to_numpy(zero_copy_only=False), CHARS_AT_ONCE):
                 ids = bpe.encode(batch.column(text).to_pylist())
@@ -221,16 +222,13 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
                 found = pa.ListArray.from_arrays(offsets, flat)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], found], names=[*columns, name])
 
-    return small_batches(docs.withColumn(text, text_or_empty(text_col)), BATCH_ROWS).mapInArrow(run, with_fields(docs, **{name: "array<int>"}))
+    return run
 
 
-def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``rows`` with the text of their ids: without a decoder in the vocabulary, tokens joined by one space."""
-    (name,) = fresh(rows, text_col)
-    columns = rows.columns
-    shared = rows.sparkSession.sparkContext.broadcast(token_list(read_spec(vocabulary)))  # one string per id
+def _decoding(columns: list[str], ids_col: str, name: str, shared: Broadcast) -> Callable[[Batches], Batches]:
+    """The task that adds the text ``name`` of ``ids_col`` to ``columns``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         tokens = pa.array(shared.value, pa.large_string())
         for whole in batches:
             sizes = pc.fill_null(pc.list_value_length(whole.column(ids_col)), 0).to_numpy(zero_copy_only=False)
@@ -245,7 +243,43 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
                 text = pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), pa.scalar(" ", pa.large_string()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], text.cast(pa.string())], names=[*columns, name])
 
-    return small_batches(rows, BATCH_ROWS).mapInArrow(run, with_fields(rows, **{name: "string"}))
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with the ids of the whole text of each row (array<int>)."""
+    name, text = fresh(docs, ids_col, "text_in")
+    spec = docs.sparkSession.sparkContext.broadcast(read_spec(vocabulary))
+    given = small_batches(docs.withColumn(text, text_or_empty(text_col)), BATCH_ROWS)
+    return given.mapInArrow(_encoding(docs.columns, text, name, spec), with_fields(docs, **{name: "array<int>"}))
+
+
+def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``rows`` with the text of their ids: without a decoder in the vocabulary, tokens joined by one space."""
+    (name,) = fresh(rows, text_col)
+    tokens = rows.sparkSession.sparkContext.broadcast(token_list(read_spec(vocabulary)))  # one string per id
+    given = small_batches(rows, BATCH_ROWS)
+    return given.mapInArrow(_decoding(rows.columns, ids_col, name, tokens), with_fields(rows, **{name: "string"}))
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[str] | None = None, ids_col: str = "ids", decoded_col: str = "decoded"
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default), their ids, and the text that those ids decode to.
+
+    The same as :func:`decode` of :func:`encode`, by one Python worker a task instead of two:
+    ids go from the one to the other in the worker, and the JVM sees neither the text again
+    nor the ids twice.
+    """
+    columns = docs.columns if keep is None else keep
+    kept = docs.select(*[f"`{c}`" for c in columns])
+    ids, decoded, text = fresh(kept, ids_col, decoded_col, "text_in")
+    context, spec = docs.sparkSession.sparkContext, read_spec(vocabulary)
+    encoding = _encoding(columns, text, ids, context.broadcast(spec))
+    decoding = _decoding([*columns, ids], ids, decoded, context.broadcast(token_list(spec)))
+    given = small_batches(docs.select(*[f"`{c}`" for c in columns], text_or_empty(text_col).alias(text)), BATCH_ROWS)
+    schema = with_fields(kept, **{ids: "array<int>", decoded: "string"})
+    return given.mapInArrow(lambda batches: decoding(encoding(batches)), schema)
 
 
 def digests(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -63,8 +63,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they decode to, as digests."""
     vocabulary = public_tokenizers.path(VOCABULARY)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, vocabulary).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(ids, vocabulary)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.digests(bpe.round_trip(docs, vocabulary, keep=["doc_id"])).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 # The rules of the URL query (verdict, host, path).

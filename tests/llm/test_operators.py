@@ -259,6 +259,10 @@ def test_bpe_matches_the_library(spark):
     odd = spark.createDataFrame([([320, None, -1, 99999, 49407],), (None,), ([],)], "ids array<int>")
     assert [r.decoded for r in bpe.decode(odd, VOCABULARY).collect()] == ["a</w> <|endoftext|>", "", ""]
     assert bpe.encode(docs.limit(0), VOCABULARY).count() == 0
+    both = bpe.round_trip(docs, VOCABULARY)
+    assert sorted(both.collect(), key=str) == sorted(bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY, ids_col="_ids").collect(), key=str)
+    assert bpe.round_trip(docs, VOCABULARY, keep=["doc_id"]).columns == ["doc_id", "ids", "decoded"]
+    assert bpe.round_trip(docs.limit(0), VOCABULARY).count() == 0
 
 
 # ---- URLs
