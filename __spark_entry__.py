@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom import datafeed, synth
+from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
 from hitloom.sources import manifest as manifest_source
 from hitloom.sources import manifest_writer
@@ -214,10 +215,81 @@ def feed_stream_ingest(spark, sf_dir):
     target = _scratch(spark, "streamed")
     q = ingest.stream_ingest(spark, f"{root}/web", target, _scratch(spark, "stream-checkpoint"), max_manifests_per_batch=1)
     q.awaitTermination()
-    df = ingest.read_conformed(spark, target)
+    return _by_fileset_os(ingest.read_conformed(spark, target))
+
+
+def _by_fileset_os(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_tech_fileset").alias("fileset"), "os").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
+def feed_stream_ingest_filtered(spark, sf_dir):
+    """The filters choose the same manifests in a stream as in a batch read, at any batch size."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    target = _scratch(spark, "streamed")
+    q = ingest.stream_ingest(
+        spark, f"{root}/web", target, _scratch(spark, "stream-checkpoint"), max_manifests_per_batch=1000, pathGlobFilter="shop_2024-01-02*"
+    )
+    q.awaitTermination()
+    return _by_fileset_os(ingest.read_conformed(spark, target))
+
+
+def feed_conform_drift(spark, sf_dir):
+    """Deliveries with other columns, conformed one by one: the table has the columns of both."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    target = _scratch(spark, "conformed")
+    ingest.conform(spark, [f"{root}/late"], target, modifiedBefore="2024-01-02T12:00:00", timeZone="UTC")
+    ingest.conform(spark, [f"{root}/late"], target, modifiedAfter="2024-01-02T12:00:00", timeZone="UTC")
+    return ingest.read_conformed(spark, target).select(_hit_id(), "os", "extra_b")
+
+
+def feed_path_forms(spark, sf_dir):
+    """Manifests that name the same files relatively, with ``.``, ``..`` and spare slashes, and absolutely."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    return _by_fileset_os(datafeed(spark).load(f"{root}/forms"))
+
+
+def feed_lookup_late_file(spark, sf_dir):
+    """A lookup file that only a later delivery has: earlier hits keep their code."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    return datafeed(spark).load(f"{root}/late").select(_hit_id(), "os")
+
+
+def feed_user_schema_drift(spark, sf_dir):
+    """A column that only a later delivery has, asked for by a user schema."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    return datafeed(spark).schema("hit_id bigint, extra_b string, os string").load(f"{root}/late")
+
+
+def feed_plain_and_bzip2(spark, sf_dir):
+    """Hit files that Spark splits; records may go over the cuts."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    df = datafeed(spark).load(f"{root}/codecs")
+    return df.select(_hit_id(), F.col("post_pagename").alias("text"))
+
+
+def feed_mobile_all_fields(spark, sf_dir):
+    return _web(spark, sf_dir).select(_hit_id(), "mobile_attributes.*")
+
+
+def feed_product_pairs(spark, sf_dir):
+    """Pairs whose keys and values hold escaped list syntax."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    p = datafeed(spark).load(f"{root}/parts").select(_hit_id(), F.posexplode("product_list").alias("pos", "p"))
+    ev = p.select("hit_id", "pos", F.lit("event").alias("kind"), F.posexplode("p.events").alias("i", "kv"))
+    evar = p.select("hit_id", "pos", F.lit("evar").alias("kind"), F.posexplode("p.evars").alias("i", "kv"))
+    return ev.unionByName(evar).select("hit_id", "pos", "kind", "i", F.col("kv.key").alias("key"), F.col("kv.value").alias("value"))
+
+
+def feed_filesets_option(spark, sf_dir):
+    """``filesets`` chooses deliveries before any hit file is listed."""
+    return _web(spark, sf_dir, filesets=synth.WEB_B).select(_hit_id(), "browser", "_tech_fileset")
+
+
+def feed_metadata_prefix(spark, sf_dir):
+    df = _web(spark, sf_dir, metadataPrefix="m_")
+    return df.groupBy(F.col("m_fileset").alias("fileset"), "os").agg(F.count(F.lit(1)).alias("n_hits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -226,6 +298,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feed_product_events_evars, feed_tsv_escapes, feed_metadata_fileset, feed_schema_drift,
         feed_user_schema, feed_glob_filter, feed_modified_after, feed_multi_path, feed_manifest_parse,
         feed_manifest_roundtrip, feed_manifest_reconstruct, feed_conform_incremental, feed_stream_ingest,
+        feed_stream_ingest_filtered, feed_conform_drift, feed_path_forms, feed_lookup_late_file, feed_user_schema_drift,
+        feed_plain_and_bzip2, feed_mobile_all_fields, feed_product_pairs, feed_filesets_option, feed_metadata_prefix,
     ]
 }
 
@@ -259,6 +333,11 @@ _COUNT_BY_FILESET_OS = (
     "SELECT {fs} AS fileset, " + _OS + " AS os, COUNT(*) AS n_hits FROM events GROUP BY 1, 2"
 ).format(fs=_FILESET)
 
+_LATE = (
+    f"SELECT event_id AS hit_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id % 5 AS VARCHAR) ELSE {_OS} END AS os, "
+    "CASE WHEN event_id % 2 = 1 THEN concat('b', event_id) END AS extra_b FROM events"
+)
+
 ORACLES: dict[str, str] = {
     "feed_hits_by_os": f"SELECT {_OS} AS os, COUNT(*) AS n_hits FROM events GROUP BY 1",
     "feed_scan_raw": (
@@ -343,7 +422,8 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT 'shop_2024-03-01', COUNT(*) FROM documents"
     ),
     "feed_manifest_parse": (
-        f"SELECT {_FILESET} AS fileset, 1 AS n_lookup, {synth.FILES_PER_FILESET} AS n_data, "
+        f"SELECT {_FILESET} AS fileset, 1 AS n_lookup, "
+        f"CAST(greatest({synth.FILES_PER_FILESET}, ceil(COUNT(*) / {synth.ROWS_PER_FILE}.0)) AS INTEGER) AS n_data, "
         "COUNT(*) AS total_records FROM events GROUP BY 1"
     ),
     "feed_manifest_roundtrip": _COUNT_BY_FILESET_OS,
@@ -354,7 +434,31 @@ ORACLES: dict[str, str] = {
     ),
     "feed_conform_incremental": _COUNT_BY_FILESET_OS,
     "feed_stream_ingest": _COUNT_BY_FILESET_OS,
+    "feed_stream_ingest_filtered": f"SELECT * FROM ({_COUNT_BY_FILESET_OS}) WHERE fileset = '{synth.WEB_B}'",
+    "feed_conform_drift": _LATE,
+    "feed_path_forms": _COUNT_BY_FILESET_OS,
+    "feed_lookup_late_file": f"SELECT hit_id, os FROM ({_LATE})",
+    "feed_user_schema_drift": _LATE,
+    "feed_mobile_all_fields": (
+        "SELECT event_id AS hit_id, "
+        + ", ".join(
+            f"CASE WHEN user_id % 13 < {12 if i < 2 else 11} THEN concat('{f} ', user_id % 13) END AS \"{f}\""
+            for i, f in enumerate(MOBILE_FIELDS)
+        )
+        + " FROM events"
+    ),
+    "feed_product_pairs": " UNION ALL ".join(
+        f"SELECT p_partkey AS hit_id, {pos} AS pos, '{kind}' AS kind, {i} AS i, '{key}' AS key, {value} AS value FROM part"
+        for pos, kind, i, key, value in [
+            (0, "event", 0, "event1", "'1'"), (0, "event", 1, "event2", _PRODUCT_NAME),
+            (0, "evar", 0, "eVar1", _PRODUCT_NAME), (0, "evar", 1, "eVar=2", "replace(p_type, ' ', '|')"),
+            (1, "evar", 0, "e|Var3", "concat(replace(p_type, ' ', '|'), ';')"),
+        ]
+    ),
+    "feed_metadata_prefix": _COUNT_BY_FILESET_OS,
 }
+ORACLES["feed_plain_and_bzip2"] = ORACLES["feed_tsv_escapes"]
+ORACLES["feed_filesets_option"] = ORACLES["feed_glob_filter"]
 
 
 def entry(spark: SparkSession) -> DataFrame:

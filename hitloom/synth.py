@@ -28,13 +28,19 @@ from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
 from hitloom.sources import manifest_writer
 
-SYNTH_VERSION = "v5"
+SYNTH_VERSION = "v6"
+# Hit files of a delivery: at least FILES_PER_FILESET, one for every ROWS_PER_FILE hits beyond.
 FILES_PER_FILESET = 4
+ROWS_PER_FILE = 500_000
 
 WEB_A = "shop_2024-01-01"
 WEB_B = "shop_2024-01-02"
 ORDERS_FS = "shop_2024-02-01"
 DOCS_FS = "shop_2024-03-01"
+LATE_A = "late_2024-05-01"
+LATE_B = "late_2024-05-02"
+PARTS_FS = "shop_2024-06-01"
+TABLES = ["events", "nation", "orders", "lineitem", "part", "documents", "customer"]
 WEB_A_MTIME = "2024-01-02 00:00:00"
 WEB_B_MTIME = "2024-01-03 00:00:00"
 
@@ -242,13 +248,32 @@ def doc_hits(documents: DataFrame) -> DataFrame:
     )
 
 
-def _write_hits(df: DataFrame, target: str, headers: list[str], n_files: int) -> None:
+# A delivery without the os lookup, and a later one with it and a new column.
+LATE_HEADERS_A = ["hit_id", "os"]
+LATE_HEADERS_B = ["extra_b", "os", "hit_id"]
+PART_HEADERS = ["hit_id", "product_list"]
+
+
+def part_hits(part: DataFrame) -> DataFrame:
+    """One hit per part: two products whose pairs hold list-syntax characters in keys and values."""
+    name = escape_list_item(product_name(F.col("p_name"), F.col("p_partkey")))
+    kind = escape_list_item(F.replace("p_type", F.lit(" "), F.lit("|")))
+    first = F.concat(F.lit(";a;1;2.00;event1=1|event2="), name, F.lit(";eVar1="), name, F.lit("|eVar^=2="), kind)
+    second = F.concat(F.lit("c;b;;;;e^|Var3="), kind, F.lit("^;"))
+    return part.select(F.col("p_partkey").alias("hit_id"), F.concat_ws(",", first, second).alias("product_list"))
+
+
+def _files(hits: DataFrame) -> int:
+    return max(FILES_PER_FILESET, -(-hits.count() // ROWS_PER_FILE))
+
+
+def _write_hits(df: DataFrame, target: str, headers: list[str], n_files: int, compression: str = "gzip") -> None:
     lines = _tsv_line(df, headers)
     (
         lines.repartition(n_files)
         .sortWithinPartitions("value")
         .write.mode("overwrite")
-        .text(target, compression="gzip")
+        .text(target, compression=compression)
     )
 
 
@@ -265,11 +290,14 @@ def _data_files(spark: SparkSession, hits_dir: str) -> list[tuple[str, int]]:
 def _write_feed_manifest(
     spark: SparkSession, feed_dir: str, fileset: str, hits_rel: str, mtime: str | None
 ) -> None:
-    files = _data_files(spark, f"{feed_dir}/{hits_rel}")
-    rows = [(
-        [(f"{fileset}{names.LOOKUP_SUFFIX}", "", "")],
-        [(f"{hits_rel}/{n}", "", "", c) for n, c in files],
-    )]
+    files = [(f"{hits_rel}/{n}", c) for n, c in _data_files(spark, f"{feed_dir}/{hits_rel}")]
+    _write_manifest(spark, feed_dir, fileset, f"{fileset}{names.LOOKUP_SUFFIX}", files, mtime)
+
+
+def _write_manifest(
+    spark: SparkSession, feed_dir: str, fileset: str, archive: str, files: list[tuple[str, int]], mtime: str | None
+) -> None:
+    rows = [([(archive, "", "")], [(n, "", "", c) for n, c in files])]
     df = spark.createDataFrame(
         rows, "lookup_files array<struct<path:string,md5:string,size:string>>, "
         "data_files array<struct<path:string,md5:string,size:string,record_count:bigint>>",
@@ -281,8 +309,11 @@ def _write_feed_manifest(
 
 
 def feed_root(spark: SparkSession, sf_dir: str) -> str:
+    """The work folder of the feeds of these very tables: their paths, sizes and times are in its name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{t}.parquet" for t in TABLES])
+    (mark,) = files.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
     tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    return work_dir(spark, "feeds", f"{tag}-{SYNTH_VERSION}")
+    return work_dir(spark, "feeds", f"{tag}-{SYNTH_VERSION}-{mark & (2**64 - 1):016x}")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -312,21 +343,48 @@ def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
     hits = web_hits(t("events"))
     for fileset, headers, parity, mtime in ((WEB_A, WEB_HEADERS_A, 0, WEB_A_MTIME), (WEB_B, WEB_HEADERS_B, 1, WEB_B_MTIME)):
         _write_archive(spark, f"{web}/{fileset}{names.LOOKUP_SUFFIX}", _web_lookups(spark, nation, headers))
-        _write_hits(hits.filter(F.col("hit_id") % 2 == parity), f"{web}/hits/{fileset}", headers, FILES_PER_FILESET)
+        mine = hits.filter(F.col("hit_id") % 2 == parity)
+        _write_hits(mine, f"{web}/hits/{fileset}", headers, _files(mine))
         _write_feed_manifest(spark, web, fileset, f"hits/{fileset}", mtime)
+        _write_path_forms(spark, f"{root}/forms", web, fileset, mtime)
+
+    # late: the first delivery has no os lookup, the second has one and another column
+    late = f"{root}/late"
+    systems = {"operating_systems.tsv": _web_lookups(spark, nation, [])["operating_systems.tsv"]}
+    for fileset, headers, parity, more in ((LATE_A, LATE_HEADERS_A, 0, {}), (LATE_B, LATE_HEADERS_B, 1, systems)):
+        _write_archive(spark, f"{late}/{fileset}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [headers], **more})
+        mine = hits.filter(F.col("hit_id") % 2 == parity)
+        _write_hits(mine, f"{late}/hits/{fileset}", headers, _files(mine))
+        _write_feed_manifest(spark, late, fileset, f"hits/{fileset}", WEB_B_MTIME if more else WEB_A_MTIME)
+
+    # parts: pairs with escapes
+    pp = f"{root}/parts"
+    _write_archive(spark, f"{pp}/{PARTS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [PART_HEADERS]})
+    _write_hits(part_hits(t("part")), f"{pp}/hits", PART_HEADERS, _files(t("part")))
+    _write_feed_manifest(spark, pp, PARTS_FS, "hits", WEB_B_MTIME)
 
     # orders: product lists
     od = f"{root}/orders"
     _write_archive(spark, f"{od}/{ORDERS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [ORDER_HEADERS]})
-    _write_hits(order_hits(t("orders"), t("lineitem"), t("part")), f"{od}/hits", ORDER_HEADERS, FILES_PER_FILESET)
+    _write_hits(order_hits(t("orders"), t("lineitem"), t("part")), f"{od}/hits", ORDER_HEADERS, _files(t("orders")))
     _write_feed_manifest(spark, od, ORDERS_FS, "hits", WEB_B_MTIME)
 
     # docs: long texts with newlines, tabs, CRs and backslashes
     dd = f"{root}/docs"
     _write_archive(spark, f"{dd}/{DOCS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [DOC_HEADERS]})
-    _write_hits(doc_hits(t("documents")), f"{dd}/hits", DOC_HEADERS, FILES_PER_FILESET)
+    docs = doc_hits(t("documents"))
+    _write_hits(docs, f"{dd}/hits", DOC_HEADERS, _files(docs))
     _write_feed_manifest(spark, dd, DOCS_FS, "hits", WEB_B_MTIME)
 
+    # codecs: the same texts in files that Spark splits, plain for even ids and bzip2 for odd ones
+    cd, files = f"{root}/codecs", []
+    _write_archive(spark, f"{cd}/{DOCS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [DOC_HEADERS]})
+    for codec, parity in (("none", 0), ("bzip2", 1)):
+        mine = docs.filter(F.col("hit_id") % 2 == parity)
+        _write_hits(mine, f"{cd}/hits/{codec}", DOC_HEADERS, _files(mine), codec)
+        files += [(f"hits/{codec}/{n}", c) for n, c in _data_files(spark, f"{cd}/hits/{codec}")]
+    _write_manifest(spark, cd, DOCS_FS, f"{DOCS_FS}{names.LOOKUP_SUFFIX}", files, WEB_B_MTIME)
+
     # lost: hit files per nation, archives for even nation keys, no manifests
     _write_lost(spark, f"{root}/lost", t("customer"), nation)
 
@@ -334,7 +392,19 @@ def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
+def _write_path_forms(spark: SparkSession, feed_dir: str, web: str, fileset: str, mtime: str) -> None:
+    """A manifest in another folder that names the web feed's files relatively, with spare steps and slashes, and absolutely."""
+    home = fs.qualify(spark, web)
+    plain = "/" + home.removeprefix("file:").lstrip("/") if home.startswith("file:") else home
+    before = ["../web/", "./../web//./", f"{home}/hits/../", f"{plain}//"]
+    if home.startswith("file:"):
+        before.append(f"file://{plain}/")
+    files = [(f"{before[i % len(before)]}hits/{fileset}/{n}", c) for i, (n, c) in enumerate(_data_files(spark, f"{web}/hits/{fileset}"))]
+    _write_manifest(spark, feed_dir, fileset, f"../web/./{fileset}{names.LOOKUP_SUFFIX}", files, mtime)
+
+
 LOST_HEADERS = ["hit_id", "country", "os"]
+LOST_PARTS = 3  # hit files of a nation, at least
 
 
 def lost_fileset(n_name: Column) -> Column:
@@ -346,15 +416,15 @@ def _write_lost(spark: SparkSession, lost: str, customer: DataFrame, nation: Dat
         F.col("c_custkey").alias("hit_id"), F.col("c_nationkey").alias("country"),
         (F.col("c_custkey") % 5).alias("os"), lost_fileset(F.col("n_name")).alias("fs"),
     )
-    lines = hits.select(
-        "fs", F.concat_ws("\t", *[escape_field(F.col(h).cast("string")) for h in LOST_HEADERS]).alias("value")
-    )
+    parts = max(LOST_PARTS, -(-customer.count() // ROWS_PER_FILE))
+    line = F.concat_ws("\t", *[escape_field(F.col(h).cast("string")) for h in LOST_HEADERS])
+    lines = hits.select("fs", (F.col("hit_id") % parts + 1).alias("part"), line.alias("value"))
     staging = f"{lost}/staging"
-    lines.repartition("fs").sortWithinPartitions("value").write.mode("overwrite").partitionBy("fs").text(
+    lines.repartition("fs", "part").sortWithinPartitions("value").write.mode("overwrite").partitionBy("fs", "part").text(
         staging, compression="gzip"
     )
-    for r in spark.read.format("binaryFile").load(staging).select("path", "fs").collect():
-        fs.rename(spark, r.path, f"{lost}/hits/{r.fs}/01-{r.fs}{names.HIT_SUFFIX}")
+    for r in spark.read.format("binaryFile").load(staging).select("path", "fs", "part").collect():
+        fs.rename(spark, r.path, f"{lost}/hits/{r.fs}/{int(r.part):02d}-{r.fs}{names.HIT_SUFFIX}")
     for r in nation.select("n_nationkey", lost_fileset(F.col("n_name")).alias("fs")).collect():
         if r.n_nationkey % 2 == 0:
             entries = {
