@@ -12,7 +12,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hitloom.llm import bpe, exactdup, mixing, simhash, toxicity
-from hitloom.llm.common import store
 from hitloom.llm.queries import VOCABULARY
 from hitloom.session import work_dir
 
@@ -44,9 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, with digests of them and of the text that they decode to."""
     vocabulary = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary).select("doc_id", "source", "ids")
-    ids = store(ids, "ids")  # so that no executor runs the encoder's and the decoder's Python side by side
-    rows = bpe.digests(bpe.decode(ids, vocabulary))
+    rows = bpe.digests(bpe.round_trip(docs, vocabulary, keep=["doc_id", "source"]))
     return rows.select("doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
