@@ -36,7 +36,7 @@ from hitloom.llm.common import fresh, ship, small_batches, text_or_empty, with_f
 ship(__name__)
 
 #: Tokens of text that a task remembers, and characters of text it splits at a time: bounds of its memory.
-REMEMBERED, CHARS_AT_ONCE = 200_000, 250_000
+REMEMBERED, CHARS_AT_ONCE = 500_000, 250_000
 #: Rows handed to Python at a time.
 BATCH_ROWS = 250
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -62,10 +62,14 @@ class WordBpe:
         self.pieces = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         letters = byte_letters()
-        self.first = [vocab[c] for c in letters]
-        self.last = [vocab[c + self.suffix] for c in letters]
+        self.letters = np.array([vocab[c] for c in letters] + [vocab[c + self.suffix] for c in letters])  # bytes, then last bytes
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.letter_ranks = np.full((512, 512), -1, np.int32)  # of the pairs of bytes
+        at = {int(token): i for i, token in enumerate(self.letters)}
+        for (a, b), (rank, _) in self.merges.items():
+            if a in at and b in at:
+                self.letter_ranks[at[a], at[b]] = rank
         made: dict[int, int] = {}
         for rank, token in self.merges.values():
             made[token] = max(rank, made.get(token, -1))
@@ -76,22 +80,26 @@ class WordBpe:
 
     def merge_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, 4 bytes each: all words merged together through one pair occurrence index."""
-        symbols: list[int] = []
-        starts: list[int] = []
-        for word in words:
-            raw = word.encode("utf-8")
-            starts.append(len(symbols))
-            symbols.extend([self.first[b] for b in raw[:-1]])
-            symbols.append(self.last[raw[-1]])
-            symbols.append(-1)  # no merge reaches over a word's end
-        n = len(symbols)
+        if not words:
+            return []
+        raws = [word.encode("utf-8") for word in words]
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        stops = np.cumsum(sizes + 1) - 1  # no merge reaches over a word's end
+        raw = np.frombuffer(b"\0".join(raws) + b"\0", np.uint8).astype(np.int64)
+        raw[stops - 1] += 256  # the last byte of a word
+        letters = self.letters.take(raw)
+        letters[stops] = -1
+        symbols, starts, n = letters.tolist(), (stops - sizes).tolist(), len(letters)
+        ranks = self.letter_ranks[raw[:-1], raw[1:]]
+        ranks[stops[:-1]] = ranks[stops - 1] = -1
+        places = np.flatnonzero(ranks >= 0)
+        places = places[np.argsort(ranks[places], kind="stable")]
+        ranks = ranks[places]
+        cuts = np.flatnonzero(np.diff(ranks, prepend=-1))
+        at_rank = {r: i.tolist() for r, i in zip(ranks[cuts].tolist(), np.split(places, cuts[1:]))} if len(cuts) else {}
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        merges, at_rank = self.merges, {}
-        for i in range(n - 1):
-            rule = merges.get((symbols[i], symbols[i + 1]))
-            if rule:
-                at_rank.setdefault(rule[0], []).append(i)
+        merges = self.merges
         active = list(at_rank)
         heapq.heapify(active)
         while active:
