@@ -11,25 +11,25 @@ parsing code with the Spark side.  Nested results are compared flat
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom import datafeed, synth
+from hitloom import datafeed, datafeed_stream, synth
 from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
 from hitloom.sources import manifest as manifest_source
 from hitloom.sources import manifest_writer
 from hitloom.streaming import ingest
 
-try:
+try:  # the corpus operators, and the packages that only they need, are optional
     import corpus_pipeline
     import hitloom.llm.queries as corpus_queries
-except ModuleNotFoundError as missing:  # the corpus operators are optional; nothing else may be missing
-    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("hitloom.llm"):
-        raise
+except ImportError as missing:
+    print(f"corpus queries are not registered: {missing}", file=sys.stderr)
     corpus_pipeline = corpus_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -290,6 +290,56 @@ def feed_metadata_prefix(spark, sf_dir):
     return df.groupBy(F.col("m_fileset").alias("fileset"), "os").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
+def _streamed(spark, df: DataFrame) -> DataFrame:
+    """What a streaming DataFrame of hits writes until its manifests are read."""
+    target = _scratch(spark, "streamed")
+    writer = df.writeStream.format("parquet").option("path", target).option("checkpointLocation", _scratch(spark, "stream-checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(target)
+
+
+def feed_stream_dataframe(spark, sf_dir):
+    """The feed as a streaming DataFrame: looked-up columns and metadata, a manifest in each micro-batch."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    hits = datafeed_stream(spark).option("maxManifestsPerTrigger", 1).load(f"{root}/web")
+    return _by_fileset_os(_streamed(spark, hits.select("_tech_fileset", "os")))
+
+
+def feed_stream_simple_lookups(spark, sf_dir):
+    root = synth.ensure_feeds(spark, sf_dir)
+    return _streamed(spark, datafeed_stream(spark).load(f"{root}/web").select(_hit_id(), *SIMPLE_OUTPUTS))
+
+
+def feed_stream_events(spark, sf_dir):
+    root = synth.ensure_feeds(spark, sf_dir)
+    hits = datafeed_stream(spark).schema("hit_id string, event_list array<struct<event:string,value:string>>").load(f"{root}/web")
+    return _exploded_events(_streamed(spark, hits), "event_list")
+
+
+def feed_stream_texts(spark, sf_dir):
+    """Long texts with continued lines in gzip, plain and bzip2 files."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    hits = datafeed_stream(spark).load(f"{root}/codecs").select(_hit_id(), F.col("post_pagename").alias("text"))
+    return _streamed(spark, hits)
+
+
+MANY_FILES = 5000
+
+
+def feed_manifest_many_files(spark, sf_dir):
+    """Manifests that name thousands of files each (one for each event), written and parsed again."""
+    folder = _scratch(spark, "many-files")
+    name = F.concat(F.lit("hits/"), F.col("event_id").cast("string"), F.lit("-many.tsv.gz"))
+    file = F.struct(name.alias("path"), F.md5(F.coalesce("props", F.lit(""))).alias("md5"), F.col("user_id").cast("string").alias("size"), F.col("event_id").alias("record_count"))
+    archive = F.struct(F.concat(F.lit("many_"), F.floor(F.col("event_id") / MANY_FILES).cast("string"), F.lit("-lookup_data.tar.gz")).alias("path"), F.lit("").alias("md5"), F.lit("").alias("size"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    manifests = events.groupBy(F.array(archive).alias("lookup_files")).agg(F.sort_array(F.collect_list(file)).alias("data_files"))
+    manifest_writer.write_manifests(manifests, folder).collect()
+    parsed = manifest_source.read_manifests(spark, [folder])
+    files = parsed.select("fileset", F.explode("data_files").alias("f"))
+    return files.select("fileset", F.regexp_extract("f.path", r"hits/(.*)$", 1).alias("file"), "f.md5", "f.size", "f.record_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -300,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feed_manifest_roundtrip, feed_manifest_reconstruct, feed_conform_incremental, feed_stream_ingest,
         feed_stream_ingest_filtered, feed_conform_drift, feed_path_forms, feed_lookup_late_file, feed_user_schema_drift,
         feed_plain_and_bzip2, feed_mobile_all_fields, feed_product_pairs, feed_filesets_option, feed_metadata_prefix,
+        feed_stream_dataframe, feed_stream_simple_lookups, feed_stream_events, feed_stream_texts, feed_manifest_many_files,
     ]
 }
 
@@ -458,6 +509,14 @@ ORACLES: dict[str, str] = {
     "feed_metadata_prefix": _COUNT_BY_FILESET_OS,
 }
 ORACLES["feed_plain_and_bzip2"] = ORACLES["feed_tsv_escapes"]
+ORACLES["feed_stream_dataframe"] = _COUNT_BY_FILESET_OS
+ORACLES["feed_stream_simple_lookups"] = ORACLES["feed_simple_lookups"]
+ORACLES["feed_stream_events"] = ORACLES["feed_event_list"]
+ORACLES["feed_stream_texts"] = ORACLES["feed_tsv_escapes"]
+ORACLES["feed_manifest_many_files"] = (
+    f"SELECT concat('many_', event_id // {MANY_FILES}) AS fileset, concat(event_id, '-many.tsv.gz') AS file, md5(coalesce(props, '')) AS md5, "
+    "CAST(user_id AS VARCHAR) AS size, event_id AS record_count FROM events"
+)
 ORACLES["feed_filesets_option"] = ORACLES["feed_glob_filter"]
 
 

@@ -8,10 +8,11 @@ from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, clear_
 from hitloom.sources.manifest import read_manifests
 from hitloom.sources.manifest_writer import reconstruct_manifests, write_manifests
 from hitloom.streaming.ingest import conform, read_conformed, stream_ingest
+from hitloom.streaming.reader import FeedStreamReader, datafeed_stream
 
 __all__ = [
-    "FeedOptions", "FeedReader", "NoManifestError", "build_feed", "clear_plan_cache", "conform", "datafeed",
-    "install", "read_conformed", "read_manifests", "reconstruct_manifests", "stream_ingest", "write_manifests",
+    "FeedOptions", "FeedReader", "FeedStreamReader", "NoManifestError", "build_feed", "clear_plan_cache", "conform", "datafeed",
+    "datafeed_stream", "install", "read_conformed", "read_manifests", "reconstruct_manifests", "stream_ingest", "write_manifests",
 ]
 
 
@@ -19,18 +20,23 @@ FORMAT_NAMES = ("datafeed", "hitloom")
 
 
 def install() -> None:
-    """Make the feed reader reachable from ``spark.read``.
+    """Make the feed readers reachable from ``spark.read`` and ``spark.readStream``.
 
-    Adds ``spark.read.datafeed(*paths)`` and routes
-    ``spark.read.format("datafeed")...load(*paths)`` (options and a user schema
-    included) to :class:`FeedReader`.  Other formats are untouched.
+    Adds ``spark.read.datafeed(*paths)`` and ``spark.readStream.datafeed(path)``, and routes
+    ``format("datafeed")...load(..)`` of both (options and a user schema included) to
+    :class:`FeedReader` and :class:`FeedStreamReader`.  Other formats are untouched.
     """
     from pyspark.sql.readwriter import DataFrameReader
+    from pyspark.sql.streaming.readwriter import DataStreamReader
 
-    if getattr(DataFrameReader, "_hitloom_installed", False):
-        return
-    orig_format, orig_option, orig_options = DataFrameReader.format, DataFrameReader.option, DataFrameReader.options
-    orig_schema, orig_load = DataFrameReader.schema, DataFrameReader.load
+    for kind, reader in ((DataFrameReader, FeedReader), (DataStreamReader, FeedStreamReader)):
+        if not getattr(kind, "_hitloom_installed", False):
+            _route(kind, reader)
+
+
+def _route(kind: type, feed_reader: type) -> None:
+    orig_format, orig_option, orig_options = kind.format, kind.option, kind.options
+    orig_schema, orig_load = kind.schema, kind.load
 
     def state(self):
         if "_hitloom" not in self.__dict__:
@@ -53,31 +59,24 @@ def install() -> None:
         state(self)["schema"] = schema
         return orig_schema(self, schema)
 
+    def feed(self, schema=None, **opts):
+        reader = feed_reader(self._spark).options(**state(self)["options"]).options(**opts)
+        given = schema if schema is not None else state(self)["schema"]
+        return reader if given is None else reader.schema(given)
+
     def load(self, path=None, format=None, schema=None, **opts):
-        st = state(self)
         if format is not None:
             fmt(self, format)
-        if not st["on"]:
+        if not state(self)["on"]:
             return orig_load(self, path, format, schema, **opts)
-        reader = FeedReader(self._spark).options(**st["options"]).options(**opts)
-        if schema is not None or st["schema"] is not None:
-            reader = reader.schema(schema if schema is not None else st["schema"])
-        return reader.load(*([path] if isinstance(path, str) else list(path or [])))
+        return feed(self, schema, **opts).load(*([path] if isinstance(path, str) else list(path or [])))
 
     def datafeed(self, *paths):
-        st = state(self)
-        reader = FeedReader(self._spark).options(**st["options"])
-        if st["schema"] is not None:
-            reader = reader.schema(st["schema"])
-        return reader.load(*paths)
-
-    DataFrameReader.format = fmt
-    DataFrameReader.option = option
-    DataFrameReader.options = options
-    DataFrameReader.schema = schema
-    DataFrameReader.load = load
-    DataFrameReader.datafeed = datafeed
-    DataFrameReader._hitloom_installed = True
+        return feed(self).load(*paths)
+
+    kind.format, kind.option, kind.options, kind.schema, kind.load = fmt, option, options, schema, load
+    kind.datafeed = datafeed
+    kind._hitloom_installed = True
 
 
 def _ship_by_value() -> None:

@@ -16,6 +16,10 @@ MANIFEST_SUFFIX = ".txt"
 _ROOT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*:)(//[^/]*)?)?"
 
 
+# A name that is empty, absolute or has a scheme, a spare slash, or a step "." or "..".
+_NOT_PLAIN = r"^$|^/|:|//|/$|(?:^|/)\.{1,2}(?:/|$)"
+
+
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/*$", 1)
 
@@ -41,9 +45,9 @@ def reconstruct_key(path: Column) -> Column:
     return F.replace(F.regexp_replace(base_name(path), r"^[0-9]+-", ""), F.lit(HIT_SUFFIX), F.lit(""))
 
 
-def manifest_fileset(lookup_paths: Column, data_paths: Column) -> Column:
+def manifest_fileset(first_lookup: Column, first_data: Column) -> Column:
     """First lookup archive decides; else the first hit file; else null."""
-    return F.coalesce(lookup_fileset(F.get(lookup_paths, 0)), hit_fileset(F.get(data_paths, 0)))
+    return F.coalesce(lookup_fileset(first_lookup), hit_fileset(first_data))
 
 
 def resolve(directory: Column, name: Column) -> Column:
@@ -61,14 +65,16 @@ def resolve(directory: Column, name: Column) -> Column:
         F.concat(scheme, F.when(authority == "//", F.lit("")).otherwise(authority))
     )
     steps = F.filter(F.split(F.regexp_replace(full, _ROOT, ""), "/"), lambda x: ~x.isin("", "."))
-    walked = F.aggregate(
+    kept = F.aggregate(
         steps,
         F.array().cast("array<string>"),
         lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(
             F.concat(acc, F.array(x))
         ),
     )
-    return F.concat(root, F.lit("/"), F.array_join(walked, "/"))
+    walked = F.concat(root, F.lit("/"), F.array_join(kept, "/"))
+    # Most names are plain relative ones, which only follow the directory.
+    return F.when(name.rlike(_NOT_PLAIN), walked).otherwise(F.concat(directory, F.lit("/"), name))
 
 
 def scan_path_key(file_path: Column) -> Column:

@@ -197,3 +197,12 @@ def parse_events(c: Column, dense: Column | None = None, sparse: Column | None =
         )
 
     return F.transform(split_list(c, ","), lambda item: _let(_split(item, "=", 2), one))
+
+
+def parse_named_events(c: Column, names: Column) -> Column:
+    """Event list -> array<struct<event,value>>, the name of each item given in ``names`` by position."""
+
+    def one(item: Column, i: Column) -> Column:
+        return F.struct(F.get(names, i).alias("event"), F.get(_split(item, "=", 2), F.lit(1)).alias("value"))
+
+    return F.transform(split_list(c, ","), one)

@@ -54,6 +54,14 @@ def decode_field(c: Column) -> Column:
     return F.nullif(F.rtrim(decoded, _lit(WHITESPACE)), _lit(""))
 
 
+def within_limit(fields: Column, limit: int) -> Column:
+    """True; an error if a decoded field is longer than ``limit``.
+
+    Decoding never makes a field longer, so only fields whose raw text is over the limit are decoded."""
+    too_long = F.exists(fields, lambda x: (F.length(x) > limit) & (F.length(decode_field(x)) > limit))
+    return F.when(too_long, F.raise_error(F.lit("field longer than maxCharsPerColumn"))).otherwise(F.lit(True))
+
+
 def split_fields(record: Column) -> Column:
     """Record text -> array of raw (undecoded) fields; trailing empties kept."""
     return F.split(record, FIELD_SEPARATOR, -1)

@@ -424,8 +424,7 @@ def build_feed(
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:
-        too_long = F.exists("__f", lambda x: F.length(tsv.decode_field(x)) > options.max_chars_per_column)
-        df = df.filter(F.when(too_long, F.raise_error(F.lit("field longer than maxCharsPerColumn"))).otherwise(F.lit(True)))
+        df = df.filter(tsv.within_limit(F.col("__f"), options.max_chars_per_column))
     if options.failfast:
         max_fields = None
         for sig, headers in enumerate(p.signatures):

@@ -4,8 +4,9 @@ A feed path is either a directory of manifests (``*.txt``, not recursive) or a
 single manifest file.  The listing is Spark's ``binaryFile`` source, so the
 generic file options ``pathGlobFilter``, ``modifiedBefore``, ``modifiedAfter``
 and ``timeZone`` filter manifests exactly as they filter any Spark file read.
-Manifests are parsed with ``regexp_extract_all``: one three-line block per
-lookup archive and per hit file; everything else in the text is ignored.
+Manifests are parsed with ``regexp_extract_all``, each group of the block patterns
+once for the whole text: one three-line block per lookup archive and per hit file;
+everything else in the text is ignored.
 """
 
 from __future__ import annotations
@@ -83,19 +84,18 @@ def list_manifests(spark: SparkSession, paths: list[str], options: FeedOptions)
     return out
 
 
-def _blocks(text: Column, pattern: str, fields: list[tuple[str, int]], casts: dict[str, str]) -> Column:
-    first = F.regexp_extract_all(text, F.lit(pattern), fields[0][1])
+def _blocks(text: Column, pattern: str, kind: T.ArrayType) -> Column:
+    """The blocks that ``pattern`` matches, one array of each group zipped into one array of structs.
 
-    def item(x: Column, i: Column) -> Column:
-        cols = []
-        for name, group in fields:
-            v = x if group == fields[0][1] else F.get(F.regexp_extract_all(text, F.lit(pattern), group), i)
-            if name in casts:
-                v = F.nullif(v, F.lit("")).try_cast(casts[name])
-            cols.append(v.alias(name))
-        return F.struct(*cols)
-
-    return F.transform(first, item)
+    Every group is extracted once for the whole text, so the work is linear in its length."""
+    names_ = kind.elementType.names
+    groups = [F.regexp_extract_all(text, F.lit(pattern), i + 1) for i in range(len(names_))]
+    zipped = F.arrays_zip(*groups).cast(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names_])))
+    if kind.elementType == LOOKUP_FILE_TYPE.elementType:
+        return zipped
+    return F.transform(
+        zipped, lambda x: x.withField("record_count", F.nullif(x["record_count"], F.lit("")).try_cast("bigint"))
+    )
 
 
 def parse_manifests(listing: DataFrame) -> DataFrame:
@@ -103,24 +103,22 @@ def parse_manifests(listing: DataFrame) -> DataFrame:
     names resolved against the manifest's directory."""
     text = F.regexp_replace(F.decode(F.col("content"), "UTF-8"), r"\r\n?", "\n")
     directory = names.parent_dir(F.col("path"))
-    lookups = _blocks(text, LOOKUP_BLOCK, [("path", 1), ("md5", 2), ("size", 3)], {})
-    datas = _blocks(
-        text, DATA_BLOCK, [("path", 1), ("md5", 2), ("size", 3), ("record_count", 4)], {"record_count": "bigint"}
-    )
     resolve = lambda arr: F.transform(arr, lambda s: s.withField("path", names.resolve(directory, s["path"])))
-    out = listing.select(
+    # One step each, so that no step evaluates the text or its blocks more than once.
+    texts = listing.withColumn("__text", text)
+    blocks = texts.withColumns({
+        "__lookups": _blocks(F.col("__text"), LOOKUP_BLOCK, LOOKUP_FILE_TYPE), "__datas": _blocks(F.col("__text"), DATA_BLOCK, DATA_FILE_TYPE),
+    })
+    out = blocks.select(
         F.xxhash64(F.col("path_index"), F.col("path")).alias("manifest_id"),
         F.col("path_index"),
         F.col("path").alias("manifest_path"),
         F.col("modification_time"),
-        resolve(lookups).alias("lookup_files"),
-        resolve(datas).alias("data_files"),
+        resolve(F.col("__lookups")).alias("lookup_files"),
+        resolve(F.col("__datas")).alias("data_files"),
     )
     return out.withColumn(
-        "fileset",
-        names.manifest_fileset(
-            F.transform("lookup_files", lambda s: s["path"]), F.transform("data_files", lambda s: s["path"])
-        ),
+        "fileset", names.manifest_fileset(F.get("lookup_files", 0)["path"], F.get("data_files", 0)["path"])
     )
 
 

@@ -1,6 +1,7 @@
 """Manifest discovery, parsing, writing and reconstruction."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,16 @@ def test_reconstruct_keeps_all_parts_and_duplicate_targets_fail(spark, tmp_path)
     assert sorted(r.hit_id for r in datafeed(spark).load(out).collect()) == ["01", "02"]
     with pytest.raises(Exception, match="several manifests"):
         manifest_writer.write_manifests(rebuilt.unionByName(rebuilt), out).collect()
+
+
+def test_parse_is_linear_in_the_files_of_a_manifest(spark, tmp_path):
+    n = 40_000  # a quadratic parse of as many takes hours
+    blocks = ["Lookup-File: f_2024-01-01-lookup_data.tar.gz\nMD5-Digest: a\nFile-Size: 1"]
+    blocks += [f"Data-File: hits/{i:05d}-f_2024-01-01.tsv.gz\nMD5-Digest: m{i}\nFile-Size: {i}" + (f"\nRecord-Count: {i}" if i % 2 else "") for i in range(n)]
+    (tmp_path / "f_2024-01-01.txt").write_text("\n\n".join(blocks))
+    start = time.time()
+    files = manifest.manifest_entries(manifest.read_manifests(spark, [str(tmp_path)])).filter("kind = 'data'").orderBy("pos").collect()
+    assert time.time() - start < 120
+    assert [(r.path, r.md5, r.size, r.record_count) for r in files] == [
+        (f"file:{tmp_path}/hits/{i:05d}-f_2024-01-01.tsv.gz", f"m{i}", str(i), i if i % 2 else None) for i in range(n)
+    ]
