@@ -1,11 +1,12 @@
 """Licence scan by a positional rare-token index of licence templates.
 
-The index maps every word of the templates to its places (template, position).
-Document frequencies over the whole corpus give each word's IDF.  For each text,
-its licence words with the highest IDF are looked up; every place of such a word
-minus its position in a template proposes where that template would begin, and a
-beginning that different places agree on survives.  There the template's mandatory
-key phrase must stand word for word, and the share of template words found is the score.
+Document frequencies over the whole corpus give the IDF of every word of the templates'
+mandatory key phrases.  The index maps the two highest-IDF places of each key phrase to
+(template, position).  Every such word of a text is looked up: its place minus its
+position proposes where the template would begin, and a beginning that both of a
+template's rare places propose survives the intersection.  There the whole key phrase must stand
+word for word, and the share of template words found is the score.  A place with the key phrase
+holds both rare words where they belong, so none is missed, however many templates a text holds.
 
 Everything is DataFrame and SQL expressions on one row at a time; only the counts
 of the fixed template words are shuffled.
@@ -46,8 +47,8 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify"),
 ]
 
-#: Rarest licence words of a text that are looked up; share of a template's words that must be found.
-LOOKED_UP, NEEDED = 8, 0.6
+#: Share of a template's words that must be found.
+NEEDED = 0.6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,16 +74,28 @@ def rarest_first(docs: DataFrame, text_col: str, vocabulary: list[str]) -> list[
 def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str, str]] = TEMPLATES, phrases: dict[str, str] = BASE_PHRASES) -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels, score and
     found (array of label, start, share: the templates found and where they begin)."""
-    vocabulary = sorted({w for _, text, _ in templates for w in text.split()} | {p.split()[0] for p in phrases})
-    index = rarest_first(docs, text_col, vocabulary)
+    key_places = []  # for each template the places of its key phrase
+    for _, text, key in templates:
+        all_words, key_words = text.split(), key.split()
+        at = next(i for i in range(len(all_words)) if all_words[i : i + len(key_words)] == key_words)
+        key_places.append(range(at, at + len(key_words)))
+    firsts = {p.split()[0] for p in phrases}
+    vocabulary = sorted({w for _, _, key in templates for w in key.split()} | firsts)
+    idf = {w: i for i, w in enumerate(rarest_first(docs, text_col, vocabulary))}
+    # The two places of highest IDF (of a single word: that place, twice).
+    rare = []
+    for (_, text, _), places in zip(templates, key_places):
+        by_idf = sorted(places, key=lambda p: (idf[text.split()[p]], p))
+        rare.append((by_idf * 2)[:2])
+    index = sorted({text.split()[p] for (_, text, _), places in zip(templates, rare) for p in places} | firsts, key=idf.get)
     place = {w: i for i, w in enumerate(index)}
     out = fresh(docs, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "found")
     words, hits, base, starts, agreed, found = fresh(docs.select("*", *[F.lit(0).alias(c) for c in out]), "words", "hits", "base", "starts", "agreed", "kept")
 
-    # hits: (rank of the word, position) of every licence word; the rank is its place in the IDF order
+    # hits: (rank of the word, position) of every indexed word; the rank is its place in the IDF order
     ranks = _array([f"'{w}'" for w in index], "string")
     rows = docs.withColumn(words, words_of(text_col)).withColumn(hits, F.expr(
-        f"transform(filter(transform({words}, (w, i) -> named_struct('w', w, 'i', i)), x -> x.w IN ({_quoted(vocabulary)})), "
+        f"transform(filter(transform({words}, (w, i) -> named_struct('w', w, 'i', i)), x -> x.w IN ({_quoted(index)})), "
         f"x -> named_struct('rank', CAST(array_position({ranks}, x.w) - 1 AS INT), 'i', x.i))"
     ))
     per_phrase = []
@@ -92,27 +105,21 @@ def scan(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str
         per_phrase.append(f"transform(filter({hits}, h -> {follows}), h -> named_struct('label', '{label}', 'i', h.i))")
     rows = rows.withColumn(base, F.expr(f"concat({', '.join(per_phrase)})"))
 
-    # starts: template * 2^32 + proposed beginning + 2^31, from the looked-up words; agreed: proposed at least twice
+    # starts: template * 2^32 + proposed beginning + 2^31; agreed: proposed by both rare places
     postings: list[list[str]] = [[] for _ in index]
-    for t, (_, text, _) in enumerate(templates):
-        for p, w in enumerate(text.split()):
-            postings[place[w]].append(f"{t * 2**32 + 2**31 - p}L")
+    for t, ((_, text, _), places) in enumerate(zip(templates, rare)):
+        for p in places:
+            postings[place[text.split()[p]]].append(f"{t * 2**32 + 2**31 - p}L")
     table = _array([_array(x, "bigint") for x in postings], "array<bigint>")
     rows = rows.withColumn(starts, F.expr(
-        f"if(size({hits}) < 2, CAST(array() AS array<bigint>), element_at(transform(array(slice(array_sort(array_distinct({hits}.rank)), 1, {LOOKED_UP})), "
-        f"top -> array_sort(flatten(transform(filter({hits}, h -> h.rank <= element_at(top, -1)), "
-        f"h -> transform(element_at({table}, h.rank + 1), p -> p + h.i))))), 1))"
+        f"array_sort(flatten(transform({hits}, h -> transform(element_at({table}, h.rank + 1), p -> p + h.i))))"
     ))
     rows = rows.withColumn(agreed, F.expr(
         f"filter({starts}, (s, i) -> i > 0 AND s = get({starts}, i - 1) AND (i = 1 OR s != get({starts}, i - 2)))"
     ))
     texts = _array([_array([f"'{w}'" for w in text.split()], "string") for _, text, _ in templates], "array<string>")
     keys = _array([_array([f"'{w}'" for w in key.split()], "string") for _, _, key in templates], "array<string>")
-    offsets = []
-    for _, text, key in templates:
-        all_words, key_words = text.split(), key.split()
-        offsets.append(next(i for i in range(len(all_words)) if all_words[i : i + len(key_words)] == key_words))
-    key_at = _array([str(x) for x in offsets], "int")
+    key_at = _array([str(places[0]) for places in key_places], "int")
     labels = _array([f"'{label}'" for label, _, _ in templates], "string")
     rows = rows.withColumn(agreed, F.expr(
         f"transform({agreed}, s -> named_struct('t', CAST(s DIV 4294967296 AS INT) + 1, 'at', CAST(s % 4294967296 - 2147483648 AS INT)))"
