@@ -1,6 +1,6 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Documents are dealt into blocks by a hash of their id.  A source's target fixes how
+Rows are dealt into blocks by a hash of their id and text.  A source's target fixes how
 often its blocks are drawn: whole rounds over all blocks, then one more part of a
 round in permuted order, of which the last block is cut between documents.  The
 tree starts from the number of block draws of every source and halves them, source
@@ -16,8 +16,8 @@ strata of the hash, so no task sees a whole source.
 Defined results
     a size is the number of runs of non-white-space (null text: 0); the null source
     is a source, weighted last; sources without words have target 0; null and
-    repeated ids are allowed (rows of one source that share an id are drawn
-    together); an empty table gives an empty result; other columns are carried
+    repeated ids are allowed (only rows that share source, id and text are drawn
+    together); ties of the hashes go by block and turn; an empty table gives an empty result; other columns are carried
     along, and new columns whose names clash get a leading ``_``.
 """
 
@@ -35,8 +35,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 
-#: Documents in a block, words in an output shard, strata of a permuted order.
-BLOCK_DOCS, SHARD_WORDS, STRATA = 256, 16_000_000, 1024
+#: Documents in a block, words in an output shard, levels of the tree at least, strata of a permuted order.
+BLOCK_DOCS, SHARD_WORDS, LEAST_LEVELS, STRATA = 256, 16_000_000, 3, 1024
+#: Levels of the tree that one task makes; below them its nodes are spread.
+TOP_LEVELS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -120,7 +122,9 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     gets half of its draws, source by source, and the right child the rest.
     """
     nodes = quotas.agg(F.sort_array(F.collect_list(F.struct("k", "quota"))).alias("q")).select(F.lit(1).cast("long").alias("node"), "q")
-    for _ in range(levels):
+    for level in range(levels):
+        if level and level % TOP_LEVELS == 0:
+            nodes = store(nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism, "node"), "nodes")
         uniform = f"(shiftrightunsigned(xxhash64({int(seed)}L, node, e.k), 11) / CAST(9007199254740992 AS DOUBLE))"
         take = _hypergeometric("e.quota", "a.n", "a.m", uniform)
         # the state holds draws left (n), population left (m), and what the left child got
@@ -147,11 +151,17 @@ class MixPlan:
     shards: int
     seed: int
     id_col: str
+    text_col: str
     source_col: str
 
 
-def _block(id_col: Column, n_blocks: Column, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), id_col), n_blocks)
+def _row_id(id_col: str, text_col: str) -> Column:
+    """What tells rows of a source apart: null and repeated ids still have their texts."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+
+
+def _block(row_id: Column, n_blocks: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), row_id), n_blocks)
 
 
 def plan_mix(
@@ -160,7 +170,7 @@ def plan_mix(
 ) -> MixPlan:
     """Decide which blocks and documents of each source are drawn, how often, and for which shard."""
     meta = store(docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"),
+        _row_id(id_col, text_col).alias("id"), F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"),
     ), "sizes")
     sizes = meta.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = target_sizes(store(sizes, "source_sizes"), weights)
@@ -178,10 +188,10 @@ def plan_mix(
     # the part of a round: blocks in permuted order while their words fit
     ordered = blocks.withColumns({"order": F.xxhash64(F.lit(seed + 1), "k", "block"), "turn": F.lit(0)})
     ordered = sum_before(ordered, "order", "words", "before").join(sources.select("k", "rounds", "rest"), "k")
-    fits = F.col("before") + F.col("words") <= F.col("rest")
+    fits = (F.col("words") > 0) & (F.col("before") + F.col("words") <= F.col("rest"))
     ordered = store(ordered.select(
         "k", "block", "words", "rounds", (F.col("rest") - F.col("before")).alias("room"), fits.alias("fits"),
-        (~fits & (F.col("before") < F.col("rest"))).alias("cut"),
+        ((F.col("words") > 0) & ~fits & (F.col("before") < F.col("rest"))).alias("cut"),
     ), "ordered")
     turns = F.expr("if(rounds + CAST(fits OR cut AS INT) > 0, sequence(1L, rounds + CAST(fits OR cut AS INT)), CAST(array() AS array<bigint>))")
     drawn = ordered.where("words > 0 OR rounds > 0").select("k", "block", "cut", "rounds", F.explode(turns).alias("turn"))
@@ -189,7 +199,7 @@ def plan_mix(
     drawn = store(drawn.select("k", "block", "turn", "part", "one", F.xxhash64(F.lit(seed + 2), "k", "block", "turn").alias("order")), "drawn")
 
     words = sources.agg(F.sum("target")).first()[0] or 0
-    levels = max(0, int(words // SHARD_WORDS)).bit_length()
+    levels = max(LEAST_LEVELS, int(words // SHARD_WORDS).bit_length())
     quotas = split_quotas(drawn.groupBy("k").agg(F.count(F.lit(1)).alias("quota")), levels, seed + 3)
     along = Window.partitionBy("k").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     ranges = quotas.withColumn("low", F.coalesce(F.sum("quota").over(along), F.lit(0))).where("quota > 0")
@@ -200,7 +210,7 @@ def plan_mix(
 
     picks = _picks(known, ordered, seed)
     picks = picks.join(placed.where("part").select("k", "block", "turn", "shard"), ["k", "block"])
-    return MixPlan(sources, store(draws, "draws"), store(picks, "picks"), 1 << levels, seed, id_col, source_col)
+    return MixPlan(sources, store(draws, "draws"), store(picks, "picks"), 1 << levels, seed, id_col, text_col, source_col)
 
 
 def _picks(known: DataFrame, ordered: DataFrame, seed: int) -> DataFrame:
@@ -235,7 +245,7 @@ def allot(docs: DataFrame, plan: MixPlan) -> DataFrame:
     of, k, n_blocks, block, drawn, pick, pick_k, pick_block, pick_id = fresh(
         docs, "of", "k", "n_blocks", "block", "drawn", "pick", "pick_k", "pick_block", "pick_id"
     )
-    name = F.col(f"`{plan.id_col}`")
+    name = _row_id(plan.id_col, plan.text_col)
     sources = plan.sources.select(
         F.col("source").alias(of), F.col("k").alias(k), F.col("n_blocks").alias(n_blocks),
         F.col("source_size").alias(size), F.col("target").alias(target),
@@ -260,7 +270,7 @@ def mix(docs: DataFrame, plan: MixPlan) -> DataFrame:
     turn, shard = fresh(rows, "turn", "shard")
     rows = rows.withColumn(turn, F.explode(copies))
     rows = rows.withColumn(shard, F.col(turn)["shard"]).withColumn(turn, F.col(turn)["turn"])
-    order = F.xxhash64(F.lit(plan.seed + 5), F.col(f"`{plan.id_col}`"), turn)
+    order = F.xxhash64(F.lit(plan.seed + 5), _row_id(plan.id_col, plan.text_col), turn)
     (by,) = fresh(rows, "order")
-    rows = rows.withColumn(by, order).repartition(plan.shards, shard).sortWithinPartitions(shard, by)
+    rows = rows.withColumn(by, order).repartitionById(plan.shards, F.col(f"`{shard}`").cast("int")).sortWithinPartitions(by)
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], shard)

@@ -47,9 +47,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     plan = mixing.plan_mix(docs)
-    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    rows = mixing.allot(docs.withColumn("size", mixing.word_count(F.col("text"))), plan)
     taken = (F.col("size") * F.size("copies")).alias("taken")
-    return mixing.allot(rows, plan).select("doc_id", "size", "source_size", "target", taken)
+    shards = F.array_join(F.array_sort(F.col("copies.shard")), ",").alias("shards")
+    return rows.select("doc_id", "size", "source_size", "target", taken, shards)
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
