@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitloom.functions import names, nested, tsv
+from hitloom.operators import dictionary
 from hitloom.operators import lookups as L
 from hitloom.options import FeedOptions
 from hitloom.sources import archive, hits, manifest
@@ -492,6 +493,15 @@ def build_feed(
         for name, kind in kinds.items():
             if kind == "events":
                 exprs[name] = nested.parse_events(raw(name), F.get(dense_all, ordinal), F.get(sparse_all, ordinal))
+    elif "events" in kinds.values() and 0 <= p.entry_bytes.get(archive.EVENT, -1) <= limit:
+        # Larger dictionaries are broadcast once and indexed in the Python workers.
+        if "event_dictionary" not in p.extras:
+            p.extras["event_dictionary"] = dictionary.ship_dictionary(spark, L.key_value_table(p.parsed, archive.EVENT))
+        for name, kind in kinds.items():
+            if kind == "events":
+                found = dictionary.shipped_event_names(p.extras["event_dictionary"], raw(name), F.col(_version_col(archive.EVENT)))
+                df = df.withColumn("__names_" + name, found)
+                exprs[name] = nested.parse_named_events(raw(name), F.col("__names_" + name))
     elif "events" in kinds.values():
         # Built once per plan; the groupBy on top keeps it provably unique per
         # version, so the join is still dropped when no event column is used.

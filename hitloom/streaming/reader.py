@@ -9,7 +9,7 @@
 
 A stream has no set of lookup versions that could be joined: each manifest brings its own.
 So the task that reads a hit file also opens its manifest's archives (a worker keeps the
-last few) and maps whole Arrow batches of codes with ``index_in``; fields, events, products and
+last few) and maps whole Arrow batches of codes; fields, events, products and
 user types stay Spark expressions.  Records of a manifest with other columns are put into the column
 order of the stream, so all its columns read one position.  File names are shuffled; hits never are.
 
@@ -20,7 +20,6 @@ looked up and leave the task.  Hit files and archives are read through ``pyarrow
 
 from __future__ import annotations
 
-import re
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -33,6 +32,7 @@ from pyspark.sql import types as T
 from hitloom import fs
 from hitloom.functions import names, nested, tsv
 from hitloom.operators import lookups as L
+from hitloom.operators.dictionary import KeyIndex, event_names
 from hitloom.options import MODIFIED_AFTER, MODIFIED_BEFORE, PATH_GLOB_FILTER, TIME_ZONE, FeedOptions
 from hitloom.plans.reader import _EPOCH, NoManifestError, _as_type, _cached_plan, _output_columns
 from hitloom.sources import archive, hits, manifest
@@ -96,9 +96,15 @@ class Delivery:
         if not self.headers:
             raise ValueError(f"no column_headers.tsv in {archives}")
         self._columns: dict[tuple[str, int], pa.Array] = {}
+        self._indexes: dict[str, KeyIndex] = {}
 
     def places(self, entry: str, codes: pa.Array) -> pa.Array:
-        return pc.index_in(codes, value_set=self.tables[entry][0], skip_nulls=True)
+        return self.index(entry).places(codes)
+
+    def index(self, entry: str) -> KeyIndex:
+        if entry not in self._indexes:
+            self._indexes[entry] = KeyIndex(self.tables[entry][0], self.column(entry, 1))
+        return self._indexes[entry]
 
     def column(self, entry: str, i: int) -> pa.Array:
         """Column ``i`` of a lookup file; null where a row is too short."""
@@ -135,27 +141,6 @@ def record_batches(path: str, encoding: str, join_lines: bool) -> Iterator[pa.Ar
     return (b.column("value") for b in found)
 
 
-_ITEMS = re.compile(nested.ITEM_SEPARATOR)
-_ASSIGN = re.compile(nested.ASSIGNMENT_SEPARATOR)
-
-
-def event_names(lists: pa.Array, delivery: Delivery) -> pa.Array:
-    """The looked-up name of each item of each event list, in item order."""
-    if pc.any(pc.match_substring(lists, "^")).as_py():
-        split = [None if v is None else _ITEMS.split(v) for v in lists.to_pylist()]
-        items = pa.array(split, pa.list_(pa.string()))
-        keys = pa.array([_ASSIGN.split(x, 1)[0] for v in split for x in v or []], pa.string())
-    else:
-        items = pc.split_pattern(lists, ",")
-        keys = pc.list_element(pc.split_pattern(items.flatten(), "=", max_splits=1), 0)
-    known = pc.take(delivery.column(archive.EVENT, 1), delivery.places(archive.EVENT, keys)) if archive.EVENT in delivery.tables else pa.nulls(len(keys), pa.string())
-    lengths = pc.fill_null(pc.list_value_length(items), 0).to_pylist()
-    offsets = [0]
-    for n in lengths:
-        offsets.append(offsets[-1] + n)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), known)
-
-
 class Columns:
     """What a task gives for each hit: the record in the stream's column order and what its codes mean."""
 
@@ -192,11 +177,12 @@ class Columns:
         off, out = [], []
         for r in self.simple:
             if r.entry in delivery.tables and r.key in at:
-                out.append(pc.take(delivery.column(r.entry, 1), delivery.places(r.entry, codes[r.key])))
+                out.append(delivery.index(r.entry).look_up(codes[r.key]))
             else:  # this manifest keeps its raw column of that name
                 off.append(r.output)
                 out.append(pa.nulls(n, pa.string()))
-        out += [event_names(decode_column(raw(c)), delivery) for c in self.events]
+        known = delivery.index(archive.EVENT) if archive.EVENT in delivery.tables else None
+        out += [event_names(decode_column(raw(c)), known) for c in self.events]
         if self.mobile:
             kind = self.schema.field("mobile").type
             if archive.MOBILE_ATTRIBUTES in delivery.tables and L.MOBILE_KEY in at:

@@ -355,18 +355,40 @@ def test_duplicate_member_in_archive_later_wins(spark, tmp_path):
     assert datafeed(spark).load(root).first().os == "Second"
 
 
-def test_event_names_join_fallback_matches_constants(spark, feed, monkeypatch):
+def test_event_names_by_constants_dictionary_and_join_agree(spark, feed, monkeypatch):
     import hitloom.plans.reader as reader
 
-    const = {r.hit_id: r.event_list for r in datafeed(spark).load(feed).select("hit_id", "event_list").collect()}
+    rows = lambda df: {r.hit_id: r.event_list for r in df.select("hit_id", "event_list").collect()}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    const = rows(datafeed(spark).load(feed))
     monkeypatch.setattr(reader, "EVENT_CONSTANT_LIMIT", 0)
     reader.clear_plan_cache()
-    df = datafeed(spark).load(feed)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin [__v_event") == 1  # dictionaries joined per version instead
-    joined = {r.hit_id: r.event_list for r in df.select("hit_id", "event_list").collect()}
+    shipped = datafeed(spark).load(feed)
+    assert "ArrowEvalPython" in plan(shipped) and "[__v_event" not in plan(shipped)  # no join, no array in a row
+    assert "ArrowEvalPython" not in plan(shipped.select("hit_id"))  # and nothing where no event column is used
+    joined = datafeed(spark).option("broadcastLimitBytes", 1).load(feed)
+    assert "Join [__v_event" in plan(joined)  # beyond the broadcast limit, joined per version
+    found = rows(shipped), rows(joined)
+    reader.clear_plan_cache()
+    assert found == (const, const) and const["1"][0].event == "Purchase"
+
+
+def test_event_dictionary_of_a_million_ids(spark, tmp_path):
+    import hitloom.plans.reader as reader
+
+    root, n = str(tmp_path), 1_000_000
+    names = "".join(f"{i}\tEvent {i}\n" for i in range(n)) + "007\tPadded\nx^\tLetter\n5\tLast wins\n"
+    hits = "".join(f"{i}\t{i * 997 % n}=1,{i},{n + i},007,5\n" for i in range(2000)) + "e1\tx^^,=2,3^,4,,\ne2\t\n"
+    make_feed(root, "m_2024-01-01", ["hit_id", "event_list"], hits, {"event.tsv": names})
+    make_feed(root, "m_2024-01-02", ["hit_id", "event_list"], "o\t5,6\n", {"event.tsv": "5\tOther five\n"})
+    make_feed(root, "m_2024-01-03", ["hit_id", "event_list"], "p\t5,6\n")  # no dictionary at all
+    got = {r.hit_id: [tuple(e) for e in r.event_list or []] for r in datafeed(spark).load(root).collect()}
     reader.clear_plan_cache()
-    assert const == joined and const["1"][0].event == "Purchase"
+    for i in range(2000):
+        k = i * 997 % n
+        name = lambda j: "Last wins" if j == 5 else f"Event {j}"
+        assert got[str(i)] == [(name(k), "1"), (name(i), None), (None, None), ("Padded", None), ("Last wins", None)]
+    assert got["o"] == [("Other five", None), (None, None)] and got["p"] == [(None, None)] * 2 and got["e2"] == []
 
 
 def test_event_names_follow_each_deliverys_own_version(spark, tmp_path):
