@@ -7,7 +7,7 @@
       -> broadcast joins: hash(file path) -> manifest id -> manifest
          attributes (header signature, lookup versions, mtime, fileset)
       -> split into fields; every output column picks its field by the
-         manifest's header signature (schema drift is a CASE, not a union)
+         manifest's position vector (schema drift is an index, not a union)
       -> left joins with the lookup tables (operators.lookups)
 
 Small driver-side work happens at ``load()`` time: the manifest table, the
@@ -58,7 +58,7 @@ class _Plan:
     head_entries: set[str]
     all_entries: set[str]
     head_headers: list[str]
-    signatures: list[list[str]]
+    layout: "_Layout"
     versions: DataFrame  # (manifest_id, entry, version)
     manifest_sig: DataFrame  # (manifest_id, sig)
     parsed: DataFrame | None  # parsed lookup lines (checkpointed)
@@ -68,6 +68,34 @@ class _Plan:
     extras: dict[str, object] = field(default_factory=dict)  # other per-plan constants
 
 
+class _Layout:
+    """Where each physical column stands under each header signature.
+
+    A column that stands at one place under all signatures is read there.  The others have an
+    entry in the position vector, an array that each manifest carries with its attributes, so
+    the size of a plan does not depend on the number of signatures."""
+
+    def __init__(self, signatures: list[list[str]]):
+        self.signatures = signatures
+        places = [{h: i for i, h in reversed(list(enumerate(headers)))} for headers in signatures]
+        self.columns = list(OrderedDict.fromkeys(h for headers in signatures for h in headers))
+        self.fixed = {h: places[0][h] for h in self.columns if h in places[0] and all(p.get(h) == places[0][h] for p in places)}
+        drifting = [h for h in self.columns if h not in self.fixed]
+        self.drifting = {h: i for i, h in enumerate(drifting)}
+        self.vectors = [[p.get(h) for h in drifting] for p in places]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(__sig, __vec, __width): one row for each signature."""
+        rows = [(i, v, len(h)) for i, (v, h) in enumerate(zip(self.vectors, self.signatures))]
+        return spark.createDataFrame(rows, "__sig int, __vec array<int>, __width int")
+
+    def place(self, name: str) -> str | None:
+        """SQL for the place of a column in a hit's record; null where its manifest lacks it."""
+        if name in self.fixed:
+            return str(self.fixed[name])
+        return f"get(__vec, {self.drifting[name]})" if name in self.drifting else None
+
+
 def _safe(entry: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in entry)
 
@@ -199,7 +227,7 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
         F.sum(F.aggregate("fields", F.lit(0), lambda acc, x: acc + F.coalesce(F.length(x), F.lit(0)))).alias("chars"),
         F.min_by(F.when(is_headers, F.col("fields")), "line_no").alias("headers"),
     ).collect()
-    distinct_headers: list[list[str]] = []
+    signatures: dict[tuple, int] = {}
     digest_sig: dict[int, int] = {}
     entry_bytes: dict[str, int] = {}
     entry_versions: dict[str, int] = {}
@@ -210,10 +238,7 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
         entry_bytes[r.entry] = entry_bytes.get(r.entry, 0) + size
         entry_versions[r.entry] = entry_versions.get(r.entry, 0) + 1
         if r.entry == archive.COLUMN_HEADERS and r.headers is not None:
-            h = list(r.headers)
-            if h not in distinct_headers:
-                distinct_headers.append(h)
-            digest_sig[r.digest] = distinct_headers.index(h)
+            digest_sig[r.digest] = signatures.setdefault(tuple(r.headers), len(signatures))
     if head_versions[archive.COLUMN_HEADERS] not in digest_sig:
         raise ValueError("the first manifest's column_headers.tsv is empty")
     sig_map = spark.createDataFrame(list(digest_sig.items()), "version bigint, sig int")
@@ -222,36 +247,24 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
         .join(F.broadcast(sig_map), "version")
         .select("manifest_id", "sig")
     )
-    head_headers = distinct_headers[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
+    layout = _Layout([list(h) for h in signatures])
+    head_headers = layout.signatures[digest_sig[head_versions[archive.COLUMN_HEADERS]]]
     return _Plan(
-        sorted(archive_paths), manifests, set(head_versions), set(entry_heads), head_headers, distinct_headers, versions,
+        sorted(archive_paths), manifests, set(head_versions), set(entry_heads), head_headers, layout, versions,
         manifest_sig, parsed, entry_bytes, entry_versions,
     )
 
 
-def _raw_column(name: str, signatures: list[list[str]], failfast: bool = False) -> Column:
+def _raw_column(name: str, layout: _Layout, failfast: bool = False) -> Column:
     """Decoded value of physical column ``name`` for whatever header signature
     a hit's manifest has; null where that manifest lacks the column, and where
     the record ends before it (an error with ``failfast``)."""
-
-    def pick(i: int) -> str:
-        if not failfast:
-            return f"get(__f, {i})"
-        return f"CASE WHEN size(__f) > {i} THEN get(__f, {i}) ELSE raise_error('record is shorter than its header') END"
-
-    by_index: dict[int, list[int]] = {}
-    for sig, headers in enumerate(signatures):
-        if name in headers:
-            by_index.setdefault(headers.index(name), []).append(sig)
-    if not by_index:
+    at = layout.place(name)
+    if at is None:
         return F.lit(None).cast("string")
-    if len(by_index) == 1 and len(next(iter(by_index.values()))) == len(signatures):
-        raw = pick(next(iter(by_index)))
-    else:
-        whens = " ".join(
-            f"WHEN __sig IN ({', '.join(map(str, sigs))}) THEN {pick(idx)}" for idx, sigs in by_index.items()
-        )
-        raw = f"CASE {whens} END"
+    raw = f"get(__f, {at})"
+    if failfast:
+        raw = f"CASE WHEN {at} IS NULL THEN NULL WHEN size(__f) > {at} THEN {raw} ELSE raise_error('record is shorter than its header') END"
     return F.expr(tsv.decode_field_sql(raw))
 
 
@@ -298,6 +311,7 @@ def _file_tables(p: _Plan, entries_needed: list[str], filesets: list[str] | None
         F.coalesce("fileset", F.lit("")).alias("__fileset"),
         F.xxhash64("manifest_path").alias("__manifest"),
     ).join(p.manifest_sig.withColumnRenamed("sig", "__sig"), "manifest_id", "left")
+    attrs = attrs.join(p.layout.table(attrs.sparkSession), "__sig", "left")
     if entries_needed:
         pivot = (
             p.versions.filter(F.col("entry").isin(entries_needed))
@@ -314,7 +328,9 @@ def _file_tables(p: _Plan, entries_needed: list[str], filesets: list[str] | None
     return files, attrs
 
 
-def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, options: FeedOptions) -> DataFrame:
+def _hits_with_files(
+    spark: SparkSession, files: DataFrame, attrs: DataFrame, options: FeedOptions, n_drifting: int = 0
+) -> DataFrame:
     """Hit records with their manifest's attributes: two broadcast joins,
     sizes checked, hits never shuffled.
 
@@ -343,7 +359,7 @@ def _hits_with_files(spark: SparkSession, files: DataFrame, attrs: DataFrame, op
         raise ValueError(f"hit files whose manifest has no column_headers.tsv: {missing}")
     exact = st.n_hashes != st.n_paths  # a hash collision: join on the path itself
     file_bytes = st.n_pairs * (_ROW_OVERHEAD + 16 + (st.max_len if exact else 0))
-    attr_bytes = st.n_manifests * (_ROW_OVERHEAD + 8 * len(attrs.columns) + 64)
+    attr_bytes = st.n_manifests * (_ROW_OVERHEAD + 8 * len(attrs.columns) + 64 + 4 * n_drifting)
     limit = max(options.broadcast_limit, 1)
     # Chunks: manifests by id (bounds the attribute slice) x files by path hash
     # (bounds the file slice and the files per scan).
@@ -396,7 +412,7 @@ def build_feed(
             raise NoManifestError(f"no manifest found in {paths}")
         return spark.createDataFrame([], user_schema)
 
-    all_headers = list(OrderedDict.fromkeys([*p.head_headers, *(h for s in p.signatures for h in s)]))
+    all_headers = list(OrderedDict.fromkeys([*p.head_headers, *p.layout.columns]))
     out_cols = _output_columns(all_headers, p.all_entries | ({archive.EVENT} if every_column else set()), options)
     if user_schema is not None:
         wanted = [f.name for f in user_schema.fields]
@@ -421,18 +437,14 @@ def build_feed(
     # several small tables, so it is frozen (once per set of lookups in use).
     if tuple(entries_needed) not in p.attrs:
         p.attrs[tuple(entries_needed)] = _stable(spark, attrs)
-    df = _hits_with_files(spark, files, p.attrs[tuple(entries_needed)], options)
+    df = _hits_with_files(spark, files, p.attrs[tuple(entries_needed)], options, len(p.layout.drifting))
     df = df.withColumn("__f", tsv.split_fields(F.col("value")))
 
     if options.max_chars_per_column > 0:
         df = df.filter(tsv.within_limit(F.col("__f"), options.max_chars_per_column))
     if options.failfast:
-        max_fields = None
-        for sig, headers in enumerate(p.signatures):
-            cond, n = F.col("__sig") == sig, F.lit(len(headers) + 1)
-            max_fields = F.when(cond, n) if max_fields is None else max_fields.when(cond, n)
         df = df.filter(
-            F.when(F.size("__f") > max_fields, F.raise_error(F.lit("record has more fields than the header")))
+            F.when(F.size("__f") > F.col("__width") + 1, F.raise_error(F.lit("record has more fields than the header")))
             .otherwise(F.lit(True))
         )
 
@@ -440,7 +452,7 @@ def build_feed(
 
     def raw(name: str) -> Column:
         if name not in raw_cache:
-            raw_cache[name] = _raw_column(name, p.signatures, options.failfast)
+            raw_cache[name] = _raw_column(name, p.layout, options.failfast)
         return raw_cache[name]
 
     limit = options.broadcast_limit
@@ -470,9 +482,8 @@ def build_feed(
             df = L.left_lookup(df, table, {"version": vcol, "key": "__k_" + rule.key}, {"__lv_" + name: F.col("value")})
             # A manifest without this lookup file, or without its key, keeps the raw column of that name.
             looked_up = F.col(vcol).isNotNull()
-            keyed = [sig for sig, headers in enumerate(p.signatures) if rule.key in headers]
-            if len(keyed) < len(p.signatures):
-                looked_up = looked_up & F.col("__sig").isin(keyed)
+            if rule.key not in p.layout.fixed:
+                looked_up = looked_up & F.expr(f"{p.layout.place(rule.key) or 'NULL'} IS NOT NULL")
             exprs[name] = F.when(looked_up, F.col("__lv_" + name)).otherwise(raw(name))
         elif kind == "mobile":
             table = L.maybe_broadcast(

@@ -514,3 +514,34 @@ def test_stream_result_does_not_depend_on_the_batches(spark, tmp_path, per_batch
     assert sorted((r.hit_id, r.only_t, r.event_list[0].event, r._tech_fileset) for r in rows) == [
         ("1", None, None, "s_2024-01-01"), ("2", None, None, "s_2024-01-01"), ("3", "y", "Buy", "t_2024-01-02")
     ]
+
+
+def test_plan_size_does_not_grow_with_header_signatures(spark, tmp_path):
+    import random
+
+    columns = ["hit_id", *[f"c{i}" for i in range(60)], "os"]
+
+    def feed_of(n):
+        root, rng = str(tmp_path / f"drift{n}"), random.Random(n)
+        want = {}
+        for m in range(n):
+            headers = ["hit_id", *rng.sample(columns[1:], rng.randrange(20, len(columns)))] if m else list(columns)
+            rng.shuffle(headers)
+            hits = []
+            for i in range(3):
+                row = {h: f"{m}-{i}-{h}" for h in headers} | {"hit_id": f"{m}-{i}"} | ({"os": str(i)} if "os" in headers else {})
+                want[f"{m}-{i}"] = row
+                hits.append("\t".join(row[h] for h in headers))
+            make_feed(root, f"d_2024-{m:04d}", headers, "\n".join(hits) + "\n", {"operating_systems.tsv": "0\tZero\n1\tOne\n"})
+        return root, want
+
+    few, many = feed_of(4), feed_of(60)
+    size = {}
+    for n, (root, want) in ((4, few), (60, many)):
+        df = datafeed(spark).load(root)
+        size[n] = len(df._jdf.queryExecution().optimizedPlan().toString())
+        for r in df.collect():
+            row = want[r.hit_id]
+            assert {c: r[c] for c in columns[:-1]} == {c: row.get(c) for c in columns[:-1]}
+            assert r.os == ({"0": "Zero", "1": "One"}.get(row["os"]) if "os" in row else None)
+    assert size[60] < 1.3 * size[4]
