@@ -63,3 +63,37 @@ def local_or_uri(path: str) -> str:
             p = p[1:]
         return p
     return path
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    fs, hpath = _fs_and_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a Hadoop glob pattern."""
+    fs, hpath = _fs_and_path(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in fs.globStatus(hpath) or [])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    fs.delete(hpath, True)
+
+
+def modification_time(spark: SparkSession, path: str) -> int:
+    fs, hpath = _fs_and_path(spark, path)
+    return int(fs.getFileStatus(hpath).getModificationTime())
+
+
+def rename_new(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename that fails if ``dst`` exists."""
+    jvm = spark.sparkContext._jvm
+    (_, s), (_, d) = _fs_and_path(spark, src), _fs_and_path(spark, dst)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(d.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    kinds = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(context.makeQualified(s), context.makeQualified(d), kinds)

@@ -43,7 +43,7 @@ LISTING_SCHEMA = T.StructType(
 )
 
 
-def _read_binary(spark: SparkSession, pattern: str, filters: dict[str, str]) -> DataFrame | None:
+def _read_binary(spark: SparkSession, pattern: list[str], filters: dict[str, str]) -> DataFrame | None:
     try:
         return spark.read.format("binaryFile").options(**filters).load(pattern)
     except AnalysisException as e:  # glob matched nothing
@@ -56,24 +56,22 @@ def list_manifests(spark: SparkSession, paths: list[str], options: FeedOptions)
     """``(path_index, path, modification_time, length, content)`` of every
     manifest; ``content`` is only read when selected."""
     parts = []
+    columns = [F.col("path"), F.col("modificationTime").alias("modification_time"), F.col("length"), F.col("content")]
+    files: list[tuple[int, str]] = []  # single manifests are taken as they are: no suffix test, no filters
     for index, p in enumerate(paths):
+        root = fs.qualify(spark, p).rstrip("/")
         if fs.is_dir(spark, p):
-            root = fs.qualify(spark, p).rstrip("/")
-            df = _read_binary(spark, names.escape_glob(root) + "/*" + names.MANIFEST_SUFFIX, options.file_filters())
+            df = _read_binary(spark, [names.escape_glob(root) + "/*" + names.MANIFEST_SUFFIX], options.file_filters())
             if df is not None:
                 df = df.filter(names.parent_dir(F.col("path")) == F.lit(root))
-        else:  # a single manifest is taken as is: no suffix test, no filters
-            df = _read_binary(spark, names.escape_glob(fs.qualify(spark, p)), {})
+                parts.append(df.select(F.lit(index).alias("path_index"), *columns))
+        else:
+            files.append((index, root))
+    if files:
+        df = _read_binary(spark, sorted({names.escape_glob(f) for _, f in files}), {})
         if df is not None:
-            parts.append(
-                df.select(
-                    F.lit(index).alias("path_index"),
-                    F.col("path"),
-                    F.col("modificationTime").alias("modification_time"),
-                    F.col("length"),
-                    F.col("content"),
-                )
-            )
+            order = spark.createDataFrame(files, "path_index int, path string")
+            parts.append(df.select(*columns).join(F.broadcast(order), "path").select("path_index", "path", "modification_time", "length", "content"))
     if not parts:
         return spark.createDataFrame(
             [], "path_index int, path string, modification_time timestamp, length bigint, content binary"

@@ -223,7 +223,7 @@ def _expand(columns: Columns, header_encoding: str, data_encoding: str, join_lin
 
 # ---------------------------------------------------------------- the plan
 
-def _stream_of_manifests(spark: SparkSession, path: str, options: FeedOptions, per_trigger: int) -> DataFrame:
+def stream_of_manifests(spark: SparkSession, path: str, options: FeedOptions, per_trigger: int) -> DataFrame:
     root = fs.qualify(spark, path).rstrip("/")
     reader = spark.readStream.format("binaryFile").schema(manifest.LISTING_SCHEMA).option("maxFilesPerTrigger", str(per_trigger))
     if options.get(PATH_GLOB_FILTER) is not None:
@@ -263,7 +263,7 @@ def stream_feed(spark: SparkSession, path: str, options: FeedOptions, schema: T.
     of = lambda kind: [n for n, k in used.items() if k == kind]
     columns = Columns(physical, of("simple"), of("events"), "mobile" in used.values())
 
-    manifests = _stream_of_manifests(spark, path, options, int(options.get(MAX_MANIFESTS_PER_TRIGGER, "1000")))
+    manifests = stream_of_manifests(spark, path, options, int(options.get(MAX_MANIFESTS_PER_TRIGGER, "1000")))
     parsed = manifest.parse_manifests(manifests)
     if options.filesets is not None:
         parsed = parsed.filter(F.col("fileset").isin(options.filesets))
