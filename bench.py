@@ -21,9 +21,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from hitloom import datafeed, synth  # noqa: E402
+from hitloom import datafeed, fs, read_manifests, synth  # noqa: E402
 from hitloom.plans.reader import clear_plan_cache  # noqa: E402
 from hitloom.session import local_session  # noqa: E402
+from hitloom.sources.manifest import manifest_entries  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -52,6 +53,30 @@ def _median(fn) -> float:
     return statistics.median(times)
 
 
+def _wide_feed(spark, root: str) -> str:
+    """A feed of 300 columns, a hit for each event."""
+    folder = f"{root}/bench-wide"
+    if not fs.exists(spark, f"{folder}/_READY"):
+        headers = ["hit_id", *[f"c{i}" for i in range(1, 300)]]
+        events = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_id", "user_id")
+        cells = [((F.col("user_id") + i) % 97).cast("string") for i in range(1, 300)]
+        synth._write_archive(spark, f"{folder}/wide_2024-07-01-lookup_data.tar.gz", {"column_headers.tsv": [headers]})
+        lines = events.select(F.concat_ws("\t", F.col("event_id").cast("string"), *cells).alias("value"))
+        lines.repartition(8).write.mode("overwrite").text(f"{folder}/hits", compression="gzip")
+        synth._write_feed_manifest(spark, folder, "wide_2024-07-01", "hits", None)
+        fs.write_bytes(spark, f"{folder}/_READY", b"ok")
+    return folder
+
+
+def _many_files(spark, root: str) -> str:
+    """One manifest that names 20,000 hit files."""
+    folder = f"{root}/bench-many"
+    blocks = ["Lookup-File: m_2024-07-01-lookup_data.tar.gz\nMD5-Digest: 0\nFile-Size: 1"]
+    blocks += [f"Data-File: hits/{i:05d}-m_2024-07-01.tsv.gz\nMD5-Digest: 0\nFile-Size: 1\nRecord-Count: 1" for i in range(20_000)]
+    fs.write_bytes(spark, f"{folder}/m_2024-07-01.txt", "\n\n".join(blocks).encode())
+    return folder
+
+
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(CPUS) if CPUS.isdigit() else 8)
     t0 = time.perf_counter()
@@ -93,7 +118,16 @@ def main() -> None:
     q["docs_continuation_on"] = _median(lambda: _run(docs_on))
     q["docs_continuation_off"] = _median(lambda: _run(docs_off))
 
-    total = sum(q.values())
+    wide = _wide_feed(spark, root)
+    wide_df = datafeed(spark).load(wide)
+    q["wide_one_early_column"] = _median(lambda: _run(wide_df.groupBy("c3").count()))
+    q["wide_one_late_column"] = _median(lambda: _run(wide_df.groupBy("c290").count()))
+    q["wide_all_columns"] = _median(lambda: _run(wide_df))
+    many = _many_files(spark, root)
+    q["manifest_20000_files"] = _median(lambda: manifest_entries(read_manifests(spark, [many])).agg(F.max("path")).collect())
+
+    # The sum of the scenarios of all rounds, so that rounds compare.
+    total = sum(v for k, v in q.items() if not k.startswith(("wide_", "manifest_")))
     print(
         json.dumps(
             {

@@ -62,9 +62,10 @@ def within_limit(fields: Column, limit: int) -> Column:
     return F.when(too_long, F.raise_error(F.lit("field longer than maxCharsPerColumn"))).otherwise(F.lit(True))
 
 
-def split_fields(record: Column) -> Column:
-    """Record text -> array of raw (undecoded) fields; trailing empties kept."""
-    return F.split(record, FIELD_SEPARATOR, -1)
+def split_fields(record: Column, most: int | None = None) -> Column:
+    """Record text -> array of raw (undecoded) fields; trailing empties kept.
+    With ``most``, that many items at most: the last one is the rest of the record."""
+    return F.split(record, FIELD_SEPARATOR, -1 if most is None else most)
 
 
 def is_data_record(record: Column, comment: str | None = COMMENT_CHAR) -> Column:

@@ -545,3 +545,17 @@ def test_plan_size_does_not_grow_with_header_signatures(spark, tmp_path):
             assert {c: r[c] for c in columns[:-1]} == {c: row.get(c) for c in columns[:-1]}
             assert r.os == ({"0": "Zero", "1": "One"}.get(row["os"]) if "os" in row else None)
     assert size[60] < 1.3 * size[4]
+
+
+def test_runs_of_fields(spark, tmp_path):
+    """Columns on both sides of every cut, records that end early, and only the runs that a query reads."""
+    root, headers = str(tmp_path), [f"c{i}" for i in range(300)]
+    lines = ["\t".join(f"{r}.{i}" if (r + i) % 7 else "" for i in range(n)) for r, n in enumerate([300, 301, 1, 15, 16, 17, 63, 64, 65, 255, 256, 257, 299])]
+    make_feed(root, "w_2024-01-01", headers, "\n".join(lines) + "\n")
+    df = datafeed(spark).option("enableLookups", "false").load(root)
+    for got, line in zip(sorted(df.collect(), key=lambda r: int((r.c0 or r.c1 or "0.").split(".")[0])), lines):
+        want = [x or None for x in line.split("\t")][:300]
+        assert list(got) == want + [None] * (300 - len(want))
+    plan = lambda c: df.select(c)._jdf.queryExecution().optimizedPlan().toString()
+    limits = lambda c: [n for n in ("17", "49", "193") if f", {n})" in plan(c)]
+    assert [limits(c) for c in ("c3", "c20", "c70")] == [["17"], ["17", "49"], ["17", "49", "193"]]
