@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hitloom
 from hitloom import datafeed, datafeed_stream, synth
 from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
@@ -340,6 +341,42 @@ def feed_manifest_many_files(spark, sf_dir):
     return files.select("fileset", F.regexp_extract("f.path", r"hits/(.*)$", 1).alias("file"), "f.md5", "f.size", "f.record_count")
 
 
+def feed_record_rules(spark, sf_dir):
+    """Comments and blank lines go, fields beyond the header are ignored, missing ones are null."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    return datafeed(spark).load(f"{root}/rules").select("hit_id", "user", "kind")
+
+
+def feed_comments_kept(spark, sf_dir):
+    """Without a comment character the lines that begin with ``#`` are records."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    return datafeed(spark).option("comment", "").load(f"{root}/rules").select("hit_id", "user", "kind")
+
+
+def feed_encodings(spark, sf_dir):
+    """Column names and hits in ISO-8859-1."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    df = datafeed(spark).option("fileEncoding", "ISO-8859-1").option("dataEncoding", "ISO-8859-1").load(f"{root}/latin")
+    return df.select(_hit_id(), F.col("größe").cast("bigint").alias("n_chars"), F.col("post_pagename").alias("text"))
+
+
+def feed_max_chars(spark, sf_dir):
+    """The length limit lets texts of exactly that length through."""
+    root = synth.ensure_feeds(spark, sf_dir)
+    longest = datafeed(spark).load(f"{root}/docs").agg(F.max(F.length("post_pagename"))).first()[0]
+    df = datafeed(spark).option("maxCharsPerColumn", longest).load(f"{root}/docs")
+    return df.select(_hit_id(), F.col("post_pagename").alias("text"))
+
+
+def feed_reader_extension(spark, sf_dir):
+    """``spark.read.datafeed`` and ``spark.read.format("datafeed")``, one delivery each."""
+    hitloom.install()
+    root = synth.ensure_feeds(spark, sf_dir)
+    a = spark.read.option("pathGlobFilter", "shop_2024-01-01*").datafeed(f"{root}/web")
+    b = spark.read.format("datafeed").option("pathGlobFilter", "shop_2024-01-02*").load(f"{root}/web")
+    return _by_fileset_os(a.select("_tech_fileset", "os").unionByName(b.select("_tech_fileset", "os")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -351,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feed_stream_ingest_filtered, feed_conform_drift, feed_path_forms, feed_lookup_late_file, feed_user_schema_drift,
         feed_plain_and_bzip2, feed_mobile_all_fields, feed_product_pairs, feed_filesets_option, feed_metadata_prefix,
         feed_stream_dataframe, feed_stream_simple_lookups, feed_stream_events, feed_stream_texts, feed_manifest_many_files,
+        feed_record_rules, feed_comments_kept, feed_encodings, feed_max_chars, feed_reader_extension,
     ]
 }
 
@@ -517,6 +555,17 @@ ORACLES["feed_manifest_many_files"] = (
     f"SELECT concat('many_', event_id // {MANY_FILES}) AS fileset, concat(event_id, '-many.tsv.gz') AS file, md5(coalesce(props, '')) AS md5, "
     "CAST(user_id AS VARCHAR) AS size, event_id AS record_count FROM events"
 )
+_RULE_ROWS = (
+    "SELECT CASE event_id % 6 WHEN 5 THEN NULL WHEN 4 THEN concat('#', event_id) WHEN 0 THEN concat('#', event_id) ELSE CAST(event_id AS VARCHAR) END AS hit_id, "
+    "CASE WHEN event_id % 6 <> 5 THEN CAST(user_id AS VARCHAR) END AS user, CASE WHEN event_id % 6 NOT IN (3, 5) THEN event_type END AS kind FROM events"
+)
+ORACLES["feed_record_rules"] = f"{_RULE_ROWS} WHERE event_id % 6 <> 0"
+ORACLES["feed_comments_kept"] = _RULE_ROWS
+ORACLES["feed_encodings"] = ORACLES["feed_tsv_escapes"].replace("AS text FROM", "AS text, n_chars FROM").replace(
+    _DOC_TEXT, f"regexp_replace({_DOC_TEXT}, '[^\\x00-\\x{{FF}}]', '?', 'g')"
+)
+ORACLES["feed_max_chars"] = ORACLES["feed_tsv_escapes"]
+ORACLES["feed_reader_extension"] = _COUNT_BY_FILESET_OS
 ORACLES["feed_filesets_option"] = ORACLES["feed_glob_filter"]
 
 

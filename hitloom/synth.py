@@ -28,7 +28,7 @@ from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
 from hitloom.sources import manifest_writer
 
-SYNTH_VERSION = "v6"
+SYNTH_VERSION = "v7"
 # Hit files of a delivery: at least FILES_PER_FILESET, one for every ROWS_PER_FILE hits beyond.
 FILES_PER_FILESET = 4
 ROWS_PER_FILE = 500_000
@@ -40,6 +40,8 @@ DOCS_FS = "shop_2024-03-01"
 LATE_A = "late_2024-05-01"
 LATE_B = "late_2024-05-02"
 PARTS_FS = "shop_2024-06-01"
+RULES_FS = "rules_2024-08-01"
+LATIN_FS = "latin_2024-09-01"
 TABLES = ["events", "nation", "orders", "lineitem", "part", "documents", "customer"]
 WEB_A_MTIME = "2024-01-02 00:00:00"
 WEB_B_MTIME = "2024-01-03 00:00:00"
@@ -263,6 +265,53 @@ def part_hits(part: DataFrame) -> DataFrame:
     return part.select(F.col("p_partkey").alias("hit_id"), F.concat_ws(",", first, second).alias("product_list"))
 
 
+RULE_HEADERS = ["hit_id", "user", "kind"]
+LATIN_HEADERS = ["hit_id", "größe", "post_pagename"]
+
+
+def rule_lines(events: DataFrame) -> DataFrame:
+    """One or two lines for each event, by ``event_id % 6``: a comment, a record after a blank line, one with
+    fields beyond the header, a short one, one whose ``#`` is not its first character, one of empty fields."""
+    e = events.select(F.col("event_id").cast("string").alias("id"), F.col("user_id").cast("string").alias("u"), F.col("event_type").alias("t"), "event_id")
+    record = F.concat_ws("\t", "id", "u", "t")
+    lines = (
+        F.when(F.col("event_id") % 6 == 0, F.array(F.concat(F.lit("#"), record)))
+        .when(F.col("event_id") % 6 == 1, F.array(F.when(F.col("event_id") % 4 == 1, "").otherwise("  "), record))
+        .when(F.col("event_id") % 6 == 2, F.array(F.concat_ws("\t", record, F.lit("beyond"), F.lit("far beyond"))))
+        .when(F.col("event_id") % 6 == 3, F.array(F.concat_ws("\t", "id", "u")))
+        .when(F.col("event_id") % 6 == 4, F.array(F.concat(F.lit(" #"), record)))
+        .otherwise(F.array(F.lit("\t\t")))
+    )
+    return e.select(F.posexplode(lines).alias("pos", "value"), "event_id")
+
+
+def _write_rules(spark: SparkSession, folder: str, events: DataFrame) -> None:
+    _write_archive(spark, f"{folder}/{RULES_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [RULE_HEADERS]})
+    lines = rule_lines(events).repartition(_files(events), "event_id").sortWithinPartitions("event_id", "pos")
+    lines.select("value").write.mode("overwrite").text(f"{folder}/hits", compression="gzip")
+    _write_feed_manifest(spark, folder, RULES_FS, "hits", WEB_B_MTIME)
+
+
+def latin_text(text: Column) -> Column:
+    """Text that ISO-8859-1 can write."""
+    return F.regexp_replace(text, r"[^\x00-\x{FF}]", "?")
+
+
+def _write_latin(spark: SparkSession, folder: str, documents: DataFrame) -> None:
+    """Hit files and column names in ISO-8859-1."""
+    header = ("\t".join(LATIN_HEADERS) + "\n").encode("iso-8859-1")
+    buf = io.BytesIO()
+    with tarfile.open(fileobj=buf, mode="w:gz") as tf:
+        info = tarfile.TarInfo("column_headers.tsv")
+        info.size = len(header)
+        tf.addfile(info, io.BytesIO(header))
+    fs.write_bytes(spark, f"{folder}/{LATIN_FS}{names.LOOKUP_SUFFIX}", buf.getvalue())
+    hits = documents.select(F.col("doc_id").alias("hit_id"), F.col("n_chars").alias("größe"), latin_text(doc_text(F.col("text"))).alias("post_pagename"))
+    lines = _tsv_line(hits, LATIN_HEADERS).select(F.encode("value", "ISO-8859-1").cast("string").alias("value"))
+    lines.repartition(_files(documents)).write.mode("overwrite").text(f"{folder}/hits", compression="gzip")
+    _write_feed_manifest(spark, folder, LATIN_FS, "hits", WEB_B_MTIME)
+
+
 def _files(hits: DataFrame) -> int:
     return max(FILES_PER_FILESET, -(-hits.count() // ROWS_PER_FILE))
 
@@ -385,6 +434,10 @@ def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
         files += [(f"hits/{codec}/{n}", c) for n, c in _data_files(spark, f"{cd}/hits/{codec}")]
     _write_manifest(spark, cd, DOCS_FS, f"{DOCS_FS}{names.LOOKUP_SUFFIX}", files, WEB_B_MTIME)
 
+    # rules: comments, blank lines, records of other lengths; latin: another encoding
+    _write_rules(spark, f"{root}/rules", t("events"))
+    _write_latin(spark, f"{root}/latin", t("documents"))
+
     # lost: hit files per nation, archives for even nation keys, no manifests
     _write_lost(spark, f"{root}/lost", t("customer"), nation)
 
