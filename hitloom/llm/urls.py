@@ -1,8 +1,7 @@
 """URL filter: host and path rules first, then a weighted vocabulary found by Aho-Corasick.
 
 One pass of the automaton counts the vocabulary's terms in a URL.  A term counts
-only as a whole token (no ASCII letter or digit, and no other word character,
-directly before or after it).  A strict term rejects alone; soft terms reject when
+only as a whole token (no ASCII letter or digit directly before or after it).  A strict term rejects alone; soft terms reject when
 ``soft_needed`` different ones are found.
 
 Defined results
@@ -63,13 +62,17 @@ def _automaton(strict: list[str], soft: list[str]) -> ahocorasick.Automaton:
     return found
 
 
+def _in_token(char: str) -> bool:
+    return char.isascii() and char.isalnum()
+
+
 def term_hits(url: str, automaton: ahocorasick.Automaton) -> tuple[set[str], set[str]]:
     """The distinct strict and soft terms that stand in ``url`` as whole tokens."""
     hits: dict[str, set[str]] = {"strict": set(), "soft": set()}
     if len(automaton):
         for end, (kind, term) in automaton.iter(url):
             start = end - len(term) + 1
-            if (start == 0 or not url[start - 1].isalnum()) and (end + 1 == len(url) or not url[end + 1].isalnum()):
+            if not (_in_token(url[start - 1 : start]) or _in_token(url[end + 1 : end + 2])):
                 hits[kind].add(term)
     return hits["strict"], hits["soft"]
 
