@@ -69,6 +69,11 @@ class _Plan:
     extras: dict[str, object] = field(default_factory=dict)  # other per-plan constants
 
 
+# Where a record of more than CUT_ABOVE fields is cut into runs: the first 16 fields, the next 48, and so on.
+CUT_ABOVE = 64
+_CUTS = (0, 16, 64, 256)
+
+
 class _Layout:
     """Where each physical column stands under each header signature.
 
@@ -84,6 +89,8 @@ class _Layout:
         drifting = [h for h in self.columns if h not in self.fixed]
         self.drifting = {h: i for i, h in enumerate(drifting)}
         self.vectors = [[p.get(h) for h in drifting] for p in places]
+        # Narrow records are split once, as a whole: cutting them costs more than it saves.
+        self.cut = max(map(len, signatures)) > CUT_ABOVE
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(__sig, __vec, __width): one row for each signature."""
@@ -256,8 +263,6 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
     )
 
 
-# Where a record is cut into runs of fields: the first 16 fields, the next 48, and so on.
-_CUTS = (0, 16, 64, 256)
 
 
 def _with_runs(df: DataFrame) -> DataFrame:
@@ -288,7 +293,7 @@ def _raw_column(name: str, layout: _Layout, failfast: bool = False) -> Column:
     if at is None:
         return F.lit(None).cast("string")
     raw = f"get(__f, {at})"
-    if name in layout.fixed and not failfast:
+    if name in layout.fixed and layout.cut and not failfast:
         raw = _field(layout.fixed[name])
     elif failfast:
         raw = f"CASE WHEN {at} IS NULL THEN NULL WHEN size(__f) > {at} THEN {raw} ELSE raise_error('record is shorter than its header') END"
