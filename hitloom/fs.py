@@ -65,6 +65,28 @@ def local_or_uri(path: str) -> str:
     return path
 
 
+def _arrow_path(path: str):
+    import pyarrow.fs as pafs
+
+    local = local_or_uri(path)
+    return pafs.FileSystem.from_uri(local) if "://" in local else (pafs.LocalFileSystem(), local)
+
+
+def arrow_file(path: str):
+    """A file opened inside a task, for reading at any place."""
+    system, plain = _arrow_path(path)
+    return system.open_input_file(plain)
+
+
+def arrow_reads(path: str) -> bool:
+    """Whether ``pyarrow.fs`` knows the store of ``path`` (tasks can then open its files themselves)."""
+    try:
+        _arrow_path(path)
+    except Exception:
+        return False
+    return True
+
+
 def read_bytes(spark: SparkSession, path: str) -> bytes:
     fs, hpath = _fs_and_path(spark, path)
     stream = fs.open(hpath)

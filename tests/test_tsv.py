@@ -108,3 +108,67 @@ def test_bzip2_hits_with_continuations(spark, tmp_path):
     recs = hits.scan_records(spark, ["file:" + p])
     rows = recs.select(F.transform(tsv.split_fields(F.col("value")), tsv.decode_field).alias("f")).collect()
     assert sorted((r.f[0], r.f[1]) for r in rows) == sorted((f"id{j}\nmore {j}", str(j)) for j in range(2000))
+
+
+def _split_scan(spark, path, split_bytes):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        recs = hits.scan_records(spark, ["file:" + path])
+        return recs, [r.value for r in recs.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def _in_order(text):
+    """Records of a text, read from the front."""
+    records, open_ = [], False
+    lines = text.split("\n")
+    lines = lines[:-1] if lines[-1] == "" else lines
+    for line in lines:
+        if open_:
+            records[-1] += "\n" + line
+        else:
+            records.append(line)
+        open_ = (len(line) - len(line.rstrip("\\"))) % 2 == 1
+    if open_:
+        records[-1] = records[-1][:-1]
+    return [r for r in records if r.strip("".join(map(chr, range(33)))) or "\t" in r]
+
+
+SPLIT_TEXTS = {
+    "every cut": "".join(f"r{j}\\\nmore\\\\\\\n{'y' * (j % 7)}\t{j}\n\\\\\n" for j in range(120)),
+    "one record over many splits": "a\t1\n" + "x\\\n" * 900 + "end\t2\nb\t3\n",
+    "runs of backslashes": "a" + "\\" * 301 + "\nb\t1\n" + "\\" * 400 + "\nc\t2\n" + "\\" * 333 + "\nd\t3\n",
+    "long lines": "k\t" + "z" * 2000 + "\\\n" + "z" * 1500 + "\nq\t1\n",
+    "open at the end": "a\t1\n" * 250 + "b\\\n" * 80,
+    "open at the end, no newline": "a\t1\n" * 250 + "b\\\nüñ\\",
+    "no newline at the end": "a\t1\n" * 250 + "b\\\n" * 80 + "c",
+}
+
+
+@pytest.mark.parametrize("name", SPLIT_TEXTS)
+@pytest.mark.parametrize("split_bytes", [61, 128])
+def test_records_over_split_ends_are_read_on(spark, tmp_path, name, split_bytes, monkeypatch):
+    monkeypatch.setattr(hits, "READ_ON_BYTES", 16)
+    path = os.path.join(str(tmp_path), "01-%41 b.tsv")
+    with open(path, "wb") as f:
+        f.write(SPLIT_TEXTS[name].encode())
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        recs, got = _split_scan(spark, path, split_bytes)
+        assert recs.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert got == _in_order(SPLIT_TEXTS[name])
+
+
+def test_plain_files_are_scanned_once(spark, tmp_path):
+    path = os.path.join(str(tmp_path), "01-x.tsv")
+    with open(path, "w") as f:
+        f.write("a\\\nb\t1\n")
+    plan = hits.scan_records(spark, ["file:" + path])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert not hits.reads_on(["file:/x/a.tsv"], "Shift_JIS") and not hits.reads_on(["nostore://x/a.tsv"], "UTF-8")
+    assert not hits.reads_on(["file:/x/a.tsv.bz2"], "UTF-8") and hits.reads_on(["file:/x/a.tsv"], "ISO-8859-1")
