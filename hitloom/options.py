@@ -21,6 +21,8 @@ JOIN_CONTINUATION_LINES = "joinContinuationLines"
 BROADCAST_LIMIT_BYTES = "broadcastLimitBytes"
 MAX_FILES_PER_SCAN = "maxFilesPerScan"
 FILESETS = "filesets"
+LOOKUP_MAX_CHARS = "lookupMaxCharsPerColumn"
+LOOKUP_MAX_COLUMNS = "lookupMaxColumns"
 
 DEFAULT_FILE_ENCODING = "ISO-8859-1"
 DEFAULT_DATA_ENCODING = "UTF-8"
@@ -53,6 +55,9 @@ class FeedOptions:
         self.raw = {str(k).lower(): str(v) for k, v in self.raw.items()}
         self.enable_lookups = _bool(ENABLE_LOOKUPS, self.get(ENABLE_LOOKUPS, "true"))
         self.max_chars_per_column = _int(MAX_CHARS_PER_COLUMN, self.get(MAX_CHARS_PER_COLUMN, "-1"))
+        self.lookup_limits = (
+            _int(LOOKUP_MAX_CHARS, self.get(LOOKUP_MAX_CHARS, "-1")), _int(LOOKUP_MAX_COLUMNS, self.get(LOOKUP_MAX_COLUMNS, "-1"))
+        )
         self.file_encoding = self.get(FILE_ENCODING, DEFAULT_FILE_ENCODING)
         self.data_encoding = self.get(DATA_ENCODING, DEFAULT_DATA_ENCODING)
         self.metadata_prefix = self.get(

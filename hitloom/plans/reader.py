@@ -225,7 +225,7 @@ def _plan(spark: SparkSession, listing: DataFrame, options: FeedOptions, need_lo
 
     wanted_entries = None if need_lookups else [archive.COLUMN_HEADERS]
     lines = archive.archive_lines(spark, index, wanted_entries, options.file_encoding, options.data_encoding)
-    parsed = _stable_by_entry(spark, archive.parsed_lines(lines, options.comment))
+    parsed = _stable_by_entry(spark, archive.parsed_lines(lines, options.comment, options.lookup_limits))
 
     # One pass over the (deduplicated) lookup lines: sizes for the broadcast
     # decision and the first record of every column_headers.tsv version.

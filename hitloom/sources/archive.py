@@ -33,6 +33,9 @@ COLUMN_HEADERS = "column_headers.tsv"
 EVENT = "event.tsv"
 MOBILE_ATTRIBUTES = "mobile_attributes.tsv"
 
+NO_LIMITS = (-1, -1)
+LIMIT_ERROR = "beyond lookupMaxCharsPerColumn or lookupMaxColumns: "
+
 INDEX_SCHEMA = "archive string, member_no int, entry string, digest bigint, size bigint"
 LINES_SCHEMA = "digest bigint, entry string, line_no bigint, line string"
 
@@ -128,10 +131,19 @@ def archive_lines(
     return joined.mapInArrow(_lines_batches(header_encoding, data_encoding), LINES_SCHEMA)
 
 
-def parsed_lines(lines: DataFrame, comment: str | None = tsv.COMMENT_CHAR) -> DataFrame:
+def parsed_lines(lines: DataFrame, comment: str | None = tsv.COMMENT_CHAR, limits: tuple[int, int] = NO_LIMITS) -> DataFrame:
     """Lookup lines -> decoded field arrays (same TSV rules as hits, no line
-    joining)."""
-    return lines.filter(tsv.is_data_record(F.col("line"), comment)).select(
-        "digest", "entry", "line_no",
-        F.transform(tsv.split_fields(F.col("line")), tsv.decode_field).alias("fields"),
-    )
+    joining).  ``limits``: characters of a field and columns of a row in lookup files (not in
+    the column headers) beyond which the load fails; not positive: no limit."""
+    fields = F.transform(tsv.split_fields(F.col("line")), tsv.decode_field)
+    max_chars, max_columns = limits
+    too_big = F.lit(False)
+    if max_chars > 0:
+        too_big = too_big | F.exists("fields", lambda x: F.length(x) > max_chars)
+    if max_columns > 0:
+        too_big = too_big | (F.size("fields") > max_columns)
+    found = lines.filter(tsv.is_data_record(F.col("line"), comment)).select("digest", "entry", "line_no", fields.alias("fields"))
+    if limits == NO_LIMITS:
+        return found
+    error = F.raise_error(F.concat(F.lit(LIMIT_ERROR), F.col("entry"))).cast("array<string>")
+    return found.withColumn("fields", F.when((F.col("entry") != COLUMN_HEADERS) & too_big, error).otherwise(F.col("fields")))

@@ -20,6 +20,7 @@ looked up and leave the task.  Hit files and archives are read through ``pyarrow
 
 from __future__ import annotations
 
+import sys
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -76,7 +77,10 @@ def decode_column(raw: pa.Array) -> pa.Array:
 class Delivery:
     """The lookup files of one manifest: headers, and (keys, rows) of each file asked for."""
 
-    def __init__(self, archives: list[str], wanted: set[str], header_encoding: str, data_encoding: str, comment: str | None):
+    def __init__(
+        self, archives: list[str], wanted: set[str], header_encoding: str, data_encoding: str, comment: str | None,
+        limits: tuple[int, int] = archive.NO_LIMITS,
+    ):
         self.headers: list[str] = []
         self.tables: dict[str, tuple[pa.Array, list[list[str | None]]]] = {}
         for path in archives:  # a later archive wins a whole file
@@ -91,6 +95,9 @@ class Delivery:
                 if name == archive.COLUMN_HEADERS:
                     self.headers = rows[0] if rows else []
                 else:
+                    chars, columns = (x if x > 0 else sys.maxsize for x in limits)
+                    if any(len(r) > columns or any(f and len(f) > chars for f in r) for r in rows):
+                        raise ValueError(archive.LIMIT_ERROR + name)
                     last = {r[0]: r for r in rows if r[0] is not None}  # the last row of a key wins
                     self.tables[name] = (pa.array(list(last), pa.string()), list(last.values()))
         if not self.headers:
@@ -202,14 +209,14 @@ def _is_data(records: pa.Array, comment: str | None) -> pa.Array:
     return pc.and_(keep, pc.invert(pc.starts_with(records, comment))) if comment else keep
 
 
-def _expand(columns: Columns, header_encoding: str, data_encoding: str, join_lines: bool, comment: str | None):
+def _expand(columns: Columns, header_encoding: str, data_encoding: str, join_lines: bool, comment: str | None, limits: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: OrderedDict[tuple, Delivery] = OrderedDict()
         for batch in batches:
             for row in batch.to_pylist():
                 key = tuple(row["archives"])
                 if key not in kept:
-                    kept[key] = Delivery(list(key), columns.entries, header_encoding, data_encoding, comment)
+                    kept[key] = Delivery(list(key), columns.entries, header_encoding, data_encoding, comment, limits)
                     while len(kept) > KEPT_MANIFESTS:
                         kept.popitem(last=False)
                 kept.move_to_end(key)
@@ -272,7 +279,7 @@ def stream_feed(spark: SparkSession, path: str, options: FeedOptions, schema: T.
         F.col("modification_time").alias("mtime"), F.coalesce("fileset", F.lit("")).alias("fileset"),
     ).select(F.col("file.path").alias("data_path"), "archives", "mtime", "fileset")
     files = files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "data_path")
-    expand = _expand(columns, options.file_encoding, options.data_encoding, options.join_continuation_lines, options.comment)
+    expand = _expand(columns, options.file_encoding, options.data_encoding, options.join_continuation_lines, options.comment, options.lookup_limits)
     df = files.mapInArrow(expand, columns.ddl()).withColumn("__f", tsv.split_fields(F.col("value")))
     if options.max_chars_per_column > 0:
         df = df.filter(tsv.within_limit(F.col("__f"), options.max_chars_per_column))

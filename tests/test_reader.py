@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 import hitloom
 from hitloom import datafeed
 from hitloom.operators.lookups import MOBILE_FIELDS
+from hitloom.streaming.reader import Delivery
 from tests.conftest import make_feed, write_archive, write_gz, write_manifest
 
 HEADERS = ["hit_id", "browser", "os", "mobile_id", "event_list", "post_product_list", "last_hit_time_gmt", "post_pagename"]
@@ -175,6 +176,21 @@ def test_max_chars_per_column(spark, feed):
         df.collect()
 
 
+def test_lookup_limits(spark, tmp_path):
+    """Lookup files beyond the limits fail the load; headers and hits have no part in them."""
+    root = str(tmp_path)
+    make_feed(root, "s_2024-01-01", ["os", "a_long_column_name"], "1\t" + "x" * 50 + "\n", {"operating_systems.tsv": "1\tabc\\td\tq\n"})
+    want = [("abc\td", "x" * 50)]
+    for chars, columns in ((5, 3), (-1, 3), (5, -1), (0, 0)):
+        df = datafeed(spark).option("lookupMaxCharsPerColumn", chars).option("lookupMaxColumns", columns).load(root)
+        assert [(r.os, r.a_long_column_name) for r in df.collect()] == want
+    for chars, columns in ((4, 3), (5, 2)):
+        with pytest.raises(Exception, match="lookupMax"):
+            datafeed(spark).option("lookupMaxCharsPerColumn", chars).option("lookupMaxColumns", columns).load(root).collect()
+        with pytest.raises(ValueError, match="lookupMax"):
+            Delivery([f"{root}/s_2024-01-01-lookup_data.tar.gz"], {"operating_systems.tsv"}, "UTF-8", "UTF-8", "#", (chars, columns))
+
+
 def test_bad_option_values(spark, feed):
     with pytest.raises(ValueError):
         datafeed(spark).option("enableLookups", "yes").load(feed)
