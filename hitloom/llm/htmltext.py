@@ -14,7 +14,9 @@ adverts, forms, comments), in which every element's label is known.
 
 Defined results
     null and empty pages, and pages without main text, give an empty text; unclosed
-    and stray tags are repaired as the tree is built; character references are
+    and stray tags are repaired as the tree is built, in time linear in the page's
+    length, however broken it is, and a tag whose quote never closes is text; formulas (``math``) and drawings (``svg``) are read like other
+    elements, but for their annotations and metadata; long pages are read whole; character references are
     decoded once; repeated rows are extracted each; an empty table gives an empty
     result; other columns are carried along, and a new column whose name clashes
     gets a leading ``_``.
@@ -22,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 from collections.abc import Iterator
@@ -45,7 +48,7 @@ TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 16
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math select".split())
+RAW = frozenset("script style textarea title noscript iframe template annotation annotation-xml metadata select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary "
@@ -58,7 +61,7 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 NEVER = frozenset(
-    "head script style noscript template iframe svg math textarea select button input label form nav footer aside dialog menu object canvas audio video".split()
+    "head script style noscript template iframe annotation annotation-xml metadata textarea select button input label form nav footer aside dialog menu object canvas audio video".split()
 )
 
 # Tokens of class, id and role attributes that say what an element is.
@@ -71,10 +74,71 @@ OFF_TOKENS = (
 ON_TOKENS = "article articlebody body content entry main post story text".split()
 TAGS = "a article aside b blockquote body div figure footer form h1 h2 h3 head header html i li main nav ol p section span strong table td ul".split()
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/<>]*+)", re.S)
+_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_STEP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKEN = re.compile(r"[a-z0-9]+")
-_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
+_LONG_NUMBER = re.compile(r"&#([0-9]{9,})")
+
+
+def unescape(text: str) -> str:
+    """Character references decoded; a number beyond the last code point, however long, is one bad character."""
+    return entities.unescape(_LONG_NUMBER.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), text))
+
+
+class TagEnds:
+    """Where the tags of a page end: past the first ``>`` that stands outside quotes."""
+
+    def __init__(self, page: str):
+        self.page, self.at, self.ends = page, None, None
+
+    def end(self, start: int) -> int:
+        """The end of the tag whose attributes begin at ``start``; -1 if it has none."""
+        if self.at is None:
+            found = _REST.match(self.page, start)
+            if found:
+                return found.end()
+            # Once a tag is left open, every quote and bracket of the page is resolved, from its end to its start.
+            self.at = [m.start() for m in _STEP.finditer(self.page)]
+            self.ends = [-1] * (len(self.at) + 1)
+            following: dict[str, int] = {}
+            for i in range(len(self.at) - 1, -1, -1):
+                step = self.page[self.at[i]]
+                if step == ">":
+                    self.ends[i] = self.at[i] + 1
+                else:
+                    if step in following:
+                        self.ends[i] = self.ends[following[step] + 1]
+                    following[step] = i
+        return self.ends[bisect.bisect_left(self.at, start)]
+
+
+class OpenElements:
+    """The open elements of a page, and at what depths each tag and the blocks stand."""
+
+    def __init__(self):
+        self.nodes, self.tags, self.depths, self.blocks = [0], ["#root"], {}, []
+
+    def push(self, node: int, tag: str) -> None:
+        self.depths.setdefault(tag, []).append(len(self.nodes))
+        if tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+        self.tags.append(tag)
+
+    def pop(self) -> str:
+        self.nodes.pop()
+        tag = self.tags.pop()
+        self.depths[tag].pop()
+        if tag in BLOCK:
+            self.blocks.pop()
+        return tag
+
+    def deepest(self, tags) -> int:
+        """The depth of the innermost open element of these tags; 0 if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
 
 
 @dataclass
@@ -89,62 +153,61 @@ class Page:
 
 def parse(page: str) -> Page:
     """A tree of elements; what is left open is closed, what is closed twice is passed over."""
-    out, open_, at = Page(), [0], 0
+    out, open_, ends, at = Page(), OpenElements(), TagEnds(page), 0
 
     def text(upto: int) -> None:
         if upto > at:
-            out.runs.append((open_[-1], entities.unescape(page[at:upto])))
+            out.runs.append((open_.nodes[-1], unescape(page[at:upto])))
 
     def close_to(depth: int) -> None:
-        while len(open_) > depth:
-            if out.tags[open_.pop()] in BLOCK:
-                out.runs.append((open_[-1], None))
+        while len(open_.nodes) > depth:
+            if open_.pop() in BLOCK:
+                out.runs.append((open_.nodes[-1], None))
 
+    look = 0
     while True:
-        found = _TAG.search(page, at)
+        found = _TAG.search(page, look)
         if not found:
             text(len(page))
             break
+        name, end = (found[2] or "").lower(), found.end()
+        if name:
+            end = ends.end(found.end())
+            if end < 0:  # no tag: its text goes on
+                look = found.start() + 1
+                continue
         text(found.start())
-        at = found.end()
-        name = (found[2] or "").lower()
+        at = look = end
         if not name:
             continue
+        attributes = page[found.end() : end - 1]
         if found[1]:
-            for depth in range(len(open_) - 1, 0, -1):
-                if out.tags[open_[depth]] == name:
-                    close_to(depth)
-                    break
+            if open_.depths.get(name):
+                close_to(open_.depths[name][-1])
             continue
         if name == "br":
-            out.runs.append((open_[-1], " "))
+            out.runs.append((open_.nodes[-1], " "))
             continue
+        block = name in BLOCK and not (name == "title" and open_.depths.get("svg"))  # a drawing's title is not shown
         if name in CLOSES:
             gone, stop = CLOSES[name]
-            for depth in range(len(open_) - 1, 0, -1):
-                if out.tags[open_[depth]] in stop:
-                    break
-                if out.tags[open_[depth]] in gone:
-                    close_to(depth)
-        elif name in BLOCK:
-            for depth in range(len(open_) - 1, 0, -1):
-                tag = out.tags[open_[depth]]
-                if tag == "p":
-                    close_to(depth)
-                    break
-                if tag in BLOCK:
-                    break
-        if name in BLOCK:
-            out.runs.append((open_[-1], None))
-        words = frozenset(w for a in _ATTR.finditer(found[3]) for w in _TOKEN.findall((a[2] or a[3] or a[4] or "").lower()))
+            boundary = open_.deepest(stop)
+            while (depth := open_.deepest(gone)) > boundary:
+                close_to(depth)
+        elif block and open_.blocks and open_.tags[open_.blocks[-1]] == "p":
+            close_to(open_.blocks[-1])
+        if block:
+            out.runs.append((open_.nodes[-1], None))
+        words = frozenset(w for a in _ATTR.finditer(attributes) for w in _TOKEN.findall((a[2] or a[3] or a[4] or "").lower()))
         out.tags.append(name)
-        out.parents.append(open_[-1])
+        out.parents.append(open_.nodes[-1])
         out.tokens.append(words)
         if name in RAW:
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else len(page)
-        elif name not in VOID and not found[3].rstrip().endswith("/"):
-            open_.append(len(out.tags) - 1)
+            closing = _RAW_END[name].search(page, at)
+            bracket = page.find(">", closing.end()) if closing else -1
+            at = look = bracket + 1 if bracket >= 0 else len(page)
+        elif name not in VOID and not attributes.rstrip().endswith("/"):
+            open_.push(len(out.tags) - 1, name)
     close_to(1)
     return out
 

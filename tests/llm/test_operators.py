@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 import zlib
 
 import numpy as np
@@ -232,6 +233,42 @@ def test_pages(spark):
     assert htmltext.extract(pages.limit(0), trees).count() == 0
 
 
+def test_broken_pages_take_linear_time():
+    started = time.perf_counter()
+    nested = "".join(f"<x{i}>" for i in range(60_000))
+    for page in (
+        "<a b='" * 170_000, "<a b='\"" * 140_000, "<a<a" * 250_000, "<b>" * 100_000 + "<hr>" * 100_000, nested + "</q>" * 100_000, "<b><body>" * 60_000,
+        "<script" * 140_000, "<script></script " * 60_000, "<span><td>" * 50_000, "&#" + "9" * 1_000_000 + ";",
+    ):
+        htmltext.parse(page)
+    assert time.perf_counter() - started < 40  # quadratic work takes hours
+
+
+def test_tag_ends_equal_a_plain_walk():
+    random = np.random.default_rng(4)
+    for _ in range(3000):
+        page = "".join(random.choice(list("<a '\">="), 30))
+        ends = htmltext.TagEnds(page)
+        for start in sorted(random.integers(0, 30, 4)):
+            at, quote = int(start), ""
+            while at < len(page) and (quote or page[at] != ">"):
+                quote = ("" if page[at] == quote else quote) if quote else (page[at] if page[at] in "'\"" else "")
+                at += 1
+            assert ends.end(int(start)) == (at + 1 if at < len(page) else -1)
+
+
+def test_pages_keep_formulas_drawings_and_odd_references(spark):
+    words = "A sentence of the article, with enough words. And another one, to be sure."
+    body = f"<p>{words}</p>" * 4
+    page = f"<html><body><nav><a href=#>Menu</a></nav><article>{body}<p>{words} a <math><mi>x</mi><annotation>\\tex</annotation></math> b</p><p>&#{'7' * 6000}; &#{'0' * 6000}65; <svg><title>t</title><text>label</text></svg> 1 < 2, <a b='c</p></article>"
+    pages = spark.createDataFrame([(1, page), (1, page), (2, page + "y" * 300_000)], "page_id long, html string")
+    trees = htmltext.train(["<html><body><nav><a href=#>Menu</a></nav><article>" + body + "</article>"] * 20)
+    found = [(r.page_id, r.text) for r in htmltext.extract(pages, trees).collect()]
+    last = "\ufffd A label 1 < 2, <a b='c"
+    want = "\n".join([words] * 4 + [f"{words} a x b", last])
+    assert sorted(found) == [(1, want), (1, want), (2, want + "\n" + "y" * 300_000)]
+
+
 def test_generated_frames_and_decoding():
     random, pieces = np.random.default_rng(8), ["Some words, in a line.", "Others stand here. They go on, and on.", "Short one."]
     trees, right = htmltext.train([]), 0
