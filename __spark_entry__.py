@@ -377,6 +377,14 @@ def feed_reader_extension(spark, sf_dir):
     return _by_fileset_os(a.select("_tech_fileset", "os").unionByName(b.select("_tech_fileset", "os")))
 
 
+def feed_sql_view(spark, sf_dir):
+    """The feed named in SQL, lookups and metadata included."""
+    hitloom.install(spark)
+    root = synth.ensure_feeds(spark, sf_dir)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW feed_hits USING datafeed OPTIONS (path '{root}/web')")
+    return _by_fileset_os(spark.table("feed_hits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -388,7 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feed_stream_ingest_filtered, feed_conform_drift, feed_path_forms, feed_lookup_late_file, feed_user_schema_drift,
         feed_plain_and_bzip2, feed_mobile_all_fields, feed_product_pairs, feed_filesets_option, feed_metadata_prefix,
         feed_stream_dataframe, feed_stream_simple_lookups, feed_stream_events, feed_stream_texts, feed_manifest_many_files,
-        feed_record_rules, feed_comments_kept, feed_encodings, feed_max_chars, feed_reader_extension,
+        feed_record_rules, feed_comments_kept, feed_encodings, feed_max_chars, feed_reader_extension, feed_sql_view,
     ]
 }
 
@@ -565,7 +573,7 @@ ORACLES["feed_encodings"] = ORACLES["feed_tsv_escapes"].replace("AS text FROM",
     _DOC_TEXT, f"regexp_replace({_DOC_TEXT}, '[^\\x00-\\x{{FF}}]', '?', 'g')"
 )
 ORACLES["feed_max_chars"] = ORACLES["feed_tsv_escapes"]
-ORACLES["feed_reader_extension"] = _COUNT_BY_FILESET_OS
+ORACLES["feed_reader_extension"] = ORACLES["feed_sql_view"] = _COUNT_BY_FILESET_OS
 ORACLES["feed_filesets_option"] = ORACLES["feed_glob_filter"]
 
 

@@ -3,6 +3,8 @@ hit files) read as Spark DataFrames."""
 
 import sys
 
+from pyspark.sql import SparkSession
+
 from hitloom.options import FeedOptions
 from hitloom.plans.reader import FeedReader, NoManifestError, build_feed, clear_plan_cache, datafeed
 from hitloom.sources.manifest import read_manifests
@@ -19,13 +21,18 @@ __all__ = [
 FORMAT_NAMES = ("datafeed", "hitloom")
 
 
-def install() -> None:
+def install(spark: SparkSession | None = None) -> None:
     """Make the feed readers reachable from ``spark.read`` and ``spark.readStream``.
 
     Adds ``spark.read.datafeed(*paths)`` and ``spark.readStream.datafeed(path)``, and routes
     ``format("datafeed")...load(..)`` of both (options and a user schema included) to
     :class:`FeedReader` and :class:`FeedStreamReader`.  Other formats are untouched.
+    With a session, SQL can name the feed there too: ``CREATE TEMPORARY VIEW .. USING datafeed OPTIONS (path '..')``.
     """
+    if spark is not None:
+        from hitloom.sources.named import NamedFeed
+
+        spark.dataSource.register(NamedFeed)
     from pyspark.sql.readwriter import DataFrameReader
     from pyspark.sql.streaming.readwriter import DataStreamReader
 

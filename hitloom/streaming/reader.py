@@ -82,10 +82,12 @@ class Delivery:
         limits: tuple[int, int] = archive.NO_LIMITS,
     ):
         self.headers: list[str] = []
+        self.entries: set[str] = set()  # the names of all its files
         self.tables: dict[str, tuple[pa.Array, list[list[str | None]]]] = {}
         for path in archives:  # a later archive wins a whole file
             with open_file(path, False) as f:
                 members = dict(archive._members(f.read()))
+            self.entries |= members.keys()
             for name in (wanted | {archive.COLUMN_HEADERS}) & members.keys():
                 text = members[name].decode(header_encoding if name == archive.COLUMN_HEADERS else data_encoding, "replace")
                 rows = [
