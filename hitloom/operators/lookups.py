@@ -7,7 +7,9 @@ content digest of the lookup entry a hit's own manifest delivered (see
 keys: Catalyst then drops a lookup join entirely when the query does not use
 its column, so unused lookups cost nothing.
 
-Each build side is broadcast only after its size has been measured against a
+Small lookup files share one packed build side: however many of them a query
+uses, it is read, aggregated and broadcast once.  A large file has a build side
+of its own.  Each build side is broadcast only after its size has been measured against a
 limit; above it the join is left to the planner (sort-merge, with AQE skew
 handling), never broadcast blindly.
 """
@@ -83,13 +85,42 @@ PRODUCT_COLUMNS = ["product_list", "post_product_list"]
 DENSE_EVENT_ID_LIMIT = 1 << 16
 
 
-def _entry_rows(parsed: DataFrame, entry: str, value_sql: str) -> DataFrame:
-    """``(version, key, value)`` rows of one lookup file, last row per key
+# Lookup files of at most this estimated size (all versions) share one packed
+# table, which in all holds at most PACKED_BYTES.
+PACKED_ENTRY_BYTES = 1 << 20
+PACKED_BYTES = 8 << 20
+
+
+def packed_entries(entry_bytes: dict[str, int], limit: int) -> list[str]:
+    """The simple lookup files that share a packed table, smallest first as
+    long as the table stays within PACKED_BYTES and the broadcast ``limit``.
+    Depends on the feed only, never on the columns of a query, so that every
+    lookup of a query has the same build side."""
+    packed, total = [], 0
+    for size, entry in sorted((entry_bytes.get(r, -1), r) for r in {r.entry for r in SIMPLE_LOOKUPS}):
+        if 0 <= size <= PACKED_ENTRY_BYTES and total + size <= min(PACKED_BYTES, limit):
+            packed.append(entry)
+            total += size
+    return sorted(packed)
+
+
+def packed_table(parsed: DataFrame, entries: list[str]) -> DataFrame:
+    """``(version, key, value)`` of several lookup files in one table.
+
+    A version is the digest of a file's content: files with equal content
+    share their rows, and rows of different content never meet, so no column
+    names the file.  All lookups of a query join this same table: Spark
+    computes and broadcasts it once (exchange reuse)."""
+    return _entry_rows(parsed, entries, "get(fields, 1)")
+
+
+def _entry_rows(parsed: DataFrame, entries: list[str], value_sql: str) -> DataFrame:
+    """``(version, key, value)`` rows of these lookup files, last row per key
     wins.  Written as SQL text: one expression per column instead of one
     py4j call per function (a load builds up to 16 of these)."""
-    quoted = entry.replace("\\", "\\\\").replace("'", "\\'")
+    quoted = ", ".join("'" + e.replace("\\", "\\\\").replace("'", "\\'") + "'" for e in entries)
     return (
-        parsed.where(f"entry = '{quoted}' AND get(fields, 0) IS NOT NULL")
+        parsed.where(f"entry IN ({quoted}) AND get(fields, 0) IS NOT NULL")
         .selectExpr("digest AS version", "get(fields, 0) AS key", f"{value_sql} AS value", "line_no")
         .groupBy("version", "key")
         .agg(F.expr("max_by(value, line_no)").alias("value"))
@@ -98,13 +129,13 @@ def _entry_rows(parsed: DataFrame, entry: str, value_sql: str) -> DataFrame:
 
 def key_value_table(parsed: DataFrame, entry: str) -> DataFrame:
     """``(version, key, value)`` of one lookup file, last row per key wins."""
-    return _entry_rows(parsed, entry, "get(fields, 1)")
+    return _entry_rows(parsed, [entry], "get(fields, 1)")
 
 
 def mobile_table(parsed: DataFrame) -> DataFrame:
     """``(version, key, attrs struct<49 strings>)``; short rows get trailing nulls."""
     attrs = "named_struct(" + ", ".join(f"'{n}', get(fields, {i + 1})" for i, n in enumerate(MOBILE_FIELDS)) + ")"
-    return _entry_rows(parsed, MOBILE_ATTRIBUTES, attrs).withColumnRenamed("value", "attrs")
+    return _entry_rows(parsed, [MOBILE_ATTRIBUTES], attrs).withColumnRenamed("value", "attrs")
 
 
 def event_names_table(parsed: DataFrame) -> DataFrame:

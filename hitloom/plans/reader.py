@@ -488,6 +488,7 @@ def build_feed(
         return raw_cache[name]
 
     limit = options.broadcast_limit
+    packed = L.packed_entries(p.entry_bytes, limit)
     exprs: dict[str, Column] = {}
 
     # Keys of the lookups in use, decoded once.
@@ -507,9 +508,12 @@ def build_feed(
             exprs[name] = raw(name)
         elif kind == "simple":
             rule = next(r for r in L.SIMPLE_LOOKUPS if r.output == name)
-            table = L.maybe_broadcast(
-                L.key_value_table(p.parsed, rule.entry), p.entry_bytes.get(rule.entry, -1), limit
-            )
+            if rule.entry in packed:
+                table = F.broadcast(L.packed_table(p.parsed, packed))
+            else:
+                table = L.maybe_broadcast(
+                    L.key_value_table(p.parsed, rule.entry), p.entry_bytes.get(rule.entry, -1), limit
+                )
             vcol = _version_col(rule.entry)
             df = L.left_lookup(df, table, {"version": vcol, "key": "__k_" + rule.key}, {"__lv_" + name: F.col("value")})
             # A manifest without this lookup file, or without its key, keeps the raw column of that name.

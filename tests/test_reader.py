@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 import hitloom
 from hitloom import datafeed
+from hitloom.operators import lookups
 from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.streaming.reader import Delivery
 from tests.conftest import make_feed, write_archive, write_gz, write_manifest
@@ -113,6 +114,29 @@ def test_unused_lookups_are_pruned(spark, feed):
     assert df.select("hit_id")._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
 
 
+def test_small_lookups_share_one_build_side(spark, feed):
+    df = datafeed(spark).load(feed).select("hit_id", "browser", "browser_type", "os")
+    rows = sorted(df.collect())
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("BroadcastHashJoin [__v_") == 3
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 2  # read and broadcast once
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("hitloom.operators.lookups.PACKED_ENTRY_BYTES", -1)  # a build side for each
+        assert sorted(datafeed(spark).load(feed).select(*df.columns).collect()) == rows
+
+
+def test_packed_entries_stay_within_their_limits():
+    sizes = {"browser.tsv": 1000, "country.tsv": 400, "carrier.tsv": lookups.PACKED_ENTRY_BYTES + 1, "event.tsv": 5}
+    assert lookups.packed_entries(sizes, 1 << 28) == ["browser.tsv", "country.tsv"]
+    assert lookups.packed_entries(sizes, 900) == ["country.tsv"]
+    assert lookups.packed_entries(sizes, -1) == []
+
+
 def test_user_schema(spark, feed):
     schema = T.StructType([T.StructField("accept_language", T.StringType()), T.StructField("hit_id", T.LongType())])
     df = datafeed(spark).schema(schema).load(feed)
