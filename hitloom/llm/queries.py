@@ -134,13 +134,14 @@ def _url_sql() -> str:
     rule = " ".join(f.format(f"'{h}{p}'") for f, (_, h, p) in zip(fits, ordered))
     verdict = " ".join(f.format(f"'{v}'") for f, (v, _, _) in zip(fits, ordered))
     strict, soft = " + ".join(map(_term, urls.STRICT_TERMS)), " + ".join(map(_term, urls.SOFT_TERMS))
+    weight = " + ".join(f"{w} * {_term(t)}" for t, w in urls.SOFT_TERMS.items())
     lowered = f"translate(coalesce(url, ''), '{urls._UPPER}', '{urls._LOWER}')"
     return (
         f"WITH p AS (SELECT page_id, {lowered} AS u, "
         f"translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), '{urls._UPPER}', '{urls._LOWER}') AS host, "
         "regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages) "
         f"SELECT page_id, host, path, CASE {rule} ELSE NULL END AS rule, "
-        f"CASE {verdict} WHEN ({strict}) > 0 OR ({soft}) > 1 THEN 'block' ELSE 'allow' END AS verdict FROM p"
+        f"CASE {verdict} WHEN ({strict}) > 0 OR (({soft}) >= {urls.SOFT_NEEDED} AND ({weight}) >= {urls.SOFT_WEIGHT}) THEN 'block' ELSE 'allow' END AS verdict FROM p"
     )
 
 
