@@ -37,7 +37,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _web(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     return datafeed(spark).options(**options).load(f"{root}/web")
 
 
@@ -100,7 +100,7 @@ def feed_post_event_list(spark, sf_dir):
 
 
 def _orders(spark, sf_dir) -> DataFrame:
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "orders")
     return datafeed(spark).load(f"{root}/orders")
 
 
@@ -129,7 +129,7 @@ def feed_product_events_evars(spark, sf_dir):
 
 
 def feed_tsv_escapes(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "docs")
     df = datafeed(spark).load(f"{root}/docs")
     return df.select(_hit_id(), F.col("post_pagename").alias("text"))
 
@@ -153,7 +153,7 @@ def feed_schema_drift(spark, sf_dir):
 
 
 def feed_user_schema(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     schema = "hit_id bigint, os string, not_in_feed string, last_hit_time_gmt bigint, browser_type string"
     return datafeed(spark).schema(schema).load(f"{root}/web")
 
@@ -169,13 +169,13 @@ def feed_modified_after(spark, sf_dir):
 
 
 def feed_multi_path(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "docs", "orders", "web")
     df = datafeed(spark).load(f"{root}/web", f"{root}/orders", f"{root}/docs")
     return df.groupBy(F.col("_tech_fileset").alias("fileset")).agg(F.count(F.lit(1)).alias("n_hits"))
 
 
 def feed_manifest_parse(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     m = manifest_source.read_manifests(spark, [f"{root}/web"])
     return m.select(
         "fileset",
@@ -186,7 +186,7 @@ def feed_manifest_parse(spark, sf_dir):
 
 
 def feed_manifest_roundtrip(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     folder = _scratch(spark, "roundtrip")
     manifest_writer.write_manifests(manifest_source.read_manifests(spark, [f"{root}/web"]), folder).collect()
     df = datafeed(spark).load(folder)
@@ -194,7 +194,7 @@ def feed_manifest_roundtrip(spark, sf_dir):
 
 
 def feed_manifest_reconstruct(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "lost")
     folder = _scratch(spark, "reconstructed")
     rebuilt = manifest_writer.reconstruct_manifests(spark, f"{root}/lost/hits", f"{root}/lost/lookups")
     manifest_writer.write_manifests(rebuilt, folder).collect()
@@ -203,7 +203,7 @@ def feed_manifest_reconstruct(spark, sf_dir):
 
 
 def feed_conform_incremental(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     target = _scratch(spark, "conformed")
     ingest.conform(spark, [f"{root}/web"], target, modifiedBefore="2024-01-02T12:00:00", timeZone="UTC")
     ingest.conform(spark, [f"{root}/web"], target, modifiedAfter="2024-01-02T12:00:00", timeZone="UTC")
@@ -212,7 +212,7 @@ def feed_conform_incremental(spark, sf_dir):
 
 
 def feed_stream_ingest(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     target = _scratch(spark, "streamed")
     q = ingest.stream_ingest(spark, f"{root}/web", target, _scratch(spark, "stream-checkpoint"), max_manifests_per_batch=1)
     q.awaitTermination()
@@ -225,7 +225,7 @@ def _by_fileset_os(df: DataFrame) -> DataFrame:
 
 def feed_stream_ingest_filtered(spark, sf_dir):
     """The filters choose the same manifests in a stream as in a batch read, at any batch size."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     target = _scratch(spark, "streamed")
     q = ingest.stream_ingest(
         spark, f"{root}/web", target, _scratch(spark, "stream-checkpoint"), max_manifests_per_batch=1000, pathGlobFilter="shop_2024-01-02*"
@@ -236,7 +236,7 @@ def feed_stream_ingest_filtered(spark, sf_dir):
 
 def feed_conform_drift(spark, sf_dir):
     """Deliveries with other columns, conformed one by one: the table has the columns of both."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "late")
     target = _scratch(spark, "conformed")
     ingest.conform(spark, [f"{root}/late"], target, modifiedBefore="2024-01-02T12:00:00", timeZone="UTC")
     ingest.conform(spark, [f"{root}/late"], target, modifiedAfter="2024-01-02T12:00:00", timeZone="UTC")
@@ -245,25 +245,25 @@ def feed_conform_drift(spark, sf_dir):
 
 def feed_path_forms(spark, sf_dir):
     """Manifests that name the same files relatively, with ``.``, ``..`` and spare slashes, and absolutely."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "forms")
     return _by_fileset_os(datafeed(spark).load(f"{root}/forms"))
 
 
 def feed_lookup_late_file(spark, sf_dir):
     """A lookup file that only a later delivery has: earlier hits keep their code."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "late")
     return datafeed(spark).load(f"{root}/late").select(_hit_id(), "os")
 
 
 def feed_user_schema_drift(spark, sf_dir):
     """A column that only a later delivery has, asked for by a user schema."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "late")
     return datafeed(spark).schema("hit_id bigint, extra_b string, os string").load(f"{root}/late")
 
 
 def feed_plain_and_bzip2(spark, sf_dir):
     """Hit files that Spark splits; records may go over the cuts."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "codecs")
     df = datafeed(spark).load(f"{root}/codecs")
     return df.select(_hit_id(), F.col("post_pagename").alias("text"))
 
@@ -274,7 +274,7 @@ def feed_mobile_all_fields(spark, sf_dir):
 
 def feed_product_pairs(spark, sf_dir):
     """Pairs whose keys and values hold escaped list syntax."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "parts")
     p = datafeed(spark).load(f"{root}/parts").select(_hit_id(), F.posexplode("product_list").alias("pos", "p"))
     ev = p.select("hit_id", "pos", F.lit("event").alias("kind"), F.posexplode("p.events").alias("i", "kv"))
     evar = p.select("hit_id", "pos", F.lit("evar").alias("kind"), F.posexplode("p.evars").alias("i", "kv"))
@@ -301,25 +301,25 @@ def _streamed(spark, df: DataFrame) -> DataFrame:
 
 def feed_stream_dataframe(spark, sf_dir):
     """The feed as a streaming DataFrame: looked-up columns and metadata, a manifest in each micro-batch."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     hits = datafeed_stream(spark).option("maxManifestsPerTrigger", 1).load(f"{root}/web")
     return _by_fileset_os(_streamed(spark, hits.select("_tech_fileset", "os")))
 
 
 def feed_stream_simple_lookups(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     return _streamed(spark, datafeed_stream(spark).load(f"{root}/web").select(_hit_id(), *SIMPLE_OUTPUTS))
 
 
 def feed_stream_events(spark, sf_dir):
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     hits = datafeed_stream(spark).schema("hit_id string, event_list array<struct<event:string,value:string>>").load(f"{root}/web")
     return _exploded_events(_streamed(spark, hits), "event_list")
 
 
 def feed_stream_texts(spark, sf_dir):
     """Long texts with continued lines in gzip, plain and bzip2 files."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "codecs")
     hits = datafeed_stream(spark).load(f"{root}/codecs").select(_hit_id(), F.col("post_pagename").alias("text"))
     return _streamed(spark, hits)
 
@@ -343,26 +343,26 @@ def feed_manifest_many_files(spark, sf_dir):
 
 def feed_record_rules(spark, sf_dir):
     """Comments and blank lines go, fields beyond the header are ignored, missing ones are null."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "rules")
     return datafeed(spark).load(f"{root}/rules").select("hit_id", "user", "kind")
 
 
 def feed_comments_kept(spark, sf_dir):
     """Without a comment character the lines that begin with ``#`` are records."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "rules")
     return datafeed(spark).option("comment", "").load(f"{root}/rules").select("hit_id", "user", "kind")
 
 
 def feed_encodings(spark, sf_dir):
     """Column names and hits in ISO-8859-1."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "latin")
     df = datafeed(spark).option("fileEncoding", "ISO-8859-1").option("dataEncoding", "ISO-8859-1").load(f"{root}/latin")
     return df.select(_hit_id(), F.col("größe").cast("bigint").alias("n_chars"), F.col("post_pagename").alias("text"))
 
 
 def feed_max_chars(spark, sf_dir):
     """The length limit lets texts of exactly that length through."""
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "docs")
     longest = datafeed(spark).load(f"{root}/docs").agg(F.max(F.length("post_pagename"))).first()[0]
     df = datafeed(spark).option("maxCharsPerColumn", longest).load(f"{root}/docs")
     return df.select(_hit_id(), F.col("post_pagename").alias("text"))
@@ -371,7 +371,7 @@ def feed_max_chars(spark, sf_dir):
 def feed_reader_extension(spark, sf_dir):
     """``spark.read.datafeed`` and ``spark.read.format("datafeed")``, one delivery each."""
     hitloom.install()
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     a = spark.read.option("pathGlobFilter", "shop_2024-01-01*").datafeed(f"{root}/web")
     b = spark.read.format("datafeed").option("pathGlobFilter", "shop_2024-01-02*").load(f"{root}/web")
     return _by_fileset_os(a.select("_tech_fileset", "os").unionByName(b.select("_tech_fileset", "os")))
@@ -380,7 +380,7 @@ def feed_reader_extension(spark, sf_dir):
 def feed_sql_view(spark, sf_dir):
     """The feed named in SQL, lookups and metadata included."""
     hitloom.install(spark)
-    root = synth.ensure_feeds(spark, sf_dir)
+    root = synth.ensure_feeds(spark, sf_dir, "web")
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW feed_hits USING datafeed OPTIONS (path '{root}/web')")
     return _by_fileset_os(spark.table("feed_hits"))
 

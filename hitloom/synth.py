@@ -17,6 +17,7 @@ from __future__ import annotations
 import io
 import tarfile
 import threading
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +29,12 @@ from hitloom.operators.lookups import MOBILE_FIELDS
 from hitloom.session import work_dir
 from hitloom.sources import manifest_writer
 
-SYNTH_VERSION = "v7"
+SYNTH_VERSION = "v8"
 # Hit files of a delivery: at least FILES_PER_FILESET, one for every ROWS_PER_FILE hits beyond.
 FILES_PER_FILESET = 4
 ROWS_PER_FILE = 500_000
+# An order's line is several times as long as another hit's.
+ORDERS_PER_FILE = 125_000
 
 WEB_A = "shop_2024-01-01"
 WEB_B = "shop_2024-01-02"
@@ -201,29 +204,33 @@ ITEM_ORDER = [
 ]
 
 
-def order_hits(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One hit per order; product_list / post_product_list from its lineitems."""
-    li = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    money = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
-    item = F.concat_ws(
-        ";",
-        escape_list_item(F.col("p_type")),
-        escape_list_item(product_name(F.col("p_name"), F.col("p_partkey"))),
-        F.col("l_quantity").cast("int").cast("string"),
-        money("l_extendedprice"),
+def order_hits(orders: DataFrame, lineitem: DataFrame, part: DataFrame, n: int) -> DataFrame:
+    """One hit per order; product_list / post_product_list from its lineitems.
+
+    The lines cross as they are, once, into ``n`` partitions by order, and their texts are put together there."""
+    p = part.select(
+        "p_partkey", escape_list_item(F.col("p_type")).alias("type"),
+        escape_list_item(product_name(F.col("p_name"), F.col("p_partkey"))).alias("name"),
+        escape_list_item(F.col("p_name")).alias("post_name"),
     )
+    li = lineitem.join(p, lineitem.l_partkey == p.p_partkey)
+    li = li.select("l_orderkey", *ITEM_ORDER, "type", "name", "post_name").repartition(n, "l_orderkey")
+    money = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    li = li.withColumns({"quantity": F.col("l_quantity").cast("int").cast("string"), "price": money("l_extendedprice")})
+    # In a projection of their own: an aggregate evaluates its inputs without generated code.
+    item = F.concat_ws(";", "type", "name", "quantity", "price")
     post_item = F.concat_ws(
         ";",
         F.lit(""),
-        escape_list_item(F.col("p_name")),
-        F.col("l_quantity").cast("int").cast("string"),
-        money("l_extendedprice"),
+        "post_name",
+        "quantity",
+        "price",
         F.concat(F.lit("event1="), money("l_discount"), F.lit("|event2="), money("l_tax")),
         F.concat(F.lit("eVar1="), F.col("l_returnflag"), F.lit("|eVar2="), F.date_format("l_shipdate", "yyyy-MM-dd")),
     )
-    per_order = li.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct(*ITEM_ORDER, item.alias("item"), post_item.alias("post")))).alias("items")
-    )
+    li = li.select("l_orderkey", *ITEM_ORDER, item.alias("item"), post_item.alias("post"))
+    per_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*ITEM_ORDER, "item", "post"))).alias("items"))
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus").repartition(n, "o_orderkey")
     return orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left").select(
         F.col("o_orderkey").alias("hit_id"),
         F.col("o_custkey").alias("visid"),
@@ -285,7 +292,9 @@ def rule_lines(events: DataFrame) -> DataFrame:
     return e.select(F.posexplode(lines).alias("pos", "value"), "event_id")
 
 
-def _write_rules(spark: SparkSession, folder: str, events: DataFrame) -> None:
+def _write_rules(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Comments, blank lines, records of other lengths."""
+    events = _table(spark, sf_dir, "events")
     _write_archive(spark, f"{folder}/{RULES_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [RULE_HEADERS]})
     lines = rule_lines(events).repartition(_files(events), "event_id").sortWithinPartitions("event_id", "pos")
     lines.select("value").write.mode("overwrite").text(f"{folder}/hits", compression="gzip")
@@ -297,8 +306,9 @@ def latin_text(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\x00-\x{FF}]", "?")
 
 
-def _write_latin(spark: SparkSession, folder: str, documents: DataFrame) -> None:
+def _write_latin(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Hit files and column names in ISO-8859-1."""
+    documents = _table(spark, sf_dir, "documents")
     header = ("\t".join(LATIN_HEADERS) + "\n").encode("iso-8859-1")
     buf = io.BytesIO()
     with tarfile.open(fileobj=buf, mode="w:gz") as tf:
@@ -312,18 +322,18 @@ def _write_latin(spark: SparkSession, folder: str, documents: DataFrame) -> None
     _write_feed_manifest(spark, folder, LATIN_FS, "hits", WEB_B_MTIME)
 
 
-def _files(hits: DataFrame) -> int:
-    return max(FILES_PER_FILESET, -(-hits.count() // ROWS_PER_FILE))
+def _files(hits: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
+    return max(FILES_PER_FILESET, -(-hits.count() // rows_per_file))
+
+
+def _write_lines(lines: DataFrame, target: str, compression: str = "gzip") -> None:
+    """A hit file for each partition, its lines in order."""
+    lines.sortWithinPartitions("value").write.mode("overwrite").text(target, compression=compression)
 
 
 def _write_hits(df: DataFrame, target: str, headers: list[str], n_files: int, compression: str = "gzip") -> None:
-    lines = _tsv_line(df, headers)
-    (
-        lines.repartition(n_files)
-        .sortWithinPartitions("value")
-        .write.mode("overwrite")
-        .text(target, compression=compression)
-    )
+    # By hash: dealing rows out in turn would first sort every map task's lines.
+    _write_lines(_tsv_line(df, headers).repartition(n_files, "value"), target, compression)
 
 
 def _data_files(spark: SparkSession, hits_dir: str) -> list[tuple[str, int]]:
@@ -372,61 +382,92 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _LOCK = threading.Lock()
 
 
-def ensure_feeds(spark: SparkSession, sf_dir: str) -> str:
-    """Write (once per work folder) the test feeds for the tables in ``sf_dir``."""
+def ensure_feeds(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
+    """Write (once per work folder) these test feeds, all by default, for the tables in ``sf_dir``.
+
+    Each feed has a mark of its own, so a query waits for the feeds that it reads and for no other."""
     root = feed_root(spark, sf_dir)
-    if fs.exists(spark, f"{root}/_READY"):
-        return root
-    with _LOCK:
-        if fs.exists(spark, f"{root}/_READY"):
-            return root
-        return _write_feeds(spark, sf_dir, root)
+    for feed in feeds or FEEDS:
+        for needed in (*NEEDS.get(feed, ()), feed):
+            _ensure_feed(spark, sf_dir, root, needed)
+    return root
+
 
+def _ensure_feed(spark: SparkSession, sf_dir: str, root: str, feed: str) -> None:
+    ready = f"{root}/_READY-{feed}"
+    if fs.exists(spark, ready):
+        return
+    with _LOCK:
+        if not fs.exists(spark, ready):
+            FEEDS[feed](spark, sf_dir, f"{root}/{feed}")
+            fs.write_bytes(spark, ready, b"ok")
 
-def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
-    t = lambda n: _table(spark, sf_dir, n)
-    nation = t("nation")
 
-    # web: two deliveries of events, the second with drifted headers
-    web = f"{root}/web"
-    hits = web_hits(t("events"))
+def _web_deliveries(spark: SparkSession, sf_dir: str) -> Iterator[tuple[str, list[str], str, DataFrame]]:
+    """(fileset, headers, time, hits) of the two deliveries of events: even ids, then odd ones with other headers."""
+    hits = web_hits(_table(spark, sf_dir, "events"))
     for fileset, headers, parity, mtime in ((WEB_A, WEB_HEADERS_A, 0, WEB_A_MTIME), (WEB_B, WEB_HEADERS_B, 1, WEB_B_MTIME)):
+        yield fileset, headers, mtime, hits.filter(F.col("hit_id") % 2 == parity)
+
+
+def _write_web(spark: SparkSession, sf_dir: str, web: str) -> None:
+    """Two deliveries of events, the second with drifted headers."""
+    nation = _table(spark, sf_dir, "nation")
+    for fileset, headers, mtime, mine in _web_deliveries(spark, sf_dir):
         _write_archive(spark, f"{web}/{fileset}{names.LOOKUP_SUFFIX}", _web_lookups(spark, nation, headers))
-        mine = hits.filter(F.col("hit_id") % 2 == parity)
         _write_hits(mine, f"{web}/hits/{fileset}", headers, _files(mine))
         _write_feed_manifest(spark, web, fileset, f"hits/{fileset}", mtime)
-        _write_path_forms(spark, f"{root}/forms", web, fileset, mtime)
 
-    # late: the first delivery has no os lookup, the second has one and another column
-    late = f"{root}/late"
-    systems = {"operating_systems.tsv": _web_lookups(spark, nation, [])["operating_systems.tsv"]}
+
+def _write_forms(spark: SparkSession, sf_dir: str, forms: str) -> None:
+    """Other manifests for the files of the web feed."""
+    for fileset, _, mtime, _ in _web_deliveries(spark, sf_dir):
+        _write_path_forms(spark, forms, forms.rsplit("/", 1)[0] + "/web", fileset, mtime)
+
+
+def _write_late(spark: SparkSession, sf_dir: str, late: str) -> None:
+    """The first delivery has no os lookup, the second has one and another column."""
+    hits = web_hits(_table(spark, sf_dir, "events"))
+    systems = {"operating_systems.tsv": _web_lookups(spark, _table(spark, sf_dir, "nation"), [])["operating_systems.tsv"]}
     for fileset, headers, parity, more in ((LATE_A, LATE_HEADERS_A, 0, {}), (LATE_B, LATE_HEADERS_B, 1, systems)):
         _write_archive(spark, f"{late}/{fileset}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [headers], **more})
         mine = hits.filter(F.col("hit_id") % 2 == parity)
         _write_hits(mine, f"{late}/hits/{fileset}", headers, _files(mine))
         _write_feed_manifest(spark, late, fileset, f"hits/{fileset}", WEB_B_MTIME if more else WEB_A_MTIME)
 
-    # parts: pairs with escapes
-    pp = f"{root}/parts"
+
+def _write_parts(spark: SparkSession, sf_dir: str, pp: str) -> None:
+    """Pairs with escapes."""
+    part = _table(spark, sf_dir, "part")
     _write_archive(spark, f"{pp}/{PARTS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [PART_HEADERS]})
-    _write_hits(part_hits(t("part")), f"{pp}/hits", PART_HEADERS, _files(t("part")))
+    _write_hits(part_hits(part), f"{pp}/hits", PART_HEADERS, _files(part))
     _write_feed_manifest(spark, pp, PARTS_FS, "hits", WEB_B_MTIME)
 
-    # orders: product lists
-    od = f"{root}/orders"
+
+def _write_orders(spark: SparkSession, sf_dir: str, od: str) -> None:
+    """Product lists.  The orders and their items meet in the partitions that become the hit files."""
+    orders, lineitem, part = (_table(spark, sf_dir, t) for t in ("orders", "lineitem", "part"))
     _write_archive(spark, f"{od}/{ORDERS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [ORDER_HEADERS]})
-    _write_hits(order_hits(t("orders"), t("lineitem"), t("part")), f"{od}/hits", ORDER_HEADERS, _files(t("orders")))
+    hits = order_hits(orders, lineitem, part, _files(orders, ORDERS_PER_FILE))
+    _write_lines(_tsv_line(hits, ORDER_HEADERS), f"{od}/hits")
     _write_feed_manifest(spark, od, ORDERS_FS, "hits", WEB_B_MTIME)
 
-    # docs: long texts with newlines, tabs, CRs and backslashes
-    dd = f"{root}/docs"
+
+def _doc_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_hits(_table(spark, sf_dir, "documents"))
+
+
+def _write_docs(spark: SparkSession, sf_dir: str, dd: str) -> None:
+    """Long texts with newlines, tabs, CRs and backslashes."""
+    docs = _doc_hits(spark, sf_dir)
     _write_archive(spark, f"{dd}/{DOCS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [DOC_HEADERS]})
-    docs = doc_hits(t("documents"))
     _write_hits(docs, f"{dd}/hits", DOC_HEADERS, _files(docs))
     _write_feed_manifest(spark, dd, DOCS_FS, "hits", WEB_B_MTIME)
 
-    # codecs: the same texts in files that Spark splits, plain for even ids and bzip2 for odd ones
-    cd, files = f"{root}/codecs", []
+
+def _write_codecs(spark: SparkSession, sf_dir: str, cd: str) -> None:
+    """The same texts in files that Spark splits, plain for even ids and bzip2 for odd ones."""
+    docs, files = _doc_hits(spark, sf_dir), []
     _write_archive(spark, f"{cd}/{DOCS_FS}{names.LOOKUP_SUFFIX}", {"column_headers.tsv": [DOC_HEADERS]})
     for codec, parity in (("none", 0), ("bzip2", 1)):
         mine = docs.filter(F.col("hit_id") % 2 == parity)
@@ -434,16 +475,6 @@ def _write_feeds(spark: SparkSession, sf_dir: str, root: str) -> str:
         files += [(f"hits/{codec}/{n}", c) for n, c in _data_files(spark, f"{cd}/hits/{codec}")]
     _write_manifest(spark, cd, DOCS_FS, f"{DOCS_FS}{names.LOOKUP_SUFFIX}", files, WEB_B_MTIME)
 
-    # rules: comments, blank lines, records of other lengths; latin: another encoding
-    _write_rules(spark, f"{root}/rules", t("events"))
-    _write_latin(spark, f"{root}/latin", t("documents"))
-
-    # lost: hit files per nation, archives for even nation keys, no manifests
-    _write_lost(spark, f"{root}/lost", t("customer"), nation)
-
-    fs.write_bytes(spark, f"{root}/_READY", b"ok")
-    return root
-
 
 def _write_path_forms(spark: SparkSession, feed_dir: str, web: str, fileset: str, mtime: str) -> None:
     """A manifest in another folder that names the web feed's files relatively, with spare steps and slashes, and absolutely."""
@@ -464,7 +495,9 @@ def lost_fileset(n_name: Column) -> Column:
     return F.concat(F.lower(F.regexp_replace(n_name, r"[^A-Za-z0-9]+", "_")), F.lit("_2024-04-01"))
 
 
-def _write_lost(spark: SparkSession, lost: str, customer: DataFrame, nation: DataFrame) -> None:
+def _write_lost(spark: SparkSession, sf_dir: str, lost: str) -> None:
+    """Hit files per nation, archives for even nation keys, no manifests."""
+    customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     hits = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         F.col("c_custkey").alias("hit_id"), F.col("c_nationkey").alias("country"),
         (F.col("c_custkey") % 5).alias("os"), lost_fileset(F.col("n_name")).alias("fs"),
@@ -485,3 +518,12 @@ def _write_lost(spark: SparkSession, lost: str, customer: DataFrame, nation: Dat
                 "operating_systems.tsv": [[str(k), f"OS {k}"] for k in range(4)],
             }
             _write_archive(spark, f"{lost}/lookups/{r.fs}{names.LOOKUP_SUFFIX}", entries)
+
+
+#: Feed -> its writer, which is given the tables' folder and the feed's own.
+FEEDS: dict[str, Callable[[SparkSession, str, str], None]] = {
+    "web": _write_web, "forms": _write_forms, "late": _write_late, "parts": _write_parts, "orders": _write_orders,
+    "docs": _write_docs, "codecs": _write_codecs, "rules": _write_rules, "latin": _write_latin, "lost": _write_lost,
+}
+#: Feeds whose files another one names.
+NEEDS = {"forms": ("web",)}
