@@ -85,8 +85,16 @@ def feed_mobile_attributes(spark, sf_dir):
     )
 
 
+def _items(df: DataFrame, items: str, alias: str, *keep: str | F.Column, pos: str = "pos") -> DataFrame:
+    """A row for each item of an array.
+
+    An inner ``posexplode`` of a computed array gets filters on its size and on null that compute the array
+    again, twice; the outer form computes it once, and its one row for an empty array goes here."""
+    return df.select(*keep, F.posexplode_outer(items).alias(pos, alias)).filter(F.col(pos).isNotNull())
+
+
 def _exploded_events(df: DataFrame, column: str) -> DataFrame:
-    return df.select(_hit_id(), F.posexplode(column).alias("pos", "ev")).select(
+    return _items(df, column, "ev", _hit_id()).select(
         "hit_id", "pos", F.col("ev.event").alias("event"), F.col("ev.value").alias("value")
     )
 
@@ -105,7 +113,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 
 def _exploded_products(df: DataFrame, column: str) -> DataFrame:
-    return df.select(_hit_id(), F.posexplode(column).alias("pos", "p")).select(
+    return _items(df, column, "p", _hit_id()).select(
         "hit_id", "pos", F.col("p.category").alias("category"), F.col("p.name").alias("name"),
         F.col("p.quantity").alias("quantity"), F.col("p.price").alias("price"),
     )
@@ -119,15 +127,20 @@ def feed_post_product_list(spark, sf_dir):
     return _exploded_products(_orders(spark, sf_dir), "post_product_list")
 
 
-def feed_product_events_evars(spark, sf_dir):
-    p = _orders(spark, sf_dir).select(_hit_id(), F.posexplode("post_product_list").alias("pos", "p"))
-    ev = p.select("hit_id", "pos", F.lit("event").alias("kind"), F.posexplode("p.events").alias("i", "kv"))
-    evar = p.select("hit_id", "pos", F.lit("evar").alias("kind"), F.posexplode("p.evars").alias("i", "kv"))
-    return ev.unionByName(evar).select(
+def _exploded_pairs(df: DataFrame, column: str) -> DataFrame:
+    """The events and the eVars of every product, from one read of the hits."""
+    p = _items(df, column, "p", _hit_id())
+    lists = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"p.{kind}s").alias("pairs")) for kind in ("event", "evar")])
+    of_kind = p.select("hit_id", "pos", F.explode(lists).alias("list"))
+    return _items(of_kind, "list.pairs", "kv", "hit_id", "pos", "list.kind", pos="i").select(
         "hit_id", "pos", "kind", "i", F.col("kv.key").alias("key"), F.col("kv.value").alias("value")
     )
 
 
+def feed_product_events_evars(spark, sf_dir):
+    return _exploded_pairs(_orders(spark, sf_dir), "post_product_list")
+
+
 def feed_tsv_escapes(spark, sf_dir):
     root = synth.ensure_feeds(spark, sf_dir, "docs")
     df = datafeed(spark).load(f"{root}/docs")
@@ -275,10 +288,7 @@ def feed_mobile_all_fields(spark, sf_dir):
 def feed_product_pairs(spark, sf_dir):
     """Pairs whose keys and values hold escaped list syntax."""
     root = synth.ensure_feeds(spark, sf_dir, "parts")
-    p = datafeed(spark).load(f"{root}/parts").select(_hit_id(), F.posexplode("product_list").alias("pos", "p"))
-    ev = p.select("hit_id", "pos", F.lit("event").alias("kind"), F.posexplode("p.events").alias("i", "kv"))
-    evar = p.select("hit_id", "pos", F.lit("evar").alias("kind"), F.posexplode("p.evars").alias("i", "kv"))
-    return ev.unionByName(evar).select("hit_id", "pos", "kind", "i", F.col("kv.key").alias("key"), F.col("kv.value").alias("value"))
+    return _exploded_pairs(datafeed(spark).load(f"{root}/parts"), "product_list")
 
 
 def feed_filesets_option(spark, sf_dir):
