@@ -56,10 +56,9 @@ _PLAIN = {",": ",", ";": ";", "|": "\\|", "=": "="}
 _ESCAPE_AWARE = {",": ITEM_SEPARATOR, ";": FIELD_SEPARATOR, "|": PIPE_SEPARATOR, "=": ASSIGNMENT_SEPARATOR}
 
 
-def _split(c: Column, sep: str, limit: int = -1) -> Column:
-    return F.when(F.instr(c, "^") == 0, F.split(c, _PLAIN[sep], limit)).otherwise(
-        F.split(c, _ESCAPE_AWARE[sep], limit)
-    )
+def _split(c: Column, sep: str, limit: int = -1, plain: bool = False) -> Column:
+    parts = F.split(c, _PLAIN[sep], limit)
+    return parts if plain else F.when(F.instr(c, "^") == 0, parts).otherwise(F.split(c, _ESCAPE_AWARE[sep], limit))
 
 
 def _drop_trailing_empty(parts: Column) -> Column:
@@ -81,11 +80,11 @@ def none_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def split_list(c: Column, separator: str) -> Column:
+def split_list(c: Column, separator: str, plain: bool = False) -> Column:
     """Split like ``java.util.regex.Pattern.split(s)`` on an unescaped
     ``separator`` (one of ``, ; | =``): trailing empty items are dropped
     (Spark's ``split`` keeps them), ``""`` gives ``[""]`` and a string of
-    separators gives ``[]``."""
+    separators gives ``[]``.  ``plain``: ``c`` holds no ``^``."""
     sep = {ITEM_SEPARATOR: ",", FIELD_SEPARATOR: ";", PIPE_SEPARATOR: "|", ASSIGNMENT_SEPARATOR: "="}.get(
         separator, separator
     )
@@ -93,8 +92,8 @@ def split_list(c: Column, separator: str) -> Column:
     def body(s: Column) -> Column:
         return (
             F.when(s == "", F.array(F.lit("")))
-            .when(s.endswith(sep), _drop_trailing_empty(_split(s, sep)))
-            .otherwise(_split(s, sep))
+            .when(s.endswith(sep), _drop_trailing_empty(_split(s, sep, plain=plain)))
+            .otherwise(_split(s, sep, plain=plain))
         )
 
     return _let(c, body)
@@ -104,7 +103,7 @@ def _fail(message: str) -> Column:
     return F.raise_error(F.lit(message))
 
 
-def parse_assignment(item: Column, failfast: bool = False) -> Column:
+def parse_assignment(item: Column, failfast: bool = False, plain: bool = False) -> Column:
     """``key=value`` -> struct(key, value), both unescaped.  No ``=``: value
     is null (or an error in FAILFAST mode)."""
     escaped = F.instr(item, "^") > 0
@@ -112,49 +111,51 @@ def parse_assignment(item: Column, failfast: bool = False) -> Column:
     def body(parts: Column) -> Column:
         def field(i: int) -> Column:
             v = F.get(parts, i)
-            return F.when(escaped, unescape(v)).otherwise(v)
+            return v if plain else F.when(escaped, unescape(v)).otherwise(v)
 
         value = field(1)
         if failfast:
             value = F.when(F.size(parts) < 2, _fail("assignment without '='")).otherwise(value)
         return F.struct(field(0).alias("key"), value.alias("value"))
 
-    return _let(_split(item, "=", 2), body)
+    return _let(_split(item, "=", 2, plain), body)
 
 
-def parse_pairs(c: Column, failfast: bool = False) -> Column:
+def parse_pairs(c: Column, failfast: bool = False, plain: bool = False) -> Column:
     """``k=v|k=v`` -> array<struct<key,value>>; empty -> null."""
-    pairs = F.transform(split_list(c, "|"), lambda x: parse_assignment(x, failfast))
+    pairs = F.transform(split_list(c, "|", plain), lambda x: parse_assignment(x, failfast, plain))
     return F.when(c == "", F.lit(None)).otherwise(pairs)
 
 
 def parse_product(item: Column, failfast: bool = False) -> Column:
     """``category;name;quantity;price;events;evars`` -> product struct.
 
-    An item without any ``^`` has nothing to unescape, so its fields are
-    taken as they are (one check per item instead of one per field)."""
-    escaped = F.instr(item, "^") > 0
+    An item without any ``^`` has nothing to unescape, down to its pairs: one
+    check decides that for all of it."""
 
-    def body(parts: Column) -> Column:
-        n = F.size(parts)
+    def parsed(plain: bool) -> Column:
+        def body(parts: Column) -> Column:
+            n = F.size(parts)
 
-        def field(i: int) -> Column:
-            v = F.get(parts, i)
-            return F.when(escaped, unescape(v)).otherwise(v)
+            def field(i: int) -> Column:
+                v = F.get(parts, i)
+                return v if plain else unescape(v)
 
-        name = field(1)
-        if failfast:
-            name = F.when(n < 2, _fail("product without ';'")).otherwise(name)
-        return F.struct(
-            none_if_empty(field(0)).alias("category"),
-            name.alias("name"),
-            none_if_empty(field(2)).alias("quantity"),
-            none_if_empty(field(3)).alias("price"),
-            F.when(n >= 5, parse_pairs(F.get(parts, 4), failfast)).alias("events"),
-            F.when(n >= 6, parse_pairs(F.get(parts, 5), failfast)).alias("evars"),
-        )
+            name = field(1)
+            if failfast:
+                name = F.when(n < 2, _fail("product without ';'")).otherwise(name)
+            return F.struct(
+                none_if_empty(field(0)).alias("category"),
+                name.alias("name"),
+                none_if_empty(field(2)).alias("quantity"),
+                none_if_empty(field(3)).alias("price"),
+                F.when(n >= 5, parse_pairs(F.get(parts, 4), failfast, plain)).alias("events"),
+                F.when(n >= 6, parse_pairs(F.get(parts, 5), failfast, plain)).alias("evars"),
+            )
+
+        return _let(_split(item, ";", PRODUCT_FIELD_LIMIT, plain), body)
 
-    return _let(_split(item, ";", PRODUCT_FIELD_LIMIT), body)
+    return F.when(F.instr(item, "^") == 0, parsed(plain=True)).otherwise(parsed(plain=False))
 
 
 def parse_products(c: Column, failfast: bool = False) -> Column:
