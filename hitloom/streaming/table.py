@@ -15,9 +15,11 @@ The log needs a file system whose rename is atomic and refuses an existing name
 
 from __future__ import annotations
 
+import contextlib
 import json
 import time
 import uuid
+from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,11 @@ from hitloom import fs
 from hitloom.functions import names
 
 VERSION = "__version"
+# Partitions that a task of a load keeps open at a time.  The hits of a file follow each other, so a task meets
+# few partitions; Spark would sort all of its rows, every column of them, by partition, and sorts only those
+# that come after this many.
+OPEN_PARTITIONS = 8
+_OPEN_CONF = "spark.sql.maxConcurrentOutputFileWriters"
 LOG, DATA = "_log", "data"
 
 
@@ -68,10 +75,25 @@ def publish(spark: SparkSession, target: str, changes: dict[str, str | None], on
                 raise
 
 
+@contextlib.contextmanager
+def _open_partitions(spark: SparkSession) -> Iterator[None]:
+    """Writes by partition without a sort, unless the session has a setting of its own."""
+    if int(spark.conf.get(_OPEN_CONF, "0")) > 0:
+        yield
+        return
+    spark.conf.set(_OPEN_CONF, str(OPEN_PARTITIONS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_OPEN_CONF)
+
+
 def write_version(df: DataFrame, target: str, *partition_columns: str) -> dict[str, str]:
     """Write ``df`` under a new version, by partition; the last column names a partition.  Nothing is visible yet."""
     spark, version = df.sparkSession, uuid.uuid4().hex
-    df.withColumn(VERSION, F.lit(version)).write.mode("append").partitionBy(*partition_columns, VERSION).parquet(f"{target}/{DATA}")
+    rows = df.withColumn(VERSION, F.lit(version))
+    with _open_partitions(spark):
+        rows.write.mode("append").partitionBy(*partition_columns, VERSION).parquet(f"{target}/{DATA}")
     depth = "/".join(["*"] * len(partition_columns))
     root = fs.qualify(spark, f"{target}/{DATA}")
     folders = fs.glob(spark, f"{names.escape_glob(root)}/{depth}/{VERSION}={version}")
