@@ -29,13 +29,13 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,85 +51,114 @@ from hitloom.llm.common import ship, small_batches, store, text_or_empty, worker
 ship(__name__)
 
 #: Ids in a block and, about, in a segment; segments and characters handled at a time; tokens a task remembers.
-BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 8192, 1 << 19, 16, 500_000, 600_000
+BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 4096, 1 << 19, 16, 2_000_000, 600_000
 
 # Fixed values of the coder; files depend on them.
-SLOT_BITS, PAIR_SLOTS, REFRESH, GAIN, CONFIDENT = 12, 4096, 128, 24, 3
+SLOT_BITS, CLASS_BITS, PAIR_SLOTS, REFRESH, CLASS_REFRESH, GAIN = 16, 10, 2048, 128, 512, 2
+CLASSES, CONTEXTS = 32, 32
+_HIT2, _HIT1, _OTHER = 0, 1, 2  # as order 2 says, as order 1 says, any other id
+_NONE = CLASSES - 1  # the class of ids that order 2 or order 1 gives
+_LEAST, _SPARE, _AGED = 64, 256, 255
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the library
-_WORD = re.compile("([A-Za-z]+)([,.;:!?]+)")  # two pieces to the library, whatever stands around them
-_FULL, _LOW = np.uint64(2**64 - 1), np.uint64(2**32 - 1)
-_32, _SLOT = np.uint64(32), np.uint64(SLOT_BITS)
+#: Letters and signs, two pieces to the library's split, whatever stands around them; composing changes neither.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)")
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+_LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_WIDEST, _NARROW, _REST, _32, _24, _8 = np.uint64(1 << 56), np.uint64(1 << 24), np.uint64((1 << 24) - 1), np.uint64(32), np.uint64(24), np.uint64(8)
+_SLOT, _CLASS = np.uint64(SLOT_BITS), np.uint64(CLASS_BITS)
 _HEAD = "<IIIII"
 
 
 class _Model:
     """The adaptive state of many blocks: flat tables, in which block i has the i-th stretch.
 
-    A prediction is kept as (id + 1) * 4 + confidence, 0 where there is none; how
-    often a confidence pair was right, as a probability of 16 bits.
+    ``held`` has what followed an id, counted from 1 (0: the block's start), and then what
+    followed a pair of ids, hashed: (id + 1) * 4 + confidence, 0 where there is no prediction.
+    The ids of a block are numbered by class; the weights of the mixture and of the classes
+    stay as they are between refreshes.
     """
 
-    def __init__(self, sizes: np.ndarray):
-        blocks, self.widest = len(sizes), int(sizes.max())
-        live = np.arange(self.widest)[None, :] < sizes[:, None]
-        self.counts = live.astype(np.int32)
-        self.step = self.widest + 1
-        self.first = np.zeros(blocks * self.step, np.int32)  # what followed an id, counted from 1 (0: the block's start)
-        self.second = np.zeros(blocks * PAIR_SLOTS, np.int32)  # what followed a pair of ids, hashed
-        self.right2 = np.full(blocks * 16, 1 << 13, np.int32)
-        self.right1 = np.full(blocks * 16, 1 << 13, np.int32)
-        self.last = np.zeros(blocks, np.int64)  # ids count from 1 here: a block's start is the same in any company
-        self.before = np.zeros(blocks, np.int64)
+    def __init__(self, sizes: np.ndarray, used: np.ndarray):
+        blocks, step = len(sizes), int(sizes.sum(axis=1).max()) + 1
         rows = np.arange(blocks)
-        self.at_first, self.at_second, self.at_context, self.at_counts = (rows * n for n in (self.step, PAIR_SLOTS, 16, self.widest))
-        self.below = np.zeros((blocks, self.step), np.int32)
-        self.refresh()
-
-    def refresh(self) -> None:
-        np.cumsum(self.counts, axis=1, out=self.below[:, 1:])
-        self.flat_below, self.flat_counts = self.below.ravel(), self.counts.ravel()
-        self.total = self.below[:, -1].astype(np.uint64)
-
-    def predict(self, k: int):
-        """For the first k blocks: places in the tables, what they hold, predicted ids, widths of both intervals."""
-        last = self.last[:k]
-        second = (self.before[:k] * 40503 + last * 2531) % PAIR_SLOTS + self.at_second[:k]
-        first = last + self.at_first[:k]
-        held2, held1 = self.second.take(second), self.first.take(first)
-        context = ((held2 & 3) << 2 | (held1 & 3)) + self.at_context[:k]
-        right2, right1 = self.right2.take(context), self.right1.take(context)
-        two, one = (held2 >> 2) - 1, (held1 >> 2) - 1
-        scale = (1 << SLOT_BITS) - 96
-        width2 = (32 + (right2 * scale >> 16)) * (held2 > 0)
-        width1 = (32 + (right1 * scale >> 16)) * ((held1 > 0) & (one != two))
-        return second, first, held2, held1, context, right2, right1, two, one, width2, width1
-
-    def learn(self, k: int, ids: np.ndarray, told) -> None:
-        second, first, held2, held1, context, right2, right1, two, one, _, _ = told
-        hit2, hit1 = two == ids, one == ids
-        new = ((ids + 1) << 2 | 1).astype(np.int32)
-        for table, at, held, hit in ((self.second, second, held2, hit2), (self.first, first, held1, hit1)):
-            sure = held & 3
-            table[at] = np.where(hit, held + (sure < CONFIDENT), np.where(sure <= 1, new, held - 1))
-        hit1 &= ~hit2
-        self.right2[context] = right2 + (((hit2.astype(np.int32) << 16) - right2) >> 5)
-        self.right1[context] = right1 + (((hit1.astype(np.int32) << 16) - right1) >> 5)
-        self.flat_counts[ids + self.at_counts[:k]] += GAIN * ~(hit2 | hit1)
-        self.before[:k] = self.last[:k]
-        self.last[:k] = ids + 1
-
-
-def _carry(low: np.ndarray, width: np.ndarray):
-    """Which blocks must move a word, with widths cut where the word is not yet settled."""
-    settled = ((low ^ (low + (width - np.uint64(1)))) >> _32) == 0
-    narrow = ~settled & (width <= _LOW)
-    if narrow.any():
-        width = np.where(narrow, (np.uint64(0) - low) & _LOW, width)
-    return settled | narrow, width
-
-
-def _wider(width: np.ndarray) -> np.ndarray:
-    return np.where(width > _LOW, _FULL, width << _32)
+        self.at_first, self.at_second = rows * step, rows * PAIR_SLOTS + blocks * step
+        self.at_context, self.at_class, self.at_slot = rows * CONTEXTS, rows * CLASSES, rows << CLASS_BITS
+        self.held = np.zeros(blocks * (step + PAIR_SLOTS), np.uint16 if step < 1 << 14 else np.int32)
+        self.told = np.tile(np.array([1, 1, 6, 0], np.int64), blocks * CONTEXTS)
+        self.present, self.used = sizes > 0, used.astype(np.int64)
+        self.first_of = (np.cumsum(sizes, axis=1) - sizes).ravel()
+        self.size_of = np.maximum(sizes, 1).astype(np.uint64)
+        self.size_of[:, _NONE] = 1
+        self.size_of = self.size_of.ravel()
+        self.weigh()
+        self.weigh_classes()
+
+    def weigh(self) -> None:
+        """Interval ends of order 2 and order 1 in each context, from how often they were right."""
+        told = self.told.reshape(-1, 4)
+        total = told.sum(axis=1)
+        room = (1 << SLOT_BITS) - _SPARE - 2 * _LEAST
+        end2 = _LEAST + told[:, _HIT2] * room // total
+        self.end2 = end2.astype(np.uint64)
+        self.end1 = (end2 + _LEAST + told[:, _HIT1] * room // total).astype(np.uint64)
+
+    def weigh_classes(self) -> None:
+        total = np.maximum(self.used.sum(axis=1), 1)
+        spread = (1 << CLASS_BITS) - self.present.sum(axis=1)
+        width = self.present * (1 + self.used * spread[:, None] // total[:, None])
+        width[np.arange(len(width)), width.argmax(axis=1)] += (1 << CLASS_BITS) - width.sum(axis=1)
+        self.class_at = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), len(width)), width.ravel())
+        low = np.cumsum(width, axis=1) - width
+        low[:, _NONE], width[:, _NONE] = 0, 1 << CLASS_BITS
+        self.class_low, self.class_width = low.astype(np.uint64).ravel(), width.astype(np.uint64).ravel()
+
+    def refresh(self, upto: int, told_now: np.ndarray, classes: np.ndarray) -> None:
+        """Learn from contexts with what was right in them, and classes, of the latest steps; ``upto`` steps are done."""
+        told = self.told.reshape(-1, 4)
+        told += np.bincount(told_now.ravel(), minlength=self.told.size).reshape(-1, 4)
+        np.right_shift(told, 1, out=told, where=(told.sum(axis=1) > _AGED)[:, None])
+        told[:, _OTHER] |= 1
+        self.weigh()
+        now = np.bincount(classes.ravel(), minlength=self.used.size).reshape(self.used.shape)
+        now[:, _NONE] = 0
+        self.used += GAIN * now
+        if upto % CLASS_REFRESH == 0:
+            self.weigh_classes()
+
+
+def _learned(held: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """What takes the place of ``held`` predictions; ``new`` predicts the id that came, with least confidence."""
+    return np.where((held ^ new) < 4, np.minimum(held + 1, held | 3), new)
+
+
+def _classed(counts: np.ndarray) -> np.ndarray:
+    """Classes of ids by how often they are in their block: 1 to 4 by themselves, then two an octave."""
+    octave = np.frexp(counts.astype(np.float32))[1] - 1
+    return np.where(counts <= 4, counts - 1, np.minimum(2 * octave + (counts >> np.maximum(octave - 1, 0) & 1), _NONE - 1))
+
+
+def _typical() -> np.ndarray:
+    """About how often an id of each class is in its block."""
+    classes = np.arange(CLASSES)
+    return np.where(classes < 4, classes + 1, (1 << classes // 2) + (1 + 2 * (classes & 1) << classes // 2 >> 2))
+
+
+def _alphabet(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of a block by class, the size of each class, and the block in numbers of that list."""
+    ids = np.sort(block)
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    ids, counts = ids[starts], np.diff(starts, append=len(ids))
+    classes = _classed(counts).astype(np.uint8)
+    order = np.argsort(classes, kind="stable")
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    if ids[-1] < 1 << 18:
+        place = np.empty(int(ids[-1]) + 1, np.int32)
+        place[ids] = rank
+        local = place[block]
+    else:
+        local = rank[np.searchsorted(ids, block)]
+    return ids[order].astype(np.int64), np.bincount(classes, minlength=CLASSES), local
 
 
 def _varints(values: np.ndarray) -> bytes:
@@ -144,6 +173,16 @@ def _varints(values: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+def _varint_lists(lists: list[np.ndarray]) -> list[bytes]:
+    """The LEB128 bytes of each list of numbers."""
+    values = np.concatenate(lists)
+    sizes = 1 + sum((values >> 7 * i > 0).astype(np.int64) for i in range(1, 5))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    data = _varints(values)
+    cuts = ends[np.cumsum([0, *map(len, lists)])].tolist()
+    return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def _from_varints(data: bytes) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     last = raw < 128
@@ -155,63 +194,114 @@ def _from_varints(data: bytes) -> np.ndarray:
     return out
 
 
+def _context(held1: np.ndarray, held2: np.ndarray) -> np.ndarray:
+    """Both confidences, and whether order 1 and order 2 say the same."""
+    return ((held2 & 3) << 2 | (held1 & 3)) << 1 | ((held1 ^ held2) < 4)
+
+
+def _hashed(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return before * 40503 + last * 2531 & PAIR_SLOTS - 1
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Code blocks of ids (uint32, not empty)."""
     if not blocks:
         return []
     order = np.argsort([-len(b) for b in blocks], kind="stable")
-    alphabets, local = zip(*(np.unique(blocks[i], return_inverse=True) for i in order))
-    lengths = np.array([len(x) for x in local])
-    ids = np.zeros((len(local), int(lengths[0])), np.int32)
+    alphabets, sizes, local = zip(*(_alphabet(blocks[i]) for i in order))
+    sizes = np.stack(sizes)
+    n, lengths = len(local), np.array([len(x) for x in local])
+    steps = int(lengths[0])
+    by_block = np.zeros((n, steps + 2), np.int32)  # the last two places, then the block's ids, counted from 1
     for r, x in enumerate(local):
-        ids[r, : len(x)] = x
-    ids = np.ascontiguousarray(ids.T)
-    model = _Model(np.array([len(a) for a in alphabets]))
-    low, width = np.zeros(len(local), np.uint64), np.full(len(local), _FULL)
-    words = np.zeros((len(local), int(lengths[0]) + 8), np.uint32)
-    filled = np.zeros(len(local), np.int64)
-    active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
-    for t, k in enumerate(active.tolist()):
-        if t and t % REFRESH == 0:
-            model.refresh()
-        now = ids[t, :k].astype(np.int64)
-        told = model.predict(k)
-        two, one, width2, width1 = told[-4:]
-        is2 = two == now
-        is1 = ~is2 & (one == now)
-        other = ~(is2 | is1)
-        unit = width[:k] >> _SLOT
-        at = np.where(is2, 0, np.where(is1, width2, width2 + width1)).astype(np.uint64)
-        span = np.where(is2, width2, np.where(is1, width1, (1 << SLOT_BITS) - width2 - width1)).astype(np.uint64)
-        lo, wi = low[:k] + unit * at, unit * span
-        place = now + model.at_first[:k]
-        below = model.flat_below.take(place)
-        count = model.flat_below.take(place + 1) - below
-        unit = wi // np.where(other, model.total[:k], np.uint64(1))
-        lo = lo + unit * np.where(other, below, 0).astype(np.uint64)
-        wi = unit * np.where(other, count, 1).astype(np.uint64)
-        while True:
-            moves, wi = _carry(lo, wi)
-            if not moves.any():
-                break
-            r = np.flatnonzero(moves)
-            words[r, filled[r]] = (lo[r] >> _32).astype(np.uint32)
-            filled[r] += 1
-            lo[r] <<= _32
-            wi[r] = _wider(wi[r])
-        low[:k], width[:k] = lo, wi
-        model.learn(k, now, told)
-    out: list[bytes] = [b""] * len(blocks)
+        by_block[r, 2 : len(x) + 2] = x + 1
+    by_block[:, 2:][by_block[:, 2:] == 0] = 1
+    ids = np.ascontiguousarray(by_block.T)
+    del by_block
+    model = _Model(sizes, sizes * _typical())
+    class_of = np.concatenate([np.repeat(np.arange(CLASSES), s) for s in sizes])
+    at_class_of = np.cumsum(sizes.sum(axis=1)) - sizes.sum(axis=1)
+    low, width = np.zeros(n, np.uint64), np.full(n, _WIDEST)
+    room = steps * 2 + 8
+    words, filled = np.zeros(n * room, np.uint64), np.arange(n)  # the blocks' first words, their second words, ...
+    active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+
+    def move(low: np.ndarray, width: np.ndarray, k: int) -> None:
+        r = np.flatnonzero(width < _NARROW)
+        if len(r):
+            at, l = filled[r], low[r]
+            words[at] = l >> _24  # the bit above its 32 belongs to the word before
+            filled[r] = at + n
+            low[r] = (l & _REST) << _32
+            width[r] <<= _32
+
+    for start in range(0, steps, REFRESH):
+        end, k = min(start + REFRESH, steps), active[start]
+        before, last, now = (ids[start + d : end + d, :k].astype(np.int64) for d in range(3))
+        at = np.concatenate([last + model.at_first[:k], _hashed(before, last) + model.at_second[:k]], axis=1)
+        new = (now << 2 | 1).astype(model.held.dtype)
+        new = np.concatenate([new, new], axis=1)
+        held = np.empty(at.shape, new.dtype)
+        for t in range(end - start):
+            held[t] = model.held.take(at[t])
+            model.held[at[t]] = _learned(held[t], new[t])
+        hit1, hit2 = np.split((held ^ new) < 4, 2, axis=1)
+        held1, held2 = np.split(held, 2, axis=1)
+        contexts = _context(held1, held2) + model.at_context[:k]
+        kinds = np.where(hit2, _HIT2, np.where(hit1, _HIT1, _OTHER))
+        end2, end1 = model.end2[contexts], model.end1[contexts]
+        at_kind = np.where(hit2, np.uint64(0), np.where(hit1, end2, end1))
+        of_kind = np.where(hit2, end2, np.where(hit1, end1, np.uint64(1 << SLOT_BITS))) - at_kind
+        classes = np.where(kinds == _OTHER, class_of[now - 1 + at_class_of[:k]], _NONE) + model.at_class[:k]
+        at_class, of_class, of_size = model.class_low[classes], model.class_width[classes], model.size_of[classes]
+        at_size = np.where(kinds == _OTHER, now - 1 - model.first_of[classes], 0).astype(np.uint64)
+        for t in range(end - start):
+            k = active[start + t]
+            l, w = low[:k], width[:k]
+            unit = w >> _SLOT
+            l += unit * at_kind[t, :k]
+            unit = unit * of_kind[t, :k] >> _CLASS
+            l += unit * at_class[t, :k]
+            np.multiply(unit, of_class[t, :k], out=w)
+            move(l, w, k)
+            w //= of_size[t, :k]
+            l += w * at_size[t, :k]
+            move(l, w, k)
+        model.refresh(end, contexts << 2 | kinds, classes)
+    words[filled], words[filled + n] = low >> _24, (low & _REST) << _8
+    filled = filled // n + 2
+    words = words[: int(filled.max()) * n]
+    while True:
+        r = np.flatnonzero(words >> _32)
+        if not len(r):
+            break
+        words[r] &= np.uint64((1 << 32) - 1)
+        words[r - n] += np.uint64(1)
+    words = np.ascontiguousarray(words.astype("<u4").reshape(-1, n).T)
+    used = [s[: int(np.flatnonzero(s)[-1]) + 1] for s in sizes]
+    letters = _varint_lists([np.concatenate([[len(s)], s, _steps(a, s)]) for a, s in zip(alphabets, used)])
+    out: list[bytes] = [b""] * n
     for r, i in enumerate(order.tolist()):
-        tail = np.array([low[r] >> _32, low[r] & _LOW], np.uint32)
-        code = np.concatenate([words[r, : filled[r]], tail]).astype("<u4").tobytes()
-        alphabet = alphabets[r].astype(np.int64)
-        letters = _varints(np.diff(alphabet, prepend=0))
+        code = words[r, : filled[r]].tobytes()
         crc = zlib.crc32(blocks[i].astype("<u4").tobytes())
-        out[i] = struct.pack(_HEAD, len(blocks[i]), len(alphabet), len(letters), len(code) // 4, crc) + letters + code
+        out[i] = struct.pack(_HEAD, len(blocks[i]), len(alphabets[r]), len(letters[r]), len(code) // 4, crc) + letters[r] + code
     return out
 
 
+def _steps(alphabet: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Differences of the ids of each class, from 0."""
+    steps = np.diff(alphabet, prepend=0)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    steps[starts] = alphabet[starts]
+    return steps
+
+
+def _from_steps(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums = np.cumsum(steps)
+    starts = np.cumsum(sizes) - sizes
+    return sums - np.repeat(np.concatenate([[0], sums])[starts], sizes)
+
+
 def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     """The ids of coded blocks; raises ValueError where a checksum does not hold."""
     if not coded:
@@ -219,64 +309,80 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     heads = [struct.unpack_from(_HEAD, c) for c in coded]
     order = np.argsort([-h[0] for h in heads], kind="stable")
     lengths = np.array([heads[i][0] for i in order])
-    alphabets, codes = [], []
-    for i in order:
-        n, _, letters, n_words, _ = heads[i]
-        start = struct.calcsize(_HEAD)
-        alphabets.append(np.cumsum(_from_varints(coded[i][start : start + letters])))
-        codes.append(np.frombuffer(coded[i], "<u4", n_words, start + letters))
-    model = _Model(np.array([len(a) for a in alphabets]))
-    blocks = len(codes)
-    words = np.zeros((blocks, max(len(c) for c in codes) + 4), np.uint64)
-    for r, c in enumerate(codes):
-        words[r, : len(c)] = c
-    code = (words[:, 0] << _32) | words[:, 1]
-    place = np.full(blocks, 2, np.int64)
-    low, width = np.zeros(blocks, np.uint64), np.full(blocks, _FULL)
-    ids = np.zeros((int(lengths[0]), blocks), np.int32)
-    active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
-    for t, k in enumerate(active.tolist()):
-        if t % REFRESH == 0:
-            if t:
-                model.refresh()
-            reach = int(model.below[:, -1].max()) + 1
-            line = (model.below + np.arange(blocks)[:, None] * reach).ravel()  # ascending over all blocks
-        told = model.predict(k)
-        two, one, width2, width1 = told[-4:]
-        unit = width[:k] >> _SLOT
-        value = ((code[:k] - low[:k]) // unit).astype(np.int64)
-        is2 = value < width2
-        is1 = ~is2 & (value < width2 + width1)
-        other = ~(is2 | is1)
-        at = np.where(is2, 0, np.where(is1, width2, width2 + width1)).astype(np.uint64)
-        span = np.where(is2, width2, np.where(is1, width1, (1 << SLOT_BITS) - width2 - width1)).astype(np.uint64)
-        lo, wi = low[:k] + unit * at, unit * span
-        unit = wi // np.where(other, model.total[:k], np.uint64(1))
-        now = np.where(is2, two, one).astype(np.int64)
-        r = np.flatnonzero(other)
+    n, steps, start = len(order), int(lengths[0]), struct.calcsize(_HEAD)
+    alphabets, sizes = [], np.zeros((n, CLASSES), np.int64)
+    width_of = max(heads[i][3] for i in order) + 2
+    raw = np.zeros((n, width_of), np.uint32)
+    for r, i in enumerate(order):
+        _, size, letters, n_words, _ = heads[i]
+        numbers = _from_varints(coded[i][start : start + letters])
+        classes = int(numbers[0])
+        if len(numbers) != 1 + classes + size or classes >= CLASSES or int(numbers[1 : 1 + classes].sum()) != size:
+            raise ValueError("the alphabet of a block does not hold")
+        sizes[r, :classes] = numbers[1 : 1 + classes]
+        alphabets.append(_from_steps(numbers[1 + classes :], numbers[1 : 1 + classes]))
+        raw[r, :n_words] = np.frombuffer(coded[i], "<u4", n_words, start + letters)
+    model = _Model(sizes, sizes * _typical())
+    code = (raw[:, 0].astype(np.uint64) << _24) | (raw[:, 1] >> np.uint32(8))
+    words = (raw[:, 1:-1] << np.uint32(24) | raw[:, 2:] >> np.uint32(8)).T.ravel()  # the code after its first 56 bits, in words
+    place, beyond = np.arange(n), len(words) - 1
+    del raw
+    width = np.full(n, _WIDEST)
+    ids = np.zeros((steps, n), np.int32)
+    active = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+    last, before = np.zeros(n, np.int64), np.zeros(n, np.int64)  # ids count from 1 here: a block's start is the same in any company
+    told_now, classes = (np.tile(at, (REFRESH, 1)) for at in (model.at_context, model.at_class))  # ended blocks count for themselves
+    right = np.zeros((2, REFRESH, n), np.int8)
+    top, whole = np.uint64((1 << CLASS_BITS) - 1), np.uint64(1 << SLOT_BITS)
+    one, nothing = np.uint64(1), np.uint64(0)
+    least = model.held.dtype.type(1)
+    keep = ~model.held.dtype.type(3)
+
+    def move(k: int) -> None:
+        r = np.flatnonzero(width[:k] < _NARROW)
         if len(r):
-            want = np.minimum((code[r] - lo[r]) // unit[r], model.total[r] - np.uint64(1)).astype(np.int64)
-            found = np.searchsorted(line, want + r * reach, "right") - 1
-            now[r] = found - model.at_first[r]
-            below = model.flat_below.take(found)
-            count = model.flat_below.take(found + 1) - below
-            lo[r] += unit[r] * below.astype(np.uint64)
-            wi[r] = unit[r] * count.astype(np.uint64)
-        ids[t, :k] = now
-        while True:
-            moves, wi = _carry(lo, wi)
-            if not moves.any():
-                break
-            r = np.flatnonzero(moves)
-            lo[r] <<= _32
-            wi[r] = _wider(wi[r])
-            code[r] = (code[r] << _32) | words[r, np.minimum(place[r], words.shape[1] - 1)]
-            place[r] += 1
-        low[:k], width[:k] = lo, wi
-        model.learn(k, now, told)
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * blocks
+            at = place[r]
+            code[r] = code[r] << _32 | words[np.minimum(at, beyond)]
+            place[r] = at + n
+            width[r] <<= _32
+
+    for t, k in enumerate(active):
+        row = t % REFRESH
+        at = np.concatenate([last[:k] + model.at_first[:k], _hashed(before[:k], last[:k]) + model.at_second[:k]])
+        held = model.held.take(at)
+        held1, held2 = held[:k], held[k:]
+        context = _context(held1, held2) + model.at_context[:k]
+        end2, end1 = model.end2.take(context), model.end1.take(context)
+        now, w = code[:k], width[:k]
+        unit = w >> _SLOT
+        up2, up1 = unit * end2, unit * end1
+        is2, is1 = now < up2, now < up1
+        now -= np.where(is2, nothing, np.where(is1, up2, up1))
+        span = np.where(is2, end2, np.where(is1, end1 - end2, whole - end1))
+        unit = unit * span >> _CLASS
+        slot = np.minimum(now // unit, top).view(np.int64)
+        klass = np.where(is1, _NONE, model.class_at.take(slot + model.at_slot[:k])) + model.at_class[:k]
+        now -= unit * model.class_low.take(klass)
+        np.multiply(unit, model.class_width.take(klass), out=w)
+        move(k)
+        size = model.size_of.take(klass)
+        w //= size
+        inside = np.minimum(now // w, size - one)
+        now -= inside * w
+        move(k)
+        new = np.where(is1, np.where(is2, held2, held1) & keep | least, ((model.first_of.take(klass) + inside.view(np.int64)) * 4 + 5).astype(held.dtype))
+        ids[t, :k] = found = new >> 2
+        model.held[at] = _learned(held, np.concatenate([new, new]))
+        before[:k] = last[:k]
+        last[:k] = found
+        told_now[row, :k], classes[row, :k] = context, klass
+        right[0, row, :k], right[1, row, :k] = is2, is1
+        if row == REFRESH - 1:
+            model.refresh(t + 1, (told_now << 2) + (_OTHER - right[0] - right[1]), classes)
+    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
+    by_block = np.ascontiguousarray(ids.T)
     for r, i in enumerate(order.tolist()):
-        found = alphabets[r][ids[: heads[i][0], r]].astype(np.uint32)
+        found = alphabets[r].astype(np.uint32)[by_block[r, : heads[i][0]] - 1]
         if zlib.crc32(found.astype("<u4").tobytes()) != heads[i][4]:
             raise ValueError("checksum of a block does not hold")
         out[i] = found
@@ -306,31 +412,117 @@ def unpack(payloads: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate([next(ids) for _ in blocks]) if blocks else np.zeros(0, np.uint32) for blocks in cut]
 
 
+class _Memory:
+    """The ids of strings, one after another in one array."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.sizes, self.flat, self.filled = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.uint32), 0
+
+    def add(self, strings: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        n = len(self.place)
+        while n + len(strings) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(len(x), x.dtype)]) for x in (self.starts, self.sizes))
+        while self.filled + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.place.update(zip(strings, range(n, n + len(strings))))
+        self.sizes[n : n + len(strings)] = sizes
+        self.starts[n : n + len(strings)] = self.filled + np.cumsum(sizes) - sizes
+        self.flat[self.filled : self.filled + len(flat)] = flat
+        self.filled += len(flat)
+
+    def find(self, strings: list[str]) -> np.ndarray:
+        """Where the strings are; -1 for those that are not there."""
+        return np.fromiter(map(self.place.get, strings, repeat(-1)), np.int64, len(strings))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings at these places, and how many each has."""
+        sizes = self.sizes.take(places)
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts.take(places) - (ends - sizes), sizes)
+        at += np.arange(len(at))
+        return self.flat.take(at), sizes
+
+
 class _Encoder:
-    """The tokenizers library, asked once for each token between white space: none of its steps reaches over it."""
+    """The tokenizers library, asked once for each token between white space: none of its steps reaches over it.
+
+    Where the library's split sets letters apart and its merges mark the ends of words, plain
+    words are given to its merges lower-cased, many in a call, and signs after them by themselves.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [regex.split(r"\s+", t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = list(set(chain.from_iterable(split)) - known.keys())
-        words = [_WORD.fullmatch(m) for m in missing]
-        pieces = [(m[1].lower(), m[2]) if m else (t,) for t, m in zip(missing, words)]
-        asked = list(set(chain.from_iterable(pieces)) - known.keys())
-        found = self.library.encode_batch_fast(asked, add_special_tokens=False)
-        known.update((m, array("I", f.ids).tobytes()) for m, f in zip(asked, found))
-        known.update((t, b"".join([known[p] for p in ps])) for t, ps in zip(missing, pieces))
-        return [np.frombuffer(b"".join(map(known.__getitem__, tokens)), np.uint32) for tokens in split]
+        self.tokens, self.pieces = _Memory(), _Memory()
+        steps = json.loads(spec)
+        normal = [n["type"] for n in (steps["normalizer"] or {}).get("normalizers", [])]
+        split = [p.get("pattern", {}).get("Regex") for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.suffix, self.words = steps["model"].get("end_of_word_suffix"), None
+        if self.suffix and normal == ["NFC", "Replace", "Lowercase"] and split == [_LETTERS_APART, None]:
+            self.words = Tokenizer(Tokenizer.from_str(spec).model)
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ends_word = np.zeros(max(steps["model"]["vocab"].values()) + 1, bool)
+            self.ends_word[[i for t, i in steps["model"]["vocab"].items() if t.endswith(self.suffix)]] = True
+
+    def _ask(self, strings: list[str]) -> None:
+        found = [np.array(f.ids, np.uint32) for f in self.library.encode_batch_fast(strings, add_special_tokens=False)]
+        if found:
+            self.pieces.add(strings, np.array([len(f) for f in found]), np.concatenate(found))
+
+    def _ask_words(self, words: list[str]) -> None:
+        for i in range(0, len(words), 256):
+            some = words[i : i + 256]
+            (found,) = self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                self.pieces.add(some, np.diff(ends, prepend=0), ids)
+            else:
+                self._ask(some)
+
+    def _learn(self, missing: list[str]) -> np.ndarray:
+        """Remember tokens; where they are."""
+        if len(self.pieces.place) > REMEMBERED:
+            self.pieces.clear()
+        whole = repeat(None, len(missing)) if self.words is None else map(_WORD.fullmatch, missing)
+        pieces, tails = zip(*[(m[1].lower(), m[2]) if m else (t, "") for t, m in zip(missing, whole)])
+        asked = {p for p in pieces if p not in self.pieces.place}
+        if self.words is not None:
+            plain = [p for p in asked if _LETTERS.fullmatch(p)]
+            self._ask_words(plain)
+            asked.difference_update(plain)
+        asked.update(t for t in set(tails) if t not in self.pieces.place)
+        self._ask([p for p in asked if p not in self.pieces.place])
+        flat, sizes = self.pieces.ids(np.stack([self.pieces.find(pieces), self.pieces.find(tails)], axis=1).ravel())
+        first = len(self.tokens.place)
+        self.tokens.add(missing, sizes.reshape(-1, 2).sum(axis=1), flat)
+        return np.arange(first, first + len(missing))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each text has."""
+        if pc.any(pc.match_substring_regex(texts, _ODD_SPACE.pattern)).as_py():
+            split = pa.array([regex.split(r"\s+", t) if _ODD_SPACE.search(t) else t.split() for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            split = pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.tokens.place) > REMEMBERED:
+            self.tokens.clear()
+        places = self.tokens.find(names)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = self._learn([names[i] for i in new.tolist()])
+        flat, sizes = self.tokens.ids(places.take(coded.indices.to_numpy()))
+        ends = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
+        return flat, np.diff(ends)
 
 
 def _encoder(spec: str) -> _Encoder:
@@ -370,14 +562,16 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
                 streams.clear()
                 size = 0
 
-        end = np.array([end_id], np.uint32)
         for whole in batches:
             for batch in slices(whole, pc.utf8_length(whole.column("text")).to_numpy(zero_copy_only=False), CHARS_AT_ONCE):
-                for name, ids in zip(batch.column("id").to_pylist(), encoder.ids(batch.column("text").to_pylist())):
+                flat, lengths = encoder.ids(batch.column("text"))
+                ends = np.cumsum(lengths)
+                flat, ends = np.insert(flat, ends, end_id), ends + np.arange(1, len(ends) + 1)
+                for name, a, b in zip(batch.column("id").to_pylist(), chain([0], ends.tolist()), ends.tolist()):
                     open_ids.append(name)
-                    open_lengths.append(len(ids) + 1)
-                    streams += [ids, end]
-                    size += len(ids) + 1
+                    open_lengths.append(b - a)
+                    streams.append(flat[a:b])
+                    size += b - a
                     if size >= SEGMENT_IDS:
                         close()
                         if len(ready) == SEGMENTS_AT_ONCE:

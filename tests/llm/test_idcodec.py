@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -12,6 +13,8 @@ from tokenizers import Tokenizer
 from hitloom.llm import idcodec
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+with open(VOCABULARY) as f:
+    ENCODER = idcodec._Encoder(f.read())
 BLOCKS = st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 9), min_size=1, max_size=400), min_size=1, max_size=6)
 
 
@@ -71,3 +74,35 @@ def test_null_and_repeated_ids_and_empty_table(spark, tmp_path):
     assert [r.doc_id for r in found] == [None, None, 3, 3] and sum(r.n_tokens for r in found) == 7
     idcodec.write_ids(docs.limit(0), str(tmp_path / "none"), VOCABULARY, 2)
     assert idcodec.read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_blocks_are_decoded_in_any_company():
+    random = np.random.default_rng(3)
+    blocks = [random.zipf(1.2, n).clip(0, 30000).astype(np.uint32) for n in (1, 4096, 700, 2, 130, 4096, 129)]
+    coded = [idcodec.encode_blocks([b])[0] for b in blocks]
+    for some in ([0, 1], [1, 2, 3], list(range(7)), [6, 5, 4]):
+        assert [x.tolist() for x in idcodec.decode_blocks([coded[i] for i in some])] == [blocks[i].tolist() for i in some]
+
+
+def test_plain_words_are_asked_without_the_splits_of_the_library():
+    with open(VOCABULARY) as f:
+        encoder = idcodec._Encoder(f.read())
+    library, asked = encoder.library, []
+
+    class Counting:
+        def encode_batch_fast(self, strings, **options):
+            asked.extend(strings)
+            return library.encode_batch_fast(strings, **options)
+
+    encoder.library = Counting()
+    texts = ["Größe, ÉTÉ! don't x<|endoftext|>y été 12 $$$", "", " a\x1cb c\x85 ", "word(s) 'll Straße## µ ª İstanbul ΑΣ", "Größe; éTé?! DON'T"]
+    flat, sizes = encoder.ids(pa.array(texts))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not {"größe", "été", "Größe,", "ÉTÉ!", "straße"} & set(asked) and len(asked) == len(set(asked))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("aZé ÀßÿŸ'<|>.,!$_-9́ \x1c\x85ſıK", max_size=30), min_size=1, max_size=5))
+def test_ids_are_the_librarys(texts):
+    flat, sizes = ENCODER.ids(pa.array(texts))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [ENCODER.library.encode(t, add_special_tokens=False).ids for t in texts]
