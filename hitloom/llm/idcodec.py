@@ -84,7 +84,7 @@ class _Model:
         self.at_first, self.at_second = rows * step, rows * PAIR_SLOTS + blocks * step
         self.at_context, self.at_class, self.at_slot = rows * CONTEXTS, rows * CLASSES, rows << CLASS_BITS
         self.held = np.zeros(blocks * (step + PAIR_SLOTS), np.uint16 if step < 1 << 14 else np.int32)
-        self.told = np.tile(np.array([1, 1, 6, 0], np.int64), blocks * CONTEXTS)
+        self.told = np.repeat(np.array([[1], [1], [6]], np.int64), blocks * CONTEXTS, axis=1)  # by kind, then block and context
         self.present, self.used = sizes > 0, used.astype(np.int64)
         self.first_of = (np.cumsum(sizes, axis=1) - sizes).ravel()
         self.size_of = np.maximum(sizes, 1).astype(np.uint64)
@@ -95,12 +95,9 @@ class _Model:
 
     def weigh(self) -> None:
         """Interval ends of order 2 and order 1 in each context, from how often they were right."""
-        told = self.told.reshape(-1, 4)
-        total = told.sum(axis=1)
-        room = (1 << SLOT_BITS) - _SPARE - 2 * _LEAST
-        end2 = _LEAST + told[:, _HIT2] * room // total
-        self.end2 = end2.astype(np.uint64)
-        self.end1 = (end2 + _LEAST + told[:, _HIT1] * room // total).astype(np.uint64)
+        room = ((1 << SLOT_BITS) - _SPARE - 2 * _LEAST) / (self.told[_HIT2] + self.told[_HIT1] + self.told[_OTHER])
+        self.end2 = (self.told[_HIT2] * room).astype(np.uint64) + np.uint64(_LEAST)
+        self.end1 = (self.told[_HIT1] * room).astype(np.uint64) + self.end2 + np.uint64(_LEAST)
 
     def weigh_classes(self) -> None:
         total = np.maximum(self.used.sum(axis=1), 1)
@@ -114,10 +111,9 @@ class _Model:
 
     def refresh(self, upto: int, told_now: np.ndarray, classes: np.ndarray) -> None:
         """Learn from contexts with what was right in them, and classes, of the latest steps; ``upto`` steps are done."""
-        told = self.told.reshape(-1, 4)
-        told += np.bincount(told_now.ravel(), minlength=self.told.size).reshape(-1, 4)
-        np.right_shift(told, 1, out=told, where=(told.sum(axis=1) > _AGED)[:, None])
-        told[:, _OTHER] |= 1
+        self.told += np.bincount(told_now.ravel(), minlength=self.told.size).reshape(self.told.shape)
+        self.told >>= self.told.sum(axis=0) > _AGED
+        self.told[_OTHER] |= 1
         self.weigh()
         now = np.bincount(classes.ravel(), minlength=self.used.size).reshape(self.used.shape)
         now[:, _NONE] = 0
@@ -133,10 +129,16 @@ def _learned(held: np.ndarray, new: np.ndarray) -> np.ndarray:
 
 def _classed(counts: np.ndarray) -> np.ndarray:
     """Classes of ids by how often they are in their block: 1 to 4 by themselves, then two an octave."""
-    octave = np.frexp(counts.astype(np.float32))[1] - 1
+    if len(counts) and int(counts.max()) < len(_CLASS_OF):
+        return _CLASS_OF.take(counts)
+    octave = np.frexp(counts.astype(np.float64))[1] - 1
     return np.where(counts <= 4, counts - 1, np.minimum(2 * octave + (counts >> np.maximum(octave - 1, 0) & 1), _NONE - 1))
 
 
+_CLASS_OF = np.zeros(0, np.uint8)
+_CLASS_OF = _classed(np.arange(1 << 13)).clip(0).astype(np.uint8)
+
+
 def _typical() -> np.ndarray:
     """About how often an id of each class is in its block."""
     classes = np.arange(CLASSES)
@@ -148,7 +150,7 @@ def _alphabet(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.sort(block)
     starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     ids, counts = ids[starts], np.diff(starts, append=len(ids))
-    classes = _classed(counts).astype(np.uint8)
+    classes = _classed(counts).astype(np.uint8, copy=False)
     order = np.argsort(classes, kind="stable")
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
@@ -267,7 +269,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             w //= of_size[t, :k]
             l += w * at_size[t, :k]
             move(l, w, k)
-        model.refresh(end, contexts << 2 | kinds, classes)
+        model.refresh(end, contexts + kinds * model.told.shape[1], classes)
     words[filled], words[filled + n] = low >> _24, (low & _REST) << _8
     filled = filled // n + 2
     words = words[: int(filled.max()) * n]
@@ -378,7 +380,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         told_now[row, :k], classes[row, :k] = context, klass
         right[0, row, :k], right[1, row, :k] = is2, is1
         if row == REFRESH - 1:
-            model.refresh(t + 1, (told_now << 2) + (_OTHER - right[0] - right[1]), classes)
+            model.refresh(t + 1, told_now + (_OTHER - right[0] - right[1]) * np.int64(model.told.shape[1]), classes)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
     by_block = np.ascontiguousarray(ids.T)
     for r, i in enumerate(order.tolist()):
@@ -467,8 +469,9 @@ class _Encoder:
         split = [p.get("pattern", {}).get("Regex") for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.suffix, self.words = steps["model"].get("end_of_word_suffix"), None
         if self.suffix and normal == ["NFC", "Replace", "Lowercase"] and split == [_LETTERS_APART, None]:
-            self.words = Tokenizer(Tokenizer.from_str(spec).model)
+            self.words, self.ascii_words = Tokenizer(Tokenizer.from_str(spec).model), Tokenizer(Tokenizer.from_str(spec).model)
             self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ascii_words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()  # ASCII letters are their own byte letters
             self.ends_word = np.zeros(max(steps["model"]["vocab"].values()) + 1, bool)
             self.ends_word[[i for t, i in steps["model"]["vocab"].items() if t.endswith(self.suffix)]] = True
 
@@ -477,10 +480,10 @@ class _Encoder:
         if found:
             self.pieces.add(strings, np.array([len(f) for f in found]), np.concatenate(found))
 
-    def _ask_words(self, words: list[str]) -> None:
+    def _ask_words(self, words: list[str], by) -> None:
         for i in range(0, len(words), 256):
             some = words[i : i + 256]
-            (found,) = self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            (found,) = by.encode_batch_fast([" ".join(some)], add_special_tokens=False)
             ids = np.array(found.ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
@@ -497,7 +500,8 @@ class _Encoder:
         asked = {p for p in pieces if p not in self.pieces.place}
         if self.words is not None:
             plain = [p for p in asked if _LETTERS.fullmatch(p)]
-            self._ask_words(plain)
+            self._ask_words([p for p in plain if p.isascii()], self.ascii_words)
+            self._ask_words([p for p in plain if not p.isascii()], self.words)
             asked.difference_update(plain)
         asked.update(t for t in set(tails) if t not in self.pieces.place)
         self._ask([p for p in asked if p not in self.pieces.place])
