@@ -4,12 +4,16 @@ Texts are encoded with a public tokenizer, an end id is appended to each, and th
 ids of a range of documents form one stream that is cut into blocks.  In a block,
 the last two ids and the last id each predict one next id, with a confidence; a
 mixture whose weights adapt to how often predictions of that confidence were right
-gives the intervals "as order 2 says", "as order 1 says" and "any other id", and the
-last one is divided by adaptive order-0 counts.  The intervals drive a range coder.
-Each block resets all of this and carries the CRC-32 of its ids.
+gives the intervals "as order 2 says", "as order 1 says" and "any other id".  The
+last one is order 0: ids are put into classes by how often the block has them, a class
+has a share that adapts to its use, and the ids of a class have equal shares of it.
+The intervals drive a range coder.  Predictions are learned at every id, the weights
+every ``REFRESH`` ids and the shares of classes every ``CLASS_REFRESH``.  Each block
+resets all of this and carries the CRC-32 of its ids.
 
 numpy codes one id of many blocks in a step, so a step's cost is shared by all blocks
-of several segments.
+of several segments; what does not wait for the step before is done for ``REFRESH``
+steps at once.
 
 File format: a folder of Parquet files, written by Spark so that remote stores, task
 retries and lost executors are its committer's work.  A row is a segment: whole
@@ -18,8 +22,8 @@ documents in ascending id order, about ``SEGMENT_IDS`` ids, in (part, seq) order
     doc_ids       ids of its documents;  lengths: their numbers of token ids
     payload       number of blocks (u32), length of each (u32), then the blocks
 A block (little endian): ids (u32), alphabet size (u32), alphabet bytes (u32), code
-words (u32), CRC-32 of its ids as u32 (u32); the sorted alphabet as LEB128 differences;
-the code words (u32).
+words (u32), CRC-32 of its ids as u32 (u32); as LEB128 the number of classes, their
+sizes and the differences of the sorted ids of each class, from 0; the code words (u32).
 
 Defined results
     null texts count as empty: the end id alone; null document ids come first, in the
@@ -50,8 +54,8 @@ from hitloom.llm.common import ship, small_batches, store, text_or_empty, worker
 
 ship(__name__)
 
-#: Ids in a block and, about, in a segment; segments and characters handled at a time; tokens a task remembers.
-BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 4096, 1 << 19, 16, 2_000_000, 600_000
+#: Ids in a block and, about, in a segment; segments and characters handled at a time; words and other pieces a worker remembers.
+BLOCK_IDS, SEGMENT_IDS, SEGMENTS_AT_ONCE, CHARS_AT_ONCE, REMEMBERED = 4096, 1 << 19, 16, 2_000_000, 1_000_000
 
 # Fixed values of the coder; files depend on them.
 SLOT_BITS, CLASS_BITS, PAIR_SLOTS, REFRESH, CLASS_REFRESH, GAIN = 16, 10, 2048, 128, 512, 2
@@ -61,8 +65,7 @@ _NONE = CLASSES - 1  # the class of ids that order 2 or order 1 gives
 _LEAST, _SPARE, _AGED = 64, 256, 255
 _ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the library
 #: Letters and signs, two pieces to the library's split, whatever stands around them; composing changes neither.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)")
-_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+_WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)$"
 _LETTERS_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _WIDEST, _NARROW, _REST, _32, _24, _8 = np.uint64(1 << 56), np.uint64(1 << 24), np.uint64((1 << 24) - 1), np.uint64(32), np.uint64(24), np.uint64(8)
 _SLOT, _CLASS = np.uint64(SLOT_BITS), np.uint64(CLASS_BITS)
@@ -442,11 +445,16 @@ class _Memory:
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the strings at these places, and how many each has."""
-        sizes = self.sizes.take(places)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts.take(places) - (ends - sizes), sizes)
-        at += np.arange(len(at))
-        return self.flat.take(at), sizes
+        return _stretches(self.flat, self.starts, self.sizes, places)
+
+
+def _stretches(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat`` one after another, and their sizes."""
+    sizes = sizes.take(which)
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts.take(which) - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return flat.take(at), sizes
 
 
 class _Encoder:
@@ -463,7 +471,7 @@ class _Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.tokens, self.pieces = _Memory(), _Memory()
+        self.pieces = _Memory()
         steps = json.loads(spec)
         normal = [n["type"] for n in (steps["normalizer"] or {}).get("normalizers", [])]
         split = [p.get("pattern", {}).get("Regex") for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
@@ -491,24 +499,37 @@ class _Encoder:
             else:
                 self._ask(some)
 
-    def _learn(self, missing: list[str]) -> np.ndarray:
-        """Remember tokens; where they are."""
-        if len(self.pieces.place) > REMEMBERED:
-            self.pieces.clear()
-        whole = repeat(None, len(missing)) if self.words is None else map(_WORD.fullmatch, missing)
-        pieces, tails = zip(*[(m[1].lower(), m[2]) if m else (t, "") for t, m in zip(missing, whole)])
-        asked = {p for p in pieces if p not in self.pieces.place}
-        if self.words is not None:
-            plain = [p for p in asked if _LETTERS.fullmatch(p)]
-            self._ask_words([p for p in plain if p.isascii()], self.ascii_words)
-            self._ask_words([p for p in plain if not p.isascii()], self.words)
-            asked.difference_update(plain)
-        asked.update(t for t in set(tails) if t not in self.pieces.place)
-        self._ask([p for p in asked if p not in self.pieces.place])
-        flat, sizes = self.pieces.ids(np.stack([self.pieces.find(pieces), self.pieces.find(tails)], axis=1).ravel())
-        first = len(self.tokens.place)
-        self.tokens.add(missing, sizes.reshape(-1, 2).sum(axis=1), flat)
-        return np.arange(first, first + len(missing))
+    def _places(self, strings: pa.Array, words: bool = False) -> np.ndarray:
+        """Where distinct strings are remembered, after the library was asked for new ones."""
+        names = strings.to_numpy(zero_copy_only=False).tolist()
+        places = self.pieces.find(names)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            first, asked = len(self.pieces.place), [names[i] for i in new.tolist()]
+            if words:
+                self._ask_words([p for p in asked if p.isascii()], self.ascii_words)
+                self._ask_words([p for p in asked if not p.isascii()], self.words)
+                places[new] = self.pieces.find(asked)
+            else:
+                self._ask(asked)
+                places[new] = np.arange(first, first + len(asked))
+        return places
+
+    def _pieces(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct tokens, and how many each has."""
+        if self.words is None:
+            return self.pieces.ids(self._places(tokens))
+        parts = pc.extract_regex(tokens, _WORD)
+        plain = parts.is_valid().to_numpy(zero_copy_only=False)
+        places = np.zeros((len(tokens), 2), np.int64)
+        places[~plain, 0], places[:, 1] = self._places(tokens.filter(~plain)), self._places(pa.array([""]))
+        if plain.any():
+            word, signs = parts.filter(plain).flatten()
+            word, signs = pc.utf8_lower(word).dictionary_encode(), signs.dictionary_encode()
+            places[plain, 0] = self._places(word.dictionary, words=True).take(word.indices.to_numpy())
+            places[plain, 1] = self._places(signs.dictionary).take(signs.indices.to_numpy())
+        flat, sizes = self.pieces.ids(places.ravel())
+        return flat, sizes.reshape(-1, 2).sum(axis=1)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each text has."""
@@ -517,14 +538,10 @@ class _Encoder:
         else:
             split = pc.utf8_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.tokens.place) > REMEMBERED:
-            self.tokens.clear()
-        places = self.tokens.find(names)
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            places[new] = self._learn([names[i] for i in new.tolist()])
-        flat, sizes = self.tokens.ids(places.take(coded.indices.to_numpy()))
+        if len(self.pieces.place) > REMEMBERED:
+            self.pieces.clear()
+        own, sizes = self._pieces(coded.dictionary)
+        flat, sizes = _stretches(own, np.cumsum(sizes) - sizes, sizes, coded.indices.to_numpy())
         ends = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
         return flat, np.diff(ends)
 
